@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, language_id, packing, quality_rules, suffix_dedup, toxicity
+from . import jaccard_join, language_id, maxent, packing, quality_rules, suffix_dedup, toxicity
 from .text import table
 
 
@@ -42,11 +42,18 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, lexicon).select("doc_id", (_fold(5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = maxent.train(docs.filter(_fold(10) != 0))
+    out = maxent.score(docs, model)
+    return out.select("doc_id", (_fold(10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     known = language_id.profiles(docs.filter(_fold(3) != 1))
     return language_id.identify(docs, known).select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_jaccard_join, op4_suffix_dedup, op5_quality_rules, op6_toxicity, op9_language_id)}
+QUERIES = {f.__name__: f for f in (op1_packing, op3_jaccard_join, op4_suffix_dedup, op5_quality_rules, op6_toxicity, op7_lm_scoring, op9_language_id)}
 ORACLES: dict[str, str] = {}
