@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, language_id, maxent, packing, quality_rules, suffix_dedup, toxicity
-from .text import table
+from . import decontamination, jaccard_join, kneser_ney, language_id, maxent, packing, quality_rules, suffix_dedup, toxicity
+from .text import table, thinned
 
 
 def _fold(by: int):
@@ -38,7 +38,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(_fold(5) != 0)
-    lexicon = toxicity.learn(docs.filter(_fold(5) != 0).join(labels, "doc_id"))
+    lexicon = toxicity.learn(thinned(docs.filter(_fold(5) != 0), labels, "doc_id").join(labels, "doc_id"))
     return toxicity.score(docs, lexicon).select("doc_id", (_fold(5) == 0).alias("held_out"), "score", "predicted")
 
 
@@ -49,11 +49,20 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_fold(10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     known = language_id.profiles(docs.filter(_fold(3) != 1))
     return language_id.identify(docs, known).select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_jaccard_join, op4_suffix_dedup, op5_quality_rules, op6_toxicity, op7_lm_scoring, op9_language_id)}
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return kneser_ney.judged(docs, labels.filter("quality = 1"))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op3_jaccard_join, op4_suffix_dedup, op5_quality_rules, op6_toxicity, op7_lm_scoring, op8_decontamination, op9_language_id, op10_quality_classifier)}
 ORACLES: dict[str, str] = {}

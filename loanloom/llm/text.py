@@ -4,6 +4,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Distinct words one Python worker remembers before it starts again; a memory bound, results do not depend on it.
 CACHE_WORDS = 300_000
@@ -14,6 +15,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Hash buckets by which large rows are thinned out before a join; at most this many numbers are broadcast.
+_BUCKETS = 1 << 20
+
+
+def thinned(rows: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
+    """The rows whose key columns may be in ``wanted``, so that a following join moves few others."""
+    bucket = F.pmod(F.xxhash64(*columns), F.lit(_BUCKETS)).alias("_bucket")
+    near = F.broadcast(wanted.select(bucket).distinct())
+    return rows.withColumn("_bucket", bucket).join(near, "_bucket", "left_semi").drop("_bucket")
+
+
+def without(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows whose ``column`` is not in ``ids``; rows of other hash buckets are not moved."""
+    bucket = F.pmod(F.xxhash64(column), F.lit(_BUCKETS)).alias("_bucket")
+    near, tagged = F.broadcast(ids.select(bucket).distinct()), rows.withColumn("_bucket", bucket)
+    far = tagged.join(near, "_bucket", "left_anti")
+    close = tagged.join(near, "_bucket", "left_semi").join(ids.select(column).distinct(), column, "left_anti")
+    return far.unionByName(close).drop("_bucket").select(*rows.columns)
+
+
 def words(text: str | None, lower: bool = True) -> list[bytes]:
     """Maximal runs of ``[^\\x20\\x09-\\x0D]``; ``lower`` folds A-Z only. Null gives none.
 
