@@ -1,7 +1,73 @@
-"""Pipeline over documents; stages follow."""
-STAGES = []
+"""A training corpus from documents: five stages, each over all that the one before it kept.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which the runner writes as Parquet and reads again
+as the next stage's ``docs``. All but the last return the columns of ``documents``, ``n_chars`` set anew where the
+text changed.
+"""
+from __future__ import annotations
+
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loanloom.llm import decontamination, jaccard_join, kneser_ney, packing, suffix_dedup
+from loanloom.llm.scratch import shared_dir
+from loanloom.llm.text import table, without
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the Kneser-Ney quality classifier does not reject."""
+    verdicts = kneser_ney.judged(docs, table(spark, sf_dir, "labels").filter("quality = 1"))
+    return without(docs, verdicts.filter("not kept").select("doc_id"), "doc_id")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of the Jaccard join: that with the smallest id."""
+    joined = jaccard_join.join(docs)
+    return without(docs, joined.filter("doc_id <> component_id").select("doc_id"), "doc_id")
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes of repeated strings; documents of which nothing is left go.
+
+    A cut inside a character drops that character."""
+    kept = suffix_dedup.remove_repeats(docs).select("doc_id", F.col("kept").alias("_kept"), F.col("spans").alias("_spans"))
+    cut = kept.filter(F.size("_spans") > 0).select("doc_id", _whole_characters(F.col("_kept")).alias("_new"))
+    untouched = without(docs, cut.select("doc_id"), "doc_id")
+    touched = docs.join(cut, "doc_id").filter(F.length("_new") > 0)
+    touched = touched.withColumn("text", F.col("_new")).withColumn("n_chars", F.length("_new").cast(docs.schema["n_chars"].dataType))
+    return untouched.unionByName(touched.select(*docs.columns))
+
+
+def _whole_characters(raw):
+    """Bytes as UTF-8 text, without what is no whole character."""
+    return F.regexp_replace(F.make_valid_utf8(raw.cast("string")), "\ufffd", "")
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    found = decontamination.leaks(docs, table(spark, sf_dir, "benchmark"))
+    return without(docs, found.select("doc_id").distinct(), "doc_id")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 4096 tokens."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("repeated_strings", repeated_strings), ("benchmark_leaks", benchmark_leaks), ("packed", packed)]
+
+#: No stage but the last could be SQL; the tests hold the pipeline against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
+        docs = spark.read.parquet(f"{base}/{name}")
+    return docs

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, kneser_ney, language_id, maxent, packing, quality_rules, suffix_dedup, toxicity
+from . import decontamination, html_extract, jaccard_join, kneser_ney, language_id, maxent, packing, quality_rules, suffix_dedup, toxicity
 from .text import table, thinned
 
 
@@ -20,6 +20,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.learn(pages)).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -64,5 +69,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.judged(docs, labels.filter("quality = 1"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_jaccard_join, op4_suffix_dedup, op5_quality_rules, op6_toxicity, op7_lm_scoring, op8_decontamination, op9_language_id, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_html_extract, op3_jaccard_join, op4_suffix_dedup, op5_quality_rules, op6_toxicity, op7_lm_scoring, op8_decontamination, op9_language_id, op10_quality_classifier)}
 ORACLES: dict[str, str] = {}
