@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import written
+
 #: Look-alikes of Latin letters, and digits or signs written for letters.
 LOOKS = {"а": "a", "в": "b", "е": "e", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "ԁ": "d", "α": "a", "β": "b", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ɡ": "g"}
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
@@ -147,6 +149,7 @@ def learn(training: DataFrame, *, text_col: str = "text", toxic_col: str = "toxi
     by a document's mean number of words over that share.
     """
     rows = training.select(F.col(text_col).cast("string").alias("text"), F.col(toxic_col).cast("int").alias("toxic")).dropna().filter("toxic in (0, 1)")
+    rows = written(rows)
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     if not n1:
