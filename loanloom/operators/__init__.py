@@ -1 +1 @@
-"""See the package README."""
+"""Operators on loan and lease tapes: functions from DataFrames to DataFrames."""

@@ -1 +1 @@
-"""See the package README."""
+"""Fixture inputs and the registered queries of the loan-tape operators."""
