@@ -168,11 +168,22 @@ def _occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, _OCC)
 
 
-def _distinct(occ: DataFrame) -> DataFrame:
-    """Different contexts of the anchors seen twice or more: one place of each, how often (``w``) and how many the anchor has (``g``)."""
+def _distinct(occ: DataFrame, often: bool) -> DataFrame:
+    """Different contexts of the anchors seen twice or more: one place of each, how often (``w``) and how many the
+    anchor has (``g``). ``often``: equal contexts are many, and counted before anchors are; else anchors seen once
+    go first. Contexts are grouped by a hash of their own, so that no anchor's rows need to meet in one task."""
+    whole = F.xxhash64("fp", "ctx", "n", "rel").alias("whole")
+
+    def counted(rows: DataFrame) -> DataFrame:
+        place = F.min(F.struct("did", "th", "lo")).alias("o")
+        keys = rows.withColumn("whole", whole).groupBy("whole", "ctx").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("rel").alias("rel"), F.sum("w").alias("w"), place)
+        return written(keys.select("fp", "ctx", "n", "rel", "w", "o.did", "o.th", "o.lo"))
+
+    if often:
+        keys = counted(occ)
+        return keys.join(keys.groupBy("fp").agg(F.count(F.lit(1)).alias("g"), F.sum("w").alias("seen")).filter("seen > 1").drop("seen"), "fp")
     seen = occ.groupBy("fp").agg(F.sum("w").alias("seen")).filter("seen > 1").select("fp")
-    keys = occ.join(seen, "fp").groupBy("fp", "ctx", "n", "rel").agg(F.sum("w").alias("w"), F.min(F.struct("did", "th", "lo")).alias("o"))
-    keys = written(keys.select("fp", "ctx", "n", "rel", "w", "o.did", "o.th", "o.lo"))
+    keys = counted(occ.join(seen, "fp"))
     return keys.join(keys.groupBy("fp").agg(F.count(F.lit(1)).alias("g")), "fp")
 
 
@@ -200,7 +211,7 @@ def _cut_out(owned: DataFrame, length: int) -> DataFrame:
 
 
 def _in_shards(parts: DataFrame, length: int) -> DataFrame:
-    """(fp, ctx, lo, hi): runs of repeated window starts, counted from the context's first."""
+    """(fp, ctx, runs): runs of repeated window starts, counted from the context's first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -215,9 +226,11 @@ def _in_shards(parts: DataFrame, length: int) -> DataFrame:
                 x = next(found)
                 if r[3] > 1:
                     next(found)
-                rows.extend((r[0], r[1], lo, hi) for lo, hi in _runs(x))
-            cols = list(zip(*rows)) or [[]] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["fp", "ctx", "lo", "hi"])
+                if len(x):
+                    rows.append((r[0], r[1], [{"lo": lo, "hi": hi} for lo, hi in _runs(x)]))
+            cols = list(zip(*rows)) or [[]] * 3
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["fp", "ctx", "runs"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -230,7 +243,7 @@ def _in_shards(parts: DataFrame, length: int) -> DataFrame:
         if held:
             yield flush()
 
-    return parts.repartition("fp").sortWithinPartitions("fp").mapInArrow(run, "fp long, ctx long, lo long, hi long")
+    return parts.repartition("fp").sortWithinPartitions("fp").mapInArrow(run, "fp long, ctx long, runs array<struct<lo: long, hi: long>>")
 
 
 def _dealt_anew(owned: DataFrame, length: int, width: int) -> DataFrame:
@@ -261,20 +274,19 @@ def _dealt_anew(owned: DataFrame, length: int, width: int) -> DataFrame:
     return owned.mapInArrow(run, _OCC + ", pfp long, pctx long, off long")
 
 
-def _found(occ: DataFrame, docs: DataFrame, length: int, most: int, ranges: tuple[int, ...]) -> DataFrame:
-    """(fp, ctx, lo, hi) of all contexts of ``occ``."""
-    keys = _distinct(occ)
+def _found(occ: DataFrame, docs: DataFrame, length: int, most: int, ranges: tuple[int, ...], often: bool = False) -> DataFrame:
+    """(fp, ctx, runs) of all contexts of ``occ`` with repeated starts: one row each."""
+    keys = _distinct(occ, often)
     cold = keys.filter(F.col("g") <= most) if ranges else keys
     out = _in_shards(_cut_out(_with_texts(cold, docs), length), length)
-    if not ranges:
-        return out
     hot = keys.filter(F.col("g") > most)
-    if hot.isEmpty():
+    if not ranges or hot.isEmpty():
         return out
     narrow = written(_dealt_anew(_with_texts(hot, docs), length, ranges[0]))
-    found = _found(narrow.drop("pfp", "pctx", "off"), docs, length, most, ranges[1:])
+    found = _found(narrow.drop("pfp", "pctx", "off"), docs, length, most, ranges[1:], True)
     back = narrow.select("fp", "ctx", "pfp", "pctx", "off").join(found, ["fp", "ctx"])
-    return out.unionByName(back.select(F.col("pfp").alias("fp"), F.col("pctx").alias("ctx"), (F.col("lo") + F.col("off")).alias("lo"), (F.col("hi") + F.col("off")).alias("hi")))
+    moved = F.transform("runs", lambda r: F.struct((r["lo"] + F.col("off")).alias("lo"), (r["hi"] + F.col("off")).alias("hi")))
+    return out.unionByName(back.groupBy(F.col("pfp").alias("fp"), F.col("pctx").alias("ctx")).agg(F.flatten(F.collect_list(moved)).alias("runs")))
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
@@ -288,8 +300,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     occ = written(_occurrences(keyed.select("did", "th", "text"), length, gram))
     found = _found(occ, keyed, length, most, RANGES)
     spans = occ.select("fp", "ctx", "did", "th", F.col("lo").alias("at")).join(found, ["fp", "ctx"])
-    spans = spans.select("did", "th", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi") + length).alias("hi"))
-    lists = written(spans.groupBy("did", "th").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("list")))
+    lists = written(spans.groupBy("did", "th").agg(F.array_sort(F.collect_list(F.struct("at", "runs"))).alias("list")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -298,11 +309,11 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 spans_, kept = [], []
                 for raw, ranges in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
                     runs: list[list[int]] = []
-                    for r in ranges:
-                        if runs and r["lo"] <= runs[-1][1]:
-                            runs[-1][1] = max(runs[-1][1], r["hi"])
+                    for lo, hi in sorted((c["at"] + r["lo"], c["at"] + r["hi"] + length) for c in ranges for r in c["runs"]):
+                        if runs and lo <= runs[-1][1]:
+                            runs[-1][1] = max(runs[-1][1], hi)
                         else:
-                            runs.append([r["lo"], r["hi"]])
+                            runs.append([lo, hi])
                     edges = [0, *(x for run in runs for x in run), len(raw)]
                     kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])))
                     spans_.append([{"lo": a, "hi": b} for a, b in runs])
@@ -314,6 +325,6 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     tagged = rows.withColumn("bucket", bucket)
     schema = f"id {kind}, n_bytes long, spans array<struct<lo: long, hi: long>>, kept binary"
     touched = tagged.join(marked, "bucket", "left_semi").join(lists, ["did", "th"], "left")
-    touched = touched.select("id", "text", F.coalesce("list", F.array().cast("array<struct<lo: bigint, hi: bigint>>")).alias("list")).mapInArrow(cut, schema)
+    touched = touched.select("id", "text", F.coalesce("list", F.array().cast("array<struct<at: bigint, runs: array<struct<lo: bigint, hi: bigint>>>>")).alias("list")).mapInArrow(cut, schema)
     whole = tagged.join(marked, "bucket", "left_anti").select("id", F.length("text").cast("long").alias("n_bytes"), F.array().cast("array<struct<lo: bigint, hi: bigint>>").alias("spans"), F.col("text").alias("kept"))
     return touched.unionByName(whole).withColumnRenamed("id", id_col)
