@@ -5,10 +5,13 @@ The same text serves Spark and DuckDB but for integer division and the month seq
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scratch import shared_dir
+
 
 def tape_sql(duck: bool) -> str:
     """CTEs that end in ``tape``; reads ``orders`` and ``customer``."""
@@ -54,9 +57,19 @@ def floor_cents(sf_dir: str) -> float:
     return 2e9 * scale(sf_dir) * 100
 
 
+_written: dict[tuple[str, str], str] = {}
+
+
 def tape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "customer")}
-    return spark.sql(f"WITH {tape_sql(False).replace('FROM orders JOIN customer', 'FROM {orders} JOIN {customer}')} SELECT * FROM tape", **names)
+    """The tape as a Parquet table of the shared folder, written once per application and input folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written:
+        names = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "customer")}
+        made = spark.sql(f"WITH {tape_sql(False).replace('FROM orders JOIN customer', 'FROM {orders} JOIN {customer}')} SELECT * FROM tape", **names)
+        path = f"{shared_dir(spark)}/tape-{uuid.uuid4().hex}"
+        made.write.parquet(path)
+        _written[key] = path
+    return spark.read.parquet(_written[key])
 
 
 #: Loan columns by their tape expressions.
