@@ -70,4 +70,24 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_html_extract, op3_jaccard_join, op4_suffix_dedup, op5_quality_rules, op6_toxicity, op7_lm_scoring, op8_decontamination, op9_language_id, op10_quality_classifier)}
-ORACLES: dict[str, str] = {}
+_WORDS = ", ".join("'" + w + "'" for w in quality_rules.STOP_WORDS)
+_BOUNDS = " AND ".join(
+    f"coalesce({value} {sign} {bound}, true)"
+    for name, by, least, most in quality_rules.RULES
+    for value in [f"CAST({name} AS DOUBLE) / nullif({by}, 0)" if by else name]
+    for sign, bound in ((">=", least), ("<=", most))
+    if bound is not None
+)
+ORACLES: dict[str, str] = {
+    "op5_quality_rules": f"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_replace(x, '[\\x20\\x09-\\x0D]+', '', 'g') <> '') AS lines FROM t),
+g AS (SELECT doc_id, i, words[i:i + 4] AS gram FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w)),
+d AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM g) WHERE c > 1),
+r AS (SELECT doc_id, CAST(sum(least(5, coalesce(nxt - i, 5))) AS BIGINT) AS covered FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM d) GROUP BY doc_id),
+s AS (SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+  CAST(len(list_filter(words, lambda x: list_contains([{_WORDS}], x))) AS BIGINT) AS n_stop, coalesce(covered, 0) AS n_repeat_words FROM w LEFT JOIN r USING (doc_id)),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_BOUNDS} AS kept FROM f""",
+}
