@@ -35,6 +35,15 @@ def without(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return far.unionByName(close).drop("_bucket").select(*rows.columns)
 
 
+def most_frequent(counted: DataFrame, limit: int, count: str = "n") -> DataFrame:
+    """The rows with the greatest counts: as many counts from the top as give no more than ``limit`` rows.
+
+    The driver gets how many rows have each count, which are few: different counts add up to the total at most."""
+    held = counted.groupBy(count).agg(F.count(F.lit(1)).alias("rows")).toArrow().to_pandas().sort_values(count, ascending=False)
+    fit = held[held["rows"].cumsum() <= limit]
+    return counted.filter(F.col(count) >= int(fit[count].min())) if len(fit) else counted.limit(0)
+
+
 def words(text: str | None, lower: bool = True) -> list[bytes]:
     """Maximal runs of ``[^\\x20\\x09-\\x0D]``; ``lower`` folds A-Z only. Null gives none.
 
