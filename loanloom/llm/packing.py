@@ -13,6 +13,8 @@ separate documents; an empty table gives an empty result; other columns are igno
 from __future__ import annotations
 
 import bisect
+import re
+import struct
 from collections.abc import Iterator
 from itertools import chain
 
@@ -24,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import written
+from .text import Memo
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("open", pa.bool_())])
@@ -34,24 +37,64 @@ _MERGED = 1 << 62
 class ChunkTokenizer:
     """Ids of whole texts, remembered by chunk between spaces or line ends.
 
-    These two characters separate words for tokenizers that drop white space, so the ids of a text are
-    those of its chunks in order. ``limit`` bounds the memo only.
+    These two characters separate words for tokenizers that drop white space, so the ids of a text are those of its
+    chunks in order. A chunk of Latin letters and then marks is coded from its lower-cased letters and its marks, if
+    the tokenizer splits and folds such words so, which is tried on probes; any other chunk goes through the whole
+    tokenizer. ``limit`` bounds the memo only: of two generations, the older one is dropped.
     """
 
+    WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u0148\u014a-\u017e]+)([.,;:!?|#*$%&]*)")
+    PROBES = ("Abc,", "\u00c9t\u00e9.", "xyz!!", "Q?:;", "\u0160koda|", "thIng", "abc###", "de%%%", "fg&&&.", "h$$$", "ij***!!")
+
     def __init__(self, path: str, limit: int = 250_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.letters = Memo(lambda c: "".join(x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(c))))
+        whole = self._whole(list(self.PROBES))
+        try:
+            self.direct = [self._word(self.WORD.fullmatch(p)) for p in self.PROBES] == whole
+            self.direct &= not any(self.WORD.match(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
+        except Exception:  # a tokenizer without one of the parts
+            self.direct = False
+
+    def _whole(self, chunks: list[str]) -> list[bytes]:
+        return [np.array(c.ids, "<u4").tobytes() for c in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def _piece(self, piece: str) -> bytes:
+        coded = self.pieces.get(piece)
+        if coded is None:
+            ids = [t.id for t in self.tokenizer.model.tokenize(piece.translate(self.letters))]
+            coded = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return coded
+
+    def _word(self, match: re.Match) -> bytes:
+        letters, marks = match.groups()
+        return self._piece(letters.lower()) + (self._piece(marks) if marks else b"")
+
+    def _learn(self, chunks: set[str]) -> None:
+        other = []
+        for chunk in chunks:
+            coded = self.older.get(chunk)
+            if coded is None:
+                match = self.WORD.fullmatch(chunk) if self.direct else None
+                if match is None:
+                    other.append(chunk)
+                    continue
+                coded = self._word(match)
+            self.known[chunk] = coded
+        self.known.update(zip(other, self._whole(other)))
 
     def encode(self, texts: list[str | None], end: bytes) -> list[bytes]:
         split = [(text or "").replace("\n", " ").split(" ") for text in texts]
         if len(self.known) > self.limit:
-            self.known = {}
-        new = list(set(chain.from_iterable(split)).difference(self.known))
-        for k in range(0, len(new), 20_000):
-            part = new[k : k + 20_000]
-            coded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.known.update((word, np.array(c.ids, "<u4").tobytes()) for word, c in zip(part, coded))
+            self.older, self.known = self.known, {}
+        if len(self.pieces) > self.limit:
+            self.pieces = {}
+        self._learn(set(chain.from_iterable(split)).difference(self.known))
         get = self.known.__getitem__
         return [b"".join(map(get, parts)) + end for parts in split]
 
