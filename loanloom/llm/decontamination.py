@@ -2,7 +2,7 @@
 
 Passages are TF-IDF vectors over the benchmark's words; words in more than ``common`` of all passages weigh nothing,
 words outside the benchmark only add to a passage's length. A randomised SVD of the corpus passages and the
-benchmark's own gives a latent basis: two passes over all documents sum the products of their sparse rows with a
+benchmark's own gives a latent basis: one pass over all documents sums the products of their sparse rows with a
 small dense matrix. A last pass projects sliding windows of every document, of about each item's size, takes those
 whose cosine with an item reaches ``least_cosine``, and checks them by the longest common subsequence of words: at
 least ``exact`` of the item, or ``loose`` of it with ``answer`` of its last part, where the answer stands.
@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -77,7 +78,7 @@ class Items:
         """The words of the texts, their columns laid end to end (last column: any other word) and the sizes."""
         split = [plain_words(t) for t in texts]
         other = len(self.columns)
-        at = np.fromiter((self.columns.get(w, other) for s in split for w in s), np.int64, sum(map(len, split)))
+        at = np.fromiter(map(self.columns.get, chain.from_iterable(split), repeat(other)), np.int64, sum(map(len, split)))
         return split, at, np.array([len(s) for s in split], np.int64)
 
     def matrix(self) -> np.ndarray:
@@ -158,10 +159,16 @@ def _factor(texts: DataFrame, items: Items, rank: int, extra: int, seed: int) ->
         balance = energy[0] / max(1e-9, float((mine**2).sum())) if energy[0] else 1.0
         return corpus + max(1.0, balance) * (own.T @ mine)
 
-    rng = np.random.default_rng(seed)
-    q, _ = np.linalg.qr(product(rng.standard_normal((columns, size))))
-    values, vectors = np.linalg.eigh(q.T @ product(q))
-    items.basis = (q @ vectors[:, ::-1][:, :rank]).astype(np.float32)
+    # one pass: the Gram matrix is positive, so its products with a random basis give its leading vectors (Nystrom)
+    start, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((columns, size)))
+    y = product(start)
+    shift = 1e-7 * np.linalg.norm(y)
+    y += shift * start
+    core = start.T @ y
+    values, vectors = np.linalg.eigh((core + core.T) / 2)
+    keep = values > 1e-12 * values.max(initial=1e-300)
+    left, _, _ = np.linalg.svd(y @ vectors[:, keep] / np.sqrt(values[keep]), full_matrices=False)
+    items.basis = left[:, :rank].astype(np.float32)
 
 
 def _search(docs: DataFrame, items: Items, limits: tuple[float, float, float, float]) -> DataFrame:
