@@ -6,9 +6,9 @@ rarer hash buckets first; two sets with similarity of at least ``t`` then share
 only groups meet in the prefix index.
 
 Where many classes share a prefix shingle, not all pairs are made. Each is verified against one pivot of the
-shingle. Those near the pivot are linked by it. Among the others, and between them and the near ones, only pairs
-of different components are verified, and none whose distances to the pivot differ by more than ``1 - t``: the
-Jaccard distance is a metric, so they cannot be linked. No link between components is lost.
+shingle, the one whose own prefix is most frequent, and those near it are linked by it. What is left are pairs of
+different components, of which one is not near the pivot: their shared prefix shingles are counted in blocks, and
+only pairs with as many as linked sets must share are verified. No link between components is lost.
 
 Defined cases: null and empty texts have empty sets and are linked with nothing; rows with one id count as one
 node; a null id is carried without links; other columns are ignored; an empty table gives an empty result.
@@ -28,11 +28,10 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .scratch import cut, written
-from .text import hash_memo, shingles, word_hashes, words
+from .text import hash_memo, shingles, thinned, word_hashes, words
 
 #: Size of the table of shingle frequencies that orders prefixes: 2**bits counts, whatever the input.
 SKETCH_BITS, _BLOCK = 20, 4096
-_ID_BUCKETS = 1 << 20
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -92,11 +91,14 @@ def profiles(docs: DataFrame, order, width: int, t: Fraction, bits: int = SKETCH
                     n.append(len(s))
                     k1.append(xxhash.xxh3_64_intdigest(raw, 1) - (1 << 63))
                     k2.append(xxhash.xxh3_64_intdigest(raw, 2) - (1 << 63))
-                    first = s[:0]
+                    first, usual = s[:0], 0
                     if len(s):
                         size = len(s) - math.ceil(t * len(s)) + 1
-                        first = s[np.lexsort((s, table[(s >> shift).astype(np.int64)]))[:size]]
-                    pk.append(xxhash.xxh3_64_intdigest(np.sort(first).tobytes(), 3) - (1 << 63))
+                        often = table[(s >> shift).astype(np.int64)]
+                        best = np.lexsort((s, often))[:size]
+                        first, usual = s[best], min(1023, int(16 * np.log2(1.0 + often[best]).mean()))
+                    # the group's number: least for prefixes of frequent shingles, as an original has among its copies
+                    pk.append((1023 - usual) << 53 | xxhash.xxh3_64_intdigest(np.sort(first).tobytes(), len(s)) >> 11)
                     prefix.append(first.view(np.int64))
                 flat = np.concatenate(prefix) if prefix else np.zeros(0, np.int64)
                 offsets = np.concatenate(([0], np.cumsum([len(p) for p in prefix]))).astype(np.int32)
@@ -106,39 +108,27 @@ def profiles(docs: DataFrame, order, width: int, t: Fraction, bits: int = SKETCH
     return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, pk long, prefix array<long>")
 
 
-def _class_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """(cls, n, shingles) of the given classes. Ids of a fixed number of hash buckets, all broadcast, thin out the texts first."""
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(_ID_BUCKETS))
-    wanted = classes.select(bucket("cls").alias("bucket")).distinct()
-    near = docs.withColumn("bucket", bucket("doc_id")).join(F.broadcast(wanted), "bucket", "left_semi")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = hash_memo()
-        for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                part = batch.slice(k, 500)
-                sets = list(_sets(part.column(1).to_pylist(), memo, width))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "n", "shingles"])
-
-    texts = near.join(classes.select(F.col("cls").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text")
-    return texts.mapInArrow(run, "cls long, n long, shingles binary")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, both, either): sizes of intersection and union."""
-    side = lambda c, s: sets.select(F.col("cls").alias(c), F.col("shingles").alias(s))
-    joined = pairs.select("a", "b").distinct().join(side("a", "sa"), "a").join(side("b", "sb"), "b").select("a", "b", "sa", "sb")
+def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(a, b, both, either): sizes of intersection and union of the sets of two classes, from the texts of their
+    least ids. Texts of other ids are mostly left where they are."""
+    pairs = pairs.select("a", "b").distinct()
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    texts = written(thinned(docs, ids, "doc_id").join(ids, "doc_id", "left_semi"))
+    side = lambda c, t: texts.select(F.col("doc_id").alias(c), F.col("text").alias(t))
+    joined = pairs.join(side("a", "ta"), "a").join(side("b", "tb"), "b").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, held, v = hash_memo(), None, None
         for batch in batches:
             both, either = [], []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(u) > len(v):
-                    u, v = v, u
-                at = np.searchsorted(v, u)
-                at[at == len(v)] = 0
-                same = int((v[at] == u).sum())
+            for x, k, y in zip(batch.column(2), batch.column(1).to_pylist(), batch.column(3)):
+                if k != held:  # rows come in the order of b
+                    held, v = k, next(_sets([y.as_py()], memo, width))
+                u = next(_sets([x.as_py()], memo, width))
+                small, large = (u, v) if len(u) <= len(v) else (v, u)
+                at = np.searchsorted(large, small)
+                at[at == len(large)] = 0
+                same = int((large[at] == small).sum()) if len(large) else 0
                 both.append(same)
                 either.append(len(u) + len(v) - same)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int64()), pa.array(either, pa.int64())], names=["a", "b", "both", "either"])
@@ -146,6 +136,70 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return written(joined.mapInArrow(run, "a long, b long, both long, either long"))
 
 
+#: Classes of a chunk, the unit in which classes with common shingles meet.
+_CHUNK = 256
+
+
+def _across(rows: DataFrame, found: DataFrame, t: Fraction) -> DataFrame:
+    """Pairs (a, b) of different components that may still be linked.
+
+    Of two sets in the global order, what the prefixes do not share can only lie in the longer of the two suffixes, so
+    linked sets share at least ``needed`` prefix shingles. Classes are put into chunks with others of their usual
+    pivot; a class meets a chunk if enough of its prefix occurs in the chunk at all, and the shared shingles of the
+    classes are counted there, chunk against block of classes. Only pairs with enough of them are returned.
+    """
+    num, den = t.numerator, t.denominator
+    placed = rows.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    mixed = placed.groupBy("tok").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("tok")
+    each = placed.join(mixed, "tok", "left_semi").groupBy("cls", "n", "component").agg(F.collect_set("tok").alias("toks"), F.mode("pivot").alias("home"), F.max(~F.col("near")).alias("far"))
+    sizes = each.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / _CHUNK).alias("chunks"))
+    each = written(each.join(sizes, "home").withColumn("chunk", F.pmod(F.xxhash64("cls"), F.col("chunks"))).drop("chunks"))
+
+    spans = each.groupBy("home", "chunk").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    where = each.select(F.explode("toks").alias("tok"), "home", "chunk").distinct()
+    meets = each.filter("far").select("cls", "n", F.explode("toks").alias("tok")).join(where, "tok").groupBy("cls", "n", "home", "chunk").agg(F.count(F.lit(1)).alias("u"))
+    suffix = lambda n: F.ceil(n * num / den) - 1
+    need = lambda n: F.ceil((F.col("n") + n) * num / (num + den)) - F.greatest(suffix(F.col("n")), suffix(n)) - 1
+    lo, hi = F.greatest("least", F.ceil(F.col("n") * num / den)), F.least("most", F.floor(F.col("n") * den / num))
+    meets = meets.join(spans, ["home", "chunk"]).filter((lo <= hi) & (F.col("u") >= F.least(need(lo), need(hi)))).select("cls", "home", "chunk")
+    many = meets.groupBy("home", "chunk").agg(F.ceil(F.count(F.lit(1)) / (4 * _CHUNK)).alias("blocks"))
+    asked = each.select("cls", "n", "component", "toks").join(meets, "cls").join(many, ["home", "chunk"])
+    asked = asked.groupBy("home", "chunk", F.pmod(F.xxhash64("cls"), F.col("blocks")).alias("block")).agg(F.collect_list(F.struct("cls", "n", "component", "toks")).alias("xs"))
+    chunks = each.groupBy("home", "chunk").agg(F.collect_list(F.struct("cls", "n", "component", "toks")).alias("ys"))
+
+    def flat(rows_: list[dict]) -> tuple[np.ndarray, ...]:
+        toks = [np.array(r["toks"], np.int64) for r in rows_]
+        ids, n, component = (np.array([r[c] for r in rows_], np.int64) for c in ("cls", "n", "component"))
+        return ids, n, component, np.concatenate(toks), np.repeat(np.arange(len(rows_)), [len(x) for x in toks])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for xs, ys in zip(batch.column(0), batch.column(1)):
+                x_id, x_n, x_comp, x_tok, x_at = flat(xs.as_py())
+                y_id, y_n, y_comp, y_tok, y_at = flat(ys.as_py())
+                by = np.argsort(y_tok, kind="stable")
+                y_tok, y_at = y_tok[by], y_at[by]
+                pairs: dict[str, list[np.ndarray]] = {"a": [], "b": []}
+                for lo_ in range(0, len(x_id), 64):
+                    part = (x_at >= lo_) & (x_at < lo_ + 64)
+                    tok, at = x_tok[part], x_at[part] - lo_
+                    first, last = np.searchsorted(y_tok, tok, "left"), np.searchsorted(y_tok, tok, "right")
+                    size = last - first
+                    place = np.repeat(first - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(int(size.sum())) if len(size) else np.zeros(0, np.int64)
+                    shared = np.bincount(np.repeat(at, size) * len(y_id) + y_at[place], minlength=64 * len(y_id)).reshape(64, -1)[: len(x_id) - lo_]
+                    n = x_n[lo_ : lo_ + 64, None]
+                    alpha = -(-(n + y_n) * num // (num + den))
+                    suffix_ = -(-np.maximum(n, y_n) * num // den) - 1
+                    ok = (shared >= np.maximum(alpha - suffix_, 1)) & (x_comp[lo_ : lo_ + 64, None] != y_comp) & (np.minimum(n, y_n) * den >= np.maximum(n, y_n) * num)
+                    i, j = np.nonzero(ok)
+                    u, v = x_id[i + lo_], y_id[j]
+                    pairs["a"].append(np.minimum(u, v))
+                    pairs["b"].append(np.maximum(u, v))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in pairs.values()], names=["a", "b"])
+
+    return written(asked.join(chunks, ["home", "chunk"]).select("xs", "ys").mapInArrow(count, "a long, b long").distinct())
+
+
 def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, numerator: int = 80, denominator: int = 100) -> DataFrame:
     """Per document: ``doc_id``, ``n_shingles``, ``class_id`` (least id with the same set) and ``component_id``.
 
@@ -160,11 +214,17 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wid
     groups = classes.groupBy("n", "pk").agg(F.min("cls").alias("gid"))
     members = classes.join(groups, ["n", "pk"]).select("cls", "gid", "n")
 
-    # the prefix index of groups; only shingles of two groups or more can give pairs
-    heads = groups.select(F.col("gid").alias("doc_id"), F.col("pk").alias("gpk"))
-    index = profile.join(heads, "doc_id").filter("pk = gpk").select(F.explode("prefix").alias("tok"), F.col("doc_id").alias("gid")).distinct()
-    shared = index.groupBy("tok").agg(F.count(F.lit(1)).alias("groups"), F.min("gid").alias("pivot")).filter("groups > 1").drop("groups")
-    index = written(index.join(shared, "tok"))
+    # the prefix index of groups, each under a number; only shingles of two groups or more can give pairs
+    number = F.col("pk").alias("g")
+    index = profile.filter("n > 0 and doc_id is not null").select(F.explode("prefix").alias("tok"), number)
+    shared = index.groupBy("tok").agg(F.min("g").alias("p"), F.max("g").alias("q")).filter("p < q").drop("q")
+    index = index.join(shared, "tok").distinct()
+    gids = groups.select(number, "gid")
+    # classes of one group meet under all shingles of their prefix
+    several = classes.groupBy("n", "pk").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(number)
+    own = profile.filter("n > 0 and doc_id is not null").select(number, "prefix").join(several, "g").select(F.explode("prefix").alias("tok"), "g", F.col("g").alias("p")).distinct()
+    index = index.select("tok", "g", "p").unionByName(own)
+    index = written(index.join(gids, "g").join(gids.select(F.col("g").alias("p"), F.col("gid").alias("pivot")), "p").select("tok", "gid", "pivot"))
 
     alone = members.filter("cls <> gid").select(F.col("cls").alias("a"), F.col("gid").alias("b"))
     n_of = lambda a, n: members.select(F.col("cls").alias(a), F.col("n").alias(n))
@@ -172,9 +232,7 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wid
     star = star.join(n_of("b", "nb"), "b").filter(_sizes("na", "nb", numerator, denominator)).select("a", "b")
     pairs = cut(star.unionByName(alone).distinct())
 
-    involved = index.select("gid").distinct().join(members, "gid").select("cls").unionByName(alone.select(F.explode(F.array("a", "b")).alias("cls"))).distinct()
-    sets = written(_class_sets(docs, involved, width))
-    first = _verified(pairs, sets)
+    first = _verified(pairs, docs, width)
     linked = lambda v: v.filter(F.col("both") * denominator >= F.col("either") * numerator).select("a", "b")
 
     # every class in its shingles' buckets, with its distance to the pivot; null where sizes alone part them
@@ -184,30 +242,11 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wid
     reach = 1 - numerator / denominator
     rows = written(rows.withColumn("near", F.coalesce(F.col("d") <= reach - 1e-9, F.lit(False))))
 
-    # a second star among those that are not near their pivot
-    apart = rows.filter(~F.col("near"))
-    second_pivot = apart.groupBy("tok").agg(F.min(F.struct("cls", "n")).alias("p"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("tok", F.col("p.cls").alias("b"), F.col("p.n").alias("nb"))
-    more = apart.join(second_pivot, "tok").filter(F.col("cls") != F.col("b")).filter(_sizes("n", "nb", numerator, denominator))
-    second = _verified(cut(more.select(F.col("cls").alias("a"), "b").distinct()), sets)
-    edges = linked(first).unionByName(linked(second))
+    edges = linked(first)
     found = components(edges)
-
-    # what is left: pairs of different components that the pivot cannot rule out
-    placed = rows.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    mixed = placed.groupBy("tok").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("tok")
-    placed = cut(placed.join(mixed, "tok", "left_semi"))
-    x = placed.filter(~F.col("near")).select("tok", *(F.col(c).alias(f"x_{c}") for c in ("cls", "n", "d", "component")))
-    y = placed.select("tok", *(F.col(c).alias(f"y_{c}") for c in ("cls", "n", "d", "component", "near")))
-    rest = x.join(y, "tok").filter(
-        (F.col("x_component") != F.col("y_component"))
-        & (F.col("y_near") | (F.col("x_cls") < F.col("y_cls")))
-        & _sizes("x_n", "y_n", numerator, denominator)
-        & F.coalesce(F.abs(F.col("x_d") - F.col("y_d")) <= reach + 1e-9, F.lit(True))
-    )
-    rest = cut(rest.select(F.least("x_cls", "y_cls").alias("a"), F.greatest("x_cls", "y_cls").alias("b")).distinct())
-    third = linked(_verified(rest, sets))
-    if not third.isEmpty():
-        found = components(edges.unionByName(third))
+    rest = _across(rows, found, t)
+    if not rest.isEmpty():
+        found = components(edges.unionByName(linked(_verified(rest, docs, width))))
 
     named = light.join(classes.drop("pk"), ["n", "k1", "k2"], "left")
     out = named.join(found.withColumnRenamed("node", "cls"), "cls", "left")
