@@ -4,8 +4,9 @@ Passages are TF-IDF vectors over the benchmark's words; words in more than ``com
 words outside the benchmark only add to a passage's length. A randomised SVD of the corpus passages and the
 benchmark's own gives a latent basis: one pass over all documents sums the products of their sparse rows with a
 small dense matrix. A last pass projects sliding windows of every document, of about each item's size, takes those
-whose cosine with an item reaches ``least_cosine``, and checks them by the longest common subsequence of words: at
-least ``exact`` of the item, or ``loose`` of it with ``answer`` of its last part, where the answer stands.
+whose cosine with an item reaches ``least_cosine``, and checks all of these, best first, until one passes, by the
+longest common subsequence of words: at least ``exact`` of the item, or ``loose`` of it with ``answer`` of its last
+part, where the answer stands.
 
 The benchmark is the query set: it is taken in blocks of ``block_items`` items, each against all documents.
 
@@ -171,6 +172,14 @@ def _factor(texts: DataFrame, items: Items, rank: int, extra: int, seed: int) ->
     items.basis = left[:, :rank].astype(np.float32)
 
 
+def _shares(own: list[bytes], words: list[bytes], start: int, w: int) -> tuple[float, float]:
+    """The shares of an item and of its last part that the window and its margins have in order."""
+    margin = w // 4 + 1
+    window = words[max(0, start - margin) : start + w + margin]
+    tail = own[-max(1, len(own) // 4) :]
+    return common_subsequence(own, window) / len(own), common_subsequence(tail, window) / len(tail)
+
+
 def _search(docs: DataFrame, items: Items, limits: tuple[float, float, float, float]) -> DataFrame:
     least_cosine, exact, loose, answer = limits
     kind = docs.schema["id"].dataType.simpleString()
@@ -216,19 +225,15 @@ def _search(docs: DataFrame, items: Items, limits: tuple[float, float, float, fl
                     a, b = np.searchsorted(use, lo[near]), np.searchsorted(use, hi[near])
                     z = (sums[b] - sums[a]) / np.sqrt(np.maximum(mass[hi[near]] - mass[lo[near]], 1e-9))[:, None]
                     cosine = z @ unit[members].T
-                    best: dict[tuple[int, int], tuple[float, int]] = {}
+                    asked: dict[tuple[int, int], list[tuple[float, int]]] = {}
                     for x, y in zip(*np.nonzero(cosine >= least_cosine)):
-                        key, value = (int(text[near[x]]), int(members[y])), (float(cosine[x, y]), int(place[near[x]]))
-                        if value > best.get(key, (-1.0, 0)):
-                            best[key] = value
-                    for (doc, item), (value, start) in best.items():
-                        own, margin = it.words[item], w // 4 + 1
-                        window = split[doc][max(0, start - margin) : start + w + margin]
-                        tail = own[-max(1, len(own) // 4) :]
-                        share = common_subsequence(own, window) / len(own)
-                        last = common_subsequence(tail, window) / len(tail)
-                        if share >= exact or share >= loose and last >= answer:
-                            found.append((base + doc, it.ids[item], start, value, share, last))
+                        asked.setdefault((int(text[near[x]]), int(members[y])), []).append((-float(cosine[x, y]), int(place[near[x]])))
+                    for (doc, item), windows in asked.items():
+                        for value, start in sorted(windows):
+                            share, last = _shares(it.words[item], split[doc], start, w)
+                            if share >= exact or share >= loose and last >= answer:
+                                found.append((base + doc, it.ids[item], start, -value, share, last))
+                                break
             cols = list(zip(*found)) or [[]] * 6
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], item_type), pa.array(cols[2], pa.int64()), *(pa.array(c, pa.float64()) for c in cols[3:])],

@@ -236,6 +236,21 @@ def test_leaks_are_found_and_clean_documents_are_not(spark):
     assert decontamination.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_leaks_behind_a_better_looking_decoy(spark):
+    """A scrambled item has the greater cosine; the passage with other words in it is the leak."""
+    rng = random.Random(11)
+    item = [f"q{k}" for k in range(30)]
+    scrambled = item[::-1]
+    passage = list(item)
+    for k in (4, 9, 14, 19):
+        passage[k] = f"other{k}"
+    clean = [(k, _text(rng, 150)) for k in range(60)]
+    long = f"{_text(rng, 64)} {' '.join(scrambled)} {_text(rng, 300)} {' '.join(passage)} {_text(rng, 100)}"
+    docs = spark.createDataFrame([*clean, (100, long), (101, f"{_text(rng, 64)} {' '.join(scrambled)}")], "doc_id long, text string")
+    got = decontamination.leaks(docs, spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")).collect()
+    assert [r["doc_id"] for r in got] == [100] and got[0]["start_word"] > 300
+
+
 def test_common_subsequence():
     rng = random.Random(2)
     for _ in range(50):
