@@ -8,6 +8,9 @@ whose cosine with an item reaches ``least_cosine``, and checks all of these, bes
 longest common subsequence of words: at least ``exact`` of the item, or ``loose`` of it with ``answer`` of its last
 part, where the answer stands.
 
+Items whose words are too common for that (a verbatim copy beside words of the greatest weight might not reach the
+cosine) are searched exactly: the same windows of all documents that hold enough of the item's words are checked.
+
 The benchmark is the query set: it is taken in blocks of ``block_items`` items, each against all documents.
 
 Defined cases: null and empty texts match nothing; items without a word are skipped; repeated rows are reported
@@ -74,6 +77,7 @@ class Items:
         self.columns = {w: k for k, w in enumerate(sorted({x for w in self.words for x in w}))}
         self.idf = np.zeros(len(self.columns) + 1)
         self.basis = np.zeros((len(self.columns), 0))
+        self.light = np.zeros(len(self.words), bool)
 
     def read(self, texts: list[str | None]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
         """The words of the texts, their columns laid end to end (last column: any other word) and the sizes."""
@@ -89,6 +93,22 @@ class Items:
         return out * self.idf[:-1]
 
 
+    def mark_light(self, least_cosine: float) -> None:
+        """Mark the items of which a verbatim copy may stay below ``least_cosine`` in the window nearest to it."""
+        heavy = self.idf[-1] ** 2
+        for k, (own, w) in enumerate(zip(self.words, self.widths)):
+            at = np.array([self.columns[x] for x in own])
+            _, back, times = np.unique(at, return_inverse=True, return_counts=True)
+            weight = self.idf[at] ** 2
+            product = np.sort(weight * times[back])
+            spare = w - len(own)
+            lost = max(0, -(-(max(1, w // 4) - spare) // 2))  # words of the copy outside of the window
+            mass = weight.sum() + (spare + lost) * heavy
+            inner = np.sort(weight)[: max(0, len(own) - lost)].sum()
+            least = least_cosine * np.sqrt(product.sum() * mass)
+            self.light[k] = product.sum() == 0 or product[: max(0, len(own) - lost)].sum() < least or inner < 0.5 * least_cosine**2 * mass
+
+
 def _passages(sizes: np.ndarray) -> np.ndarray:
     """The passage of each word: runs of PASSAGE words that end with their text."""
     starts = np.cumsum(sizes) - sizes
@@ -193,7 +213,9 @@ def _search(docs: DataFrame, items: Items, limits: tuple[float, float, float, fl
         whole = np.linalg.norm(it.matrix(), axis=1)
         # a full match of an item reaches the share of the item that the basis holds
         unit = latent / np.maximum(length**2 / np.maximum(whole, 1e-9), 1e-9)[:, None]
-        groups = [(w, np.flatnonzero(np.array(it.widths) == w)) for w in sorted(set(it.widths))]
+        groups = [(w, np.flatnonzero((np.array(it.widths) == w) & ~it.light)) for w in sorted(set(it.widths))]
+        groups = [(w, members) for w, members in groups if len(members)]
+        member = np.zeros(len(it.columns) + 1, bool)
         columns = len(it.columns)
         for batch in batches:
             found: list[tuple] = []
@@ -208,28 +230,55 @@ def _search(docs: DataFrame, items: Items, limits: tuple[float, float, float, fl
                 inner = np.concatenate(([0.0], np.cumsum(np.where(inside, weight**2, 0.0))))
                 sums = None
                 begin = np.cumsum(sizes) - sizes
-                for w, members in groups:
+
+                def windows(w: int) -> tuple[np.ndarray, ...]:
+                    """Text, first word in it, and bounds of all windows."""
                     step = max(1, w // 4)
                     count = np.where(sizes > 0, np.maximum(0, -(-(sizes - w) // step)) + 1, 0)
                     text = np.repeat(np.arange(len(sizes)), count)
                     place = (np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)) * step
                     lo = begin[text] + place
-                    hi = np.minimum(lo + w, (begin + sizes)[text])
+                    return text, place, lo, np.minimum(lo + w, (begin + sizes)[text])
+
+                def project(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+                    nonlocal sums
+                    if sums is None:
+                        sums = np.zeros((len(use) + 1, it.basis.shape[1]))
+                        np.cumsum(it.basis[at[use]] * weight[use, None], axis=0, out=sums[1:])
+                    a, b = np.searchsorted(use, lo), np.searchsorted(use, hi)
+                    return (sums[b] - sums[a]) / np.sqrt(np.maximum(mass[hi] - mass[lo], 1e-9))[:, None]
+
+                for item in np.flatnonzero(it.light):
+                    own, w = it.words[item], it.widths[item]
+                    text, place, lo, hi = windows(w)
+                    member[:] = False
+                    member[[it.columns[x] for x in own]] = True
+                    held = np.concatenate(([0], np.cumsum(member[at])))
+                    margin = w // 4 + 1
+                    held = held[np.minimum(hi + margin, (begin + sizes)[text])] - held[np.maximum(lo - margin, begin[text])]
+                    # no common subsequence is longer than the window's words of the item
+                    near = np.flatnonzero(held >= min(exact, loose) * len(own) - 1e-9)
+                    done = -1
+                    for k in near[np.lexsort((place[near], -held[near], text[near]))]:
+                        if text[k] == done:
+                            continue
+                        share, last = _shares(own, split[text[k]], int(place[k]), w)
+                        if share >= exact or share >= loose and last >= answer:
+                            done = text[k]
+                            found.append((base + int(done), it.ids[item], int(place[k]), float(project(lo[k : k + 1], hi[k : k + 1])[0] @ unit[item]), share, last))
+                for w, members in groups:
+                    text, place, lo, hi = windows(w)
                     near = np.flatnonzero(inner[hi] - inner[lo] >= 0.5 * least_cosine**2 * (mass[hi] - mass[lo]))
                     near = near[inner[hi[near]] > inner[lo[near]]]
                     if not len(near):
                         continue
-                    if sums is None:
-                        sums = np.zeros((len(use) + 1, it.basis.shape[1]))
-                        np.cumsum(it.basis[at[use]] * weight[use, None], axis=0, out=sums[1:])
-                    a, b = np.searchsorted(use, lo[near]), np.searchsorted(use, hi[near])
-                    z = (sums[b] - sums[a]) / np.sqrt(np.maximum(mass[hi[near]] - mass[lo[near]], 1e-9))[:, None]
+                    z = project(lo[near], hi[near])
                     cosine = z @ unit[members].T
                     asked: dict[tuple[int, int], list[tuple[float, int]]] = {}
                     for x, y in zip(*np.nonzero(cosine >= least_cosine)):
                         asked.setdefault((int(text[near[x]]), int(members[y])), []).append((-float(cosine[x, y]), int(place[near[x]])))
-                    for (doc, item), windows in asked.items():
-                        for value, start in sorted(windows):
+                    for (doc, item), places in asked.items():
+                        for value, start in sorted(places):
                             share, last = _shares(it.words[item], split[doc], start, w)
                             if share >= exact or share >= loose and last >= answer:
                                 found.append((base + doc, it.ids[item], start, -value, share, last))
@@ -255,6 +304,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
         if not block.ids:
             continue
         _weigh(rows.select("text"), block, common)
+        block.mark_light(least_cosine)
         _factor(rows.select("text"), block, rank, extra, seed)
         out.append(_search(rows, block, (least_cosine, exact, loose, answer)))
     kinds = f"id {rows.schema['id'].dataType.simpleString()}, item_id {asked.schema['item'].dataType.simpleString()}, start_word long, cosine double, common double, answer double"

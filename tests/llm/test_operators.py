@@ -251,6 +251,20 @@ def test_leaks_behind_a_better_looking_decoy(spark):
     assert [r["doc_id"] for r in got] == [100] and got[0]["start_word"] > 300
 
 
+def test_leaks_of_common_words(spark):
+    """An item copied into a third of all rows, and one of words that every document has."""
+    rng = random.Random(12)
+    hot, usual = " ".join(f"q{k}" for k in range(30)), " ".join(WORDS[k] for k in rng.sample(range(60), 24))
+    rows = [(k, _text(rng, 120)) for k in range(90)]
+    rows += [(100 + k, f"{_text(rng, 50)} {hot} {_text(rng, 40)}") for k in range(47)]
+    rows += [(200, f"{_text(rng, 75)} {usual} {_text(rng, 20)}"), (201, usual), (202, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = [(0, hot), (1, usual), (2, " ".join(f"rare{k}" for k in range(30)))]
+    for asked in (items, items[:1], items[1:2]):
+        got = sorted((r["item_id"], r["doc_id"]) for r in decontamination.leaks(docs, spark.createDataFrame(asked, "item_id long, text string")).collect())
+        assert got == sorted([(0, 100 + k) for k in range(47) if items[0] in asked] + [(1, k) for k in (200, 201) if items[1] in asked])
+
+
 def test_common_subsequence():
     rng = random.Random(2)
     for _ in range(50):
