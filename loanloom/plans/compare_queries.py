@@ -66,7 +66,14 @@ query("f1_regressor_profile", TAPE + ", c AS (SELECT state AS v, count(*) AS n F
     lambda s, d: features.profile(loans(s, d), ["obligorGeographicLocation"]).select("field", "rows", "top", r8("top_share").alias("top_share")))
 query("f1_encoded", TAPE + " SELECT CAST(sum(CASE WHEN new_used = 1 THEN 1 ELSE 0 END) AS BIGINT) AS one, CAST(sum(CASE WHEN new_used = 2 THEN 1 ELSE 0 END) AS BIGINT) AS two FROM tape")(
     lambda s, d: features.encode(loans(s, d), ["vehicleNewUsedCode", "consumerCreditScore"]).agg(F.sum("vehicleNewUsedCode_is_1").alias("one"), F.sum("vehicleNewUsedCode_is_2").alias("two")))
-query("f2_importances")(lambda s, d: features.importances(loans(s, d).filter("reportingPeriodBeginningDate < '2019-01-01'"), ["consumerCreditScore", "originalLoanTerm", "age", "vehicleTypeCode"], trees=20)[0].withColumn("importance", F.round("importance", 6)))
+
+
+def _importances(s, d):
+    found, area = features.importances(loans(s, d), ["consumerCreditScore", "originalLoanTerm", "age", "vehicleTypeCode"])
+    return found.select("feature", F.round("importance", 6).alias("importance"), F.lit(round(area, 6)).alias("area"))
+
+
+query("f2_importances")(_importances)
 query("f3_f4_interactions", TAPE + ", b AS (SELECT CASE WHEN fico < hi THEN CAST(least(floor((fico - lo) / ((hi - lo) / 7.0)), 6) AS INT) END AS fb, veh_type - 1 AS vb, md FROM tape, (SELECT CAST(min(fico) AS DOUBLE) AS lo, CAST(max(fico) AS DOUBLE) AS hi FROM tape)) SELECT fb AS \"consumerCreditScore_bucket\", CAST(vb AS INT) AS \"vehicleTypeCode_bucket\", round(avg(CASE WHEN md IN (2, 3, 4, 5) THEN 1.0 ELSE 0 END), 8) AS bad_share, count(*) AS n FROM b GROUP BY 1, 2")(
     lambda s, d: features.interactions(features.bucketed(features.bucketed(loans(s, d), "consumerCreditScore"), "vehicleTypeCode"), "consumerCreditScore_bucket", "vehicleTypeCode_bucket").withColumn("bad_share", r8("bad_share")))
 query("f5_bootstrap")(lambda s, d: features.bootstrap(loans(s, d)).groupBy("securitizationKey").agg(F.count(F.lit(1)).alias("n")))

@@ -63,3 +63,22 @@ def test_rolling_score_needs_enough_rows(spark):
 
 def test_empty_tape(spark):
     assert metrics.trust_month_metrics(spark.createDataFrame([], LOAN)).count() == 0
+
+
+def test_importances_take_the_whole_tape(spark, monkeypatch):
+    from loanloom.operators import features
+    from loanloom.plans import compare_queries  # noqa: F401  registers
+    from loanloom.plans.registry import QUERIES
+    from loanloom.plans.tape import loans
+
+    seen, fit = [], features.importances
+
+    def spy(df, columns, **more):
+        seen.append((df.count(), more))
+        return fit(df, columns, trees=2)
+
+    monkeypatch.setattr(features, "importances", spy)
+    rows = QUERIES["f2_importances"](spark, "/root/testdata/sf0.001").collect()
+    assert seen == [(loans(spark, "/root/testdata/sf0.001").count(), {})]
+    assert len(rows) == 4 and all(0 <= r["area"] <= 1 for r in rows)
+    assert sum(r["importance"] for r in rows) == pytest.approx(1, abs=1e-5)
