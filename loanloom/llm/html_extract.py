@@ -34,14 +34,19 @@ CLOSES_ITSELF = {"li": ["li"], "dt": ["dt", "dd"], "dd": ["dt", "dd"], "tr": ["t
 BAD_WORDS = ["nav", "navbar", "navigation", "menu", "header", "masthead", "footer", "sidebar", "aside", "ad", "ads", "advert", "advertisement", "banner", "sponsor", "sponsored", "promo", "cookie", "cookies", "consent", "notice", "gdpr", "popup", "modal", "overlay", "related", "recommended", "share", "social", "comment", "comments", "disqus", "reply", "replies", "form", "login", "signup", "subscribe", "newsletter", "search", "breadcrumb", "breadcrumbs", "pagination", "pager", "copyright", "legal", "widget", "toolbar", "tags", "skip"]
 GOOD_WORDS = ["article", "content", "post", "entry", "main", "story", "body", "text", "prose"]
 TAGS = ["#root", "html", "body", "div", "p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "table", "tr", "td", "th", "section", "blockquote", "pre", "figure", "figcaption", "address", "button", *INSIDE, *OUTSIDE]
-_SKIPPED = "script|style|head|title|textarea|noscript|template|iframe|object|svg|select|canvas"
+#: Elements whose inside is no markup, up to their own end tag, and elements skipped with all that they hold.
+_RAW = "script|style|title|textarea"
+SKIPPED = ["head", "template", "object", "svg", "select", "canvas", "noscript", "iframe"]
+#: Elements that may stand in a head; any other start tag ends it.
+IN_HEAD = ["base", "link", "meta", "noscript", "script", "style", "template", "title"]
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>(?:{_SKIPPED})(?=[\s/>]))[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>(?:{_RAW})(?=[\s/>]))[^>]*>(?<!/>).*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|</?[a-zA-Z][^>]*>|<[!?/][^>]*>",
     re.S | re.I,
 )
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _INLINE, _VOID, _BAD, _GOOD = set(INLINE), set(VOID), set(BAD_WORDS), set(GOOD_WORDS)
+_SKIPPED, _IN_HEAD = set(SKIPPED), set(IN_HEAD)
 _TAG = {t: k for k, t in enumerate(TAGS)}
 _N_TAGS = len(TAGS) + 1
 #: Sizes of the unary features: tag, class words, text, links.
@@ -64,6 +69,7 @@ def parse(page: str | None) -> Page:
     out = Page([0], [-1], [0], [], [0], [-1])
     stack, names = [0], ["#root"]
     buffer: list[str] = []
+    skipped: list[str] = []  # open elements of a skipped subtree, from its root
     text, link = page or "", 0
 
     def flush() -> None:
@@ -80,15 +86,45 @@ def parse(page: str | None) -> Page:
     def close(depth: int) -> None:
         del stack[depth:], names[depth:]
 
+    def text_or_skip(part: str) -> None:
+        if skipped == ["head"] and part.strip():
+            skipped.clear()  # text ends a head
+        if not skipped:
+            add(part)
+
+    def skips(tag: str, end: bool, closed: bool) -> bool:
+        """Whether a tag belongs to the skipped subtree; what cannot stand in it ends it."""
+        if end:
+            if tag in skipped:
+                del skipped[len(skipped) - 1 - skipped[::-1].index(tag) :]
+                return True
+            if tag in names:  # the end of an element around it
+                skipped.clear()
+                return False
+            return True
+        if tag == "body" or skipped == ["head"] and tag not in _IN_HEAD:
+            skipped.clear()
+            return False
+        if tag in _SKIPPED and not closed:
+            skipped.append(tag)
+        return True
+
     at = 0
     for m in _TOKEN.finditer(text):
         if m.start() > at:
-            add(text[at : m.start()])
+            text_or_skip(text[at : m.start()])
         at = m.end()
         tag = m["tag"]
         if tag is None:
             continue
         tag = tag.lower()
+        if skipped and skips(tag, bool(m["end"]), m["rest"].endswith("/")):
+            continue
+        if tag in _SKIPPED and not m["end"]:
+            flush()
+            if not m["rest"].endswith("/"):
+                skipped.append(tag)
+            continue
         if tag in _INLINE:
             if tag == "a":
                 link = 0 if m["end"] else 1
@@ -118,7 +154,7 @@ def parse(page: str | None) -> Page:
             stack.append(node)
             names.append(tag)
     if at < len(text):
-        add(text[at:])
+        text_or_skip(text[at:])
     flush()
     return out
 

@@ -287,6 +287,18 @@ def test_pages(spark):
     assert out[1] == "Title & more\nA long paragraph of text that goes on for a while, with a link in it.\nAnother é." and out[2] == out[3] == ""
 
 
+def test_skipped_elements_without_an_end():
+    blocks = lambda page: [b for _, b in html_extract.parse(page).blocks]
+    assert blocks("<html><head><title>t</title><meta charset=u><body><p>one</p><p>two</body></html>") == ["one", "two"]
+    assert blocks("<head><link rel=x><style>p {}</style><p>one<p>two") == ["one", "two"]
+    assert blocks("<head><title>t</title></head><p>one") == ["one"]
+    for tag in ("svg", "iframe", "object", "canvas", "template", "select", "noscript"):
+        assert blocks(f"<article><{tag} a='b'/><p>one</p><{tag}>gone <b>x</b></{tag}><p>two</p></article>") == ["one", "two"]
+        assert blocks(f"<div><{tag}>gone</div><p>one") == ["one"]
+    assert blocks("<p>one<svg><svg><g/></svg>gone</svg><p>two") == ["one", "two"]
+    assert blocks("<p>one<script/><p>two<script>if (a < b) '<p>'</script><p>three") == ["one", "two", "three"]
+
+
 def test_marginals_against_enumeration():
     rng = np.random.default_rng(0)
     parent = np.array([-1, 0, 0, 1, 1, 2])
