@@ -1,27 +1,17 @@
 """Intermediate tables in the folder that driver and executors share."""
 from __future__ import annotations
 
-import tempfile
+import gc
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.scratch import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; only where it is unset, a folder of our own."""
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir")
-    if path:
-        return path.rstrip("/")
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    if conf.get("spark.master", "").startswith("local"):
-        path = tempfile.mkdtemp(prefix="spark-loanloom-")
-    else:
-        path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+_recorders: list[list[DataFrame]] = []
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -29,7 +19,45 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    for tables in _recorders:
+        tables.append(out)
+    return out
+
+
+@contextmanager
+def recorded() -> Iterator[list[DataFrame]]:
+    """The tables that are written inside the block."""
+    _recorders.append([])
+    try:
+        yield _recorders[-1]
+    finally:
+        _recorders.pop()
+
+
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more, and have Spark drop the shuffle files of what has ended.
+
+    Spark does the latter when the driver's garbage is collected, each half an hour at least; steps that move much
+    data one after the other should not keep each other's files till then."""
+    for t in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(t._scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for _ in range(2):  # what the first finds is only let go of some moments later
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.2)
+
+
+def reads(df: DataFrame, table: DataFrame) -> bool:
+    """Whether ``df`` reads the written ``table``."""
+    return any(table._scratch_path.rsplit("/", 1)[1] in f for f in df.inputFiles())
+
+
+def steady(df: DataFrame) -> DataFrame:
+    """``df``, or a written copy if rows come out of an exchange, that is, in another order when it is computed again."""
+    return written(df) if "Exchange" in df._jdf.queryExecution().executedPlan().toString() else df
 
 
 def cut(df: DataFrame) -> DataFrame:

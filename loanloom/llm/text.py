@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Distinct words one Python worker remembers before it starts again; a memory bound, results do not depend on it.
@@ -19,29 +19,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _BUCKETS = 1 << 20
 
 
+def fresh(rows: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``rows`` does not have; Spark takes names that differ in case for one."""
+    held = {c.lower() for c in rows.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
+def quoted(column: str) -> Column:
+    """A column by its whole name, whatever signs are in it."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def _bucket(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(_BUCKETS))
+
+
 def thinned(rows: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
     """The rows whose key columns may be in ``wanted``, so that a following join moves few others."""
-    bucket = F.pmod(F.xxhash64(*columns), F.lit(_BUCKETS)).alias("_bucket")
-    near = F.broadcast(wanted.select(bucket).distinct())
-    return rows.withColumn("_bucket", bucket).join(near, "_bucket", "left_semi").drop("_bucket")
+    at = fresh(rows, "bucket")
+    near = F.broadcast(wanted.select(_bucket(*columns).alias(at)).distinct())
+    return rows.withColumn(at, _bucket(*columns)).join(near, at, "left_semi").drop(at)
 
 
-def without(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """The rows whose ``column`` is not in ``ids``; rows of other hash buckets are not moved."""
-    bucket = F.pmod(F.xxhash64(column), F.lit(_BUCKETS)).alias("_bucket")
-    near, tagged = F.broadcast(ids.select(bucket).distinct()), rows.withColumn("_bucket", bucket)
-    far = tagged.join(near, "_bucket", "left_anti")
-    close = tagged.join(near, "_bucket", "left_semi").join(ids.select(column).distinct(), column, "left_anti")
-    return far.unionByName(close).drop("_bucket").select(*rows.columns)
+def without(rows: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
+    """The rows whose ``columns`` (never null) are not in ``keys``; rows of other hash buckets are not moved."""
+    at = fresh(rows, "bucket")
+    near, tagged = F.broadcast(keys.select(_bucket(*columns).alias(at)).distinct()), rows.withColumn(at, _bucket(*columns))
+    far = tagged.join(near, at, "left_anti")
+    close = tagged.join(near, at, "left_semi").join(keys.select(*columns).distinct(), list(columns), "left_anti")
+    return far.unionByName(close.select(*map(quoted, tagged.columns))).drop(at)
 
 
-def most_frequent(counted: DataFrame, limit: int, count: str = "n") -> DataFrame:
-    """The rows with the greatest counts: as many counts from the top as give no more than ``limit`` rows.
+def least_count(counted: DataFrame, limit: int, count: str = "n") -> int:
+    """A count that no more than ``limit`` rows reach: the least at steps of about 1 %.
 
-    The driver gets how many rows have each count, which are few: different counts add up to the total at most."""
-    held = counted.groupBy(count).agg(F.count(F.lit(1)).alias("rows")).toArrow().to_pandas().sort_values(count, ascending=False)
+    The driver gets 64 numbers of rows for each power of two, however many different counts there are."""
+    step = F.floor(64 * F.log2(count)).alias("step")
+    held = counted.groupBy(step).agg(F.count(F.lit(1)).alias("rows"), F.min(count).alias("least")).toArrow().to_pandas().sort_values("step", ascending=False)
     fit = held[held["rows"].cumsum() <= limit]
-    return counted.filter(F.col(count) >= int(fit[count].min())) if len(fit) else counted.limit(0)
+    return int(fit["least"].min()) if len(fit) else 1 << 62
+
+
+def most_frequent(counted: DataFrame, limit: int, count: str = "n") -> DataFrame:
+    """The rows with the greatest counts: as many counts from the top as give no more than ``limit`` rows."""
+    return counted.filter(F.col(count) >= least_count(counted, limit, count))
 
 
 def words(text: str | None, lower: bool = True) -> list[bytes]:

@@ -178,18 +178,65 @@ def test_maxent_is_a_distribution_and_counts_are_exact(spark, docs, texts):
     assert sum(got[k]["score"] for k in got) > sum(got[k]["base_score"] for k in got)
 
 
-def test_kneser_ney_sums_to_one(spark):
+def _kneser_ney(texts, order):
+    """P(word | history) of an interpolated modified Kneser-Ney model, by the book."""
+    grams = {order: collections.Counter()}
+    for t in texts:
+        w = ["<s>"] * (order - 1) + (t or "").split() + ["</s>"]
+        grams[order].update(tuple(w[i - order + 1 : i + 1]) for i in range(order - 1, len(w)))
+    for k in range(order - 1, 0, -1):
+        grams[k] = collections.Counter(g[1:] for g in grams[k + 1])
+    rates = {k: kneser_ney.discounts(collections.Counter(c.values())) for k, c in grams.items()}
+    cut = lambda k, n: rates[k][min(n, 3) - 1]
+    followed = {k: collections.defaultdict(list) for k in grams}
+    for k, c in grams.items():
+        for g, n in c.items():
+            followed[k][g[:-1]].append(n)
+
+    def p(w, h):
+        k = len(h) + 1
+        own = followed[k].get(h)
+        if k == 1:
+            return max(grams[1][(w,)] - cut(1, grams[1][(w,)]) if (w,) in grams[1] else 0, 0) / sum(own) + sum(cut(1, n) for n in own) / sum(own) / (len(own) + 1)
+        if not own:
+            return p(w, h[1:])
+        n = grams[k].get((*h, w), 0)
+        return ((n - cut(k, n)) if n else 0) / sum(own) + sum(cut(k, x) for x in own) / sum(own) * p(w, h[1:])
+
+    return p, [g[0] for g in grams[1]]
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_kneser_ney_against_brute_force(spark, order):
     rng = random.Random(3)
-    rows = spark.createDataFrame([(k, _text(rng, 40)) for k in range(60)], "doc_id long, text string")
-    for order in (2, 3):
-        model = kneser_ney.train(rows, order=order, head=4)
-        # all continuations of one history, by the difference of whole-text scores
-        history = " ".join(WORDS[: order - 1])
-        asked = spark.createDataFrame([(w, f"{history} {w}") for w in [*WORDS, "never"]] + [("", history)], "doc_id string, text string")
-        sums = {r["doc_id"]: -np.log10(r["perplexity"]) * r["n_tokens"] for r in kneser_ney.perplexity(asked, model, "doc_id").collect()}
-        assert all(np.isfinite(list(sums.values())))
-        assert sums["never"] < max(sums.values())
-        assert np.sum(10 ** model.word[1:]) == pytest.approx(1, abs=1e-9)
+    texts = [_text(rng, rng.randint(0, 40)) for _ in range(80)] + [None, "", "w1 w1 w1 w1"]
+    p, vocabulary = _kneser_ney(texts, order)
+    for history in (("<s>",) * (order - 1), tuple(WORDS[: order - 1]), ("never",) * (order - 1)):
+        assert sum(p(w, history) for w in [*vocabulary, "unseen"]) == pytest.approx(1)
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    asked = [*texts, "never seen", "w1 never w2", _text(rng, 300)]
+    for head in (4, 1 << 18):  # few or all values come from arrays
+        model = kneser_ney.train(rows, order=order, head=head)
+        out = kneser_ney.perplexity(spark.createDataFrame([(k, t) for k, t in enumerate(asked)], "doc_id long, text string"), model, "doc_id")
+        got = {r["doc_id"]: r for r in out.collect()}
+        for k, t in enumerate(asked):
+            w = ["<s>"] * (order - 1) + (t or "").split() + ["</s>"]
+            logs = [np.log10(p(w[i], tuple(w[i - order + 1 : i]))) for i in range(order - 1, len(w))]
+            assert got[k]["n_tokens"] == len(logs) and got[k]["perplexity"] == pytest.approx(10 ** -np.mean(logs), rel=1e-5)
+
+
+def test_quality_thresholds(spark):
+    """Each language's own quantile, that of all languages where there are few trusted texts, ties kept."""
+    rng = random.Random(14)
+    rows = [(k, _text(rng, 30), "en") for k in range(300)] + [(300 + k, _text(rng, 30), "de") for k in range(20)] + [(400, "zz yy", None), (401, None, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = kneser_ney.judged(docs, docs.filter("doc_id < 320").select("doc_id"), least_docs=20, quantile=0.5, slack=1.0).collect()
+    held = {r["doc_id"] for r in docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).collect() if r["doc_id"] < 320}
+    own = sorted(r["perplexity"] for r in out if r["doc_id"] in held and r["lang"] == "en")
+    each = {r["lang"]: r["threshold"] for r in out}
+    assert each["en"] == own[(len(own) + 1) // 2 - 1] and each["de"] == each["und"] is not None
+    assert all(r["kept"] == (r["perplexity"] <= r["threshold"]) for r in out) and any(r["perplexity"] == r["threshold"] for r in out)
+    assert all(r["kept"] and r["threshold"] is None for r in kneser_ney.judged(docs, docs.select("doc_id").limit(0)).collect())
 
 
 def test_quality_classifier_keeps_trusted_and_rejects_junk(spark):
