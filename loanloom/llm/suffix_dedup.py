@@ -23,8 +23,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from .scratch import written
+from .scratch import recorded, release, written
 from .suffix_array import permuted_lcp, suffix_array
 from .text import mix
 
@@ -168,23 +169,15 @@ def _occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, _OCC)
 
 
-def _distinct(occ: DataFrame, often: bool) -> DataFrame:
+def _distinct(occ: DataFrame) -> DataFrame:
     """Different contexts of the anchors seen twice or more: one place of each, how often (``w``) and how many the
-    anchor has (``g``). ``often``: equal contexts are many, and counted before anchors are; else anchors seen once
-    go first. Contexts are grouped by a hash of their own, so that no anchor's rows need to meet in one task."""
+    anchor has (``g``). Equal contexts are counted first, by a hash of their own and before they are moved, so that no
+    anchor's rows meet in one task, however many texts share it."""
+    one = lambda *names: [F.first(c).alias(c) for c in names]  # noqa: E731  of one and the same row
     whole = F.xxhash64("fp", "ctx", "n", "rel").alias("whole")
-
-    def counted(rows: DataFrame) -> DataFrame:
-        place = F.min(F.struct("did", "th", "lo")).alias("o")
-        keys = rows.withColumn("whole", whole).groupBy("whole", "ctx").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("rel").alias("rel"), F.sum("w").alias("w"), place)
-        return written(keys.select("fp", "ctx", "n", "rel", "w", "o.did", "o.th", "o.lo"))
-
-    if often:
-        keys = counted(occ)
-        return keys.join(keys.groupBy("fp").agg(F.count(F.lit(1)).alias("g"), F.sum("w").alias("seen")).filter("seen > 1").drop("seen"), "fp")
-    seen = occ.groupBy("fp").agg(F.sum("w").alias("seen")).filter("seen > 1").select("fp")
-    keys = counted(occ.join(seen, "fp"))
-    return keys.join(keys.groupBy("fp").agg(F.count(F.lit(1)).alias("g")), "fp")
+    keys = occ.groupBy(whole, "ctx").agg(*one("fp", "n", "rel", "did", "th", "lo"), F.sum("w").alias("w")).drop("whole")
+    anchors = keys.groupBy("fp").agg(F.count(F.lit(1)).alias("g"), F.sum("w").alias("seen")).filter("seen > 1").drop("seen")
+    return written(keys.join(anchors, "fp"))
 
 
 def _with_texts(owners: DataFrame, docs: DataFrame) -> DataFrame:
@@ -274,39 +267,45 @@ def _dealt_anew(owned: DataFrame, length: int, width: int) -> DataFrame:
     return owned.mapInArrow(run, _OCC + ", pfp long, pctx long, off long")
 
 
-def _found(occ: DataFrame, docs: DataFrame, length: int, most: int, ranges: tuple[int, ...], often: bool = False) -> DataFrame:
+def _found(occ: DataFrame, docs: DataFrame, length: int, most: int, ranges: tuple[int, ...]) -> DataFrame:
     """(fp, ctx, runs) of all contexts of ``occ`` with repeated starts: one row each."""
-    keys = _distinct(occ, often)
+    keys = _distinct(occ)
+    release(docs.sparkSession)
     cold = keys.filter(F.col("g") <= most) if ranges else keys
     out = _in_shards(_cut_out(_with_texts(cold, docs), length), length)
     hot = keys.filter(F.col("g") > most)
     if not ranges or hot.isEmpty():
         return out
     narrow = written(_dealt_anew(_with_texts(hot, docs), length, ranges[0]))
-    found = _found(narrow.drop("pfp", "pctx", "off"), docs, length, most, ranges[1:], True)
+    found = _found(narrow.drop("pfp", "pctx", "off"), docs, length, most, ranges[1:])
     back = narrow.select("fp", "ctx", "pfp", "pctx", "off").join(found, ["fp", "ctx"])
     moved = F.transform("runs", lambda r: F.struct((r["lo"] + F.col("off")).alias("lo"), (r["hi"] + F.col("off")).alias("hi")))
     return out.unionByName(back.groupBy(F.col("pfp").alias("fp"), F.col("pctx").alias("ctx")).agg(F.flatten(F.collect_list(moved)).alias("runs")))
 
 
+_SPANS = "array<struct<lo: bigint, hi: bigint>>"
+
+
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
-    """Per row: the id, ``n_bytes``, ``spans`` (removed runs of bytes, from and to) and ``kept``, the other bytes."""
-    kind = docs.schema[id_col].dataType.simpleString()
+    """Per row: the id, ``n_bytes``, ``spans`` (removed runs of bytes, from and to), ``kept``, the other bytes, and
+    ``text``, the whole characters of these. The id may be of any type that has a hash, also a struct of columns."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
     # a row is known by the hashes of its id and of both; rows alike in both are one document that is there twice
     rows = rows.select("id", F.xxhash64("id").alias("did"), F.xxhash64("id", "text").alias("th"), F.col("text").cast("binary").alias("text"))
     keyed = rows.drop("id")
-    occ = written(_occurrences(keyed.select("did", "th", "text"), length, gram))
-    found = _found(occ, keyed, length, most, RANGES)
-    spans = occ.select("fp", "ctx", "did", "th", F.col("lo").alias("at")).join(found, ["fp", "ctx"])
-    lists = written(spans.groupBy("did", "th").agg(F.array_sort(F.collect_list(F.struct("at", "runs"))).alias("list")))
+    with recorded() as made:
+        occ = written(_occurrences(keyed.select("did", "th", "text"), length, gram))
+        found = _found(occ, keyed, length, most, RANGES)
+        spans = occ.select("fp", "ctx", "did", "th", F.col("lo").alias("at")).join(found, ["fp", "ctx"])
+        lists = written(spans.groupBy("did", "th").agg(F.array_sort(F.collect_list(F.struct("at", "runs"))).alias("list")))
+    release(docs.sparkSession, *(t for t in made if t is not lists))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)
-                spans_, kept = [], []
+                n_bytes, spans_, kept, whole = [], [], [], []
                 for raw, ranges in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
                     runs: list[list[int]] = []
                     for lo, hi in sorted((c["at"] + r["lo"], c["at"] + r["hi"] + length) for c in ranges for r in c["runs"]):
@@ -315,16 +314,21 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                         else:
                             runs.append([lo, hi])
                     edges = [0, *(x for run in runs for x in run), len(raw)]
-                    kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])))
+                    pieces = [raw[a:b] for a, b in zip(edges[::2], edges[1::2])]
+                    n_bytes.append(len(raw))
+                    kept.append(b"".join(pieces))
+                    whole.append("".join(p.decode("utf-8", "ignore") for p in pieces))
                     spans_.append([{"lo": a, "hi": b} for a, b in runs])
                 kinds = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in part.column(1).to_pylist()], pa.int64()), pa.array(spans_, kinds), pa.array(kept, pa.binary())], names=["id", "n_bytes", "spans", "kept"])
+                arrays = [part.column(0), pa.array(n_bytes, pa.int64()), pa.array(spans_, kinds), pa.array(kept, pa.binary()), pa.array(whole, pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["id", "n_bytes", "spans", "kept", "text"])
 
     bucket = F.pmod(F.xxhash64("did", "th"), F.lit(_BUCKETS)).alias("bucket")
     marked = F.broadcast(lists.select(bucket).distinct())
     tagged = rows.withColumn("bucket", bucket)
-    schema = f"id {kind}, n_bytes long, spans array<struct<lo: long, hi: long>>, kept binary"
+    schema = StructType([StructField("id", docs.schema[id_col].dataType), *StructType.fromDDL(f"n_bytes long, spans {_SPANS}, kept binary, text string")])
     touched = tagged.join(marked, "bucket", "left_semi").join(lists, ["did", "th"], "left")
-    touched = touched.select("id", "text", F.coalesce("list", F.array().cast("array<struct<at: bigint, runs: array<struct<lo: bigint, hi: bigint>>>>")).alias("list")).mapInArrow(cut, schema)
-    whole = tagged.join(marked, "bucket", "left_anti").select("id", F.length("text").cast("long").alias("n_bytes"), F.array().cast("array<struct<lo: bigint, hi: bigint>>").alias("spans"), F.col("text").alias("kept"))
+    none = F.array().cast(f"array<struct<at: bigint, runs: {_SPANS}>>")
+    touched = touched.select("id", "text", F.coalesce("list", none).alias("list")).mapInArrow(cut, schema)
+    whole = tagged.join(marked, "bucket", "left_anti").select("id", F.length("text").cast("long").alias("n_bytes"), F.array().cast(_SPANS).alias("spans"), F.col("text").alias("kept"), F.col("text").cast("string").alias("text"))
     return touched.unionByName(whole).withColumnRenamed("id", id_col)
