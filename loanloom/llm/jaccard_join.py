@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .scratch import cut, written
+from .scratch import cut, recorded, release, written
 from .text import hash_memo, shingles, thinned, word_hashes, words
 
 #: Size of the table of shingle frequencies that orders prefixes: 2**bits counts, whatever the input.
@@ -133,7 +133,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
                 either.append(len(u) + len(v) - same)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int64()), pa.array(either, pa.int64())], names=["a", "b", "both", "either"])
 
-    return written(joined.mapInArrow(run, "a long, b long, both long, either long"))
+    out = written(joined.mapInArrow(run, "a long, b long, both long, either long"))
+    release(docs.sparkSession, texts)
+    return out
 
 
 #: Classes of a chunk, the unit in which classes with common shingles meet.
@@ -197,7 +199,9 @@ def _across(rows: DataFrame, found: DataFrame, t: Fraction) -> DataFrame:
                     pairs["b"].append(np.maximum(u, v))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in pairs.values()], names=["a", "b"])
 
-    return written(asked.join(chunks, ["home", "chunk"]).select("xs", "ys").mapInArrow(count, "a long, b long").distinct())
+    out = written(asked.join(chunks, ["home", "chunk"]).select("xs", "ys").mapInArrow(count, "a long, b long").distinct())
+    release(rows.sparkSession, each)
+    return out
 
 
 def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, numerator: int = 80, denominator: int = 100) -> DataFrame:
@@ -206,9 +210,20 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wid
     Two documents link when ``denominator * intersection >= numerator * union``.
     """
     docs, t = _source(docs, id_col, text_col), Fraction(numerator, denominator)
-    order = docs.sparkSession.sparkContext.broadcast(frequencies(docs, width))
+    with recorded() as made:
+        light, classes, found = _linked(docs, width, t)
+    release(docs.sparkSession, *(x for x in made if x is not light and x is not classes))
+    named = light.join(classes.drop("pk"), ["n", "k1", "k2"], "left")
+    out = named.join(found.withColumnRenamed("node", "cls"), "cls", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("cls", "doc_id").alias("class_id"), F.coalesce("component", "cls", "doc_id").alias("component_id"))
+
+
+def _linked(docs: DataFrame, width: int, t: Fraction) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents with their sets' hashes, classes of equal sets, and the components of linked classes."""
+    spark, numerator, denominator = docs.sparkSession, t.numerator, t.denominator
+    order = spark.sparkContext.broadcast(frequencies(docs, width))
     profile = written(profiles(docs, order, width, t))
-    light = profile.drop("prefix")
+    light = written(profile.drop("prefix"))
     classes = light.filter("n > 0 and doc_id is not null").groupBy("n", "k1", "k2", "pk").agg(F.min("doc_id").alias("cls"))
     classes = written(classes)
     groups = classes.groupBy("n", "pk").agg(F.min("cls").alias("gid"))
@@ -231,6 +246,7 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wid
     star = index.filter("gid <> pivot").select("gid", "pivot").distinct().join(members, "gid").select(F.col("cls").alias("a"), F.col("pivot").alias("b"), F.col("n").alias("na"))
     star = star.join(n_of("b", "nb"), "b").filter(_sizes("na", "nb", numerator, denominator)).select("a", "b")
     pairs = cut(star.unionByName(alone).distinct())
+    release(spark, profile)
 
     first = _verified(pairs, docs, width)
     linked = lambda v: v.filter(F.col("both") * denominator >= F.col("either") * numerator).select("a", "b")
@@ -241,6 +257,7 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wid
     rows = rows.withColumn("d", F.when(F.col("cls") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("d")))
     reach = 1 - numerator / denominator
     rows = written(rows.withColumn("near", F.coalesce(F.col("d") <= reach - 1e-9, F.lit(False))))
+    release(spark, index)
 
     edges = linked(first)
     found = components(edges)
@@ -248,9 +265,7 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wid
     if not rest.isEmpty():
         found = components(edges.unionByName(linked(_verified(rest, docs, width))))
 
-    named = light.join(classes.drop("pk"), ["n", "k1", "k2"], "left")
-    out = named.join(found.withColumnRenamed("node", "cls"), "cls", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("cls", "doc_id").alias("class_id"), F.coalesce("component", "cls", "doc_id").alias("component_id"))
+    return light, classes, found
 
 
 def _sizes(a: str, b: str, numerator: int, denominator: int):
