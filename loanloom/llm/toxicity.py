@@ -142,11 +142,12 @@ def _fit(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     return tuple(w.tolist())
 
 
-def learn(training: DataFrame, *, text_col: str = "text", toxic_col: str = "toxic", least_odds: float = 3.0, least_share: float = 0.002, least_docs: int = 4, fit_rows: int = 20_000) -> Lexicon:
+def learn(training: DataFrame, *, text_col: str = "text", toxic_col: str = "toxic", least_odds: float = 3.0, least_share: float = 0.002, least_docs: int = 4, phrase_share: float = 0.0002, fit_rows: int = 20_000) -> Lexicon:
     """A lexicon from labelled texts. Two passes count; the curve is fitted on at most ``fit_rows`` rows.
 
     An entry must occur in ``least_docs`` toxic documents and in ``least_share`` of them, which bounds the lexicon
-    by a document's mean number of words over that share.
+    by a document's mean number of words over that share. An exception must occur in ``least_docs`` harmless
+    documents and in ``phrase_share`` of them, which bounds the exceptions in the same way.
     """
     rows = training.select(F.col(text_col).cast("string").alias("text"), F.col(toxic_col).cast("int").alias("toxic")).dropna().filter("toxic in (0, 1)")
     rows = written(rows)
@@ -168,8 +169,8 @@ def learn(training: DataFrame, *, text_col: str = "text", toxic_col: str = "toxi
         hit = [k for k, x in enumerate(w) if next(automaton.iter(f" {x} "), None) is not None]
         return {f"{w[k]} {w[k + 1]}" for h in hit for k in (h - 1, h) if 0 <= k < len(w) - 1}
 
-    harmless = _sums(rows, around, "toxic").filter((F.col("n0") >= least_docs) & (F.col("n0") * n1 > 4 * F.col("n1") * n0))
-    lexicon.exceptions = sorted(r["feature"] for r in harmless.orderBy(F.col("n0").desc(), "feature").limit(10_000).collect())
+    harmless = _sums(rows, around, "toxic").filter((F.col("n0") >= max(least_docs, phrase_share * n0)) & (F.col("n0") * n1 > 4 * F.col("n1") * n0))
+    lexicon.exceptions = sorted(r["feature"] for r in harmless.collect())
     share = min(1.0, fit_rows / (n0 + n1))
     sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)).limit(fit_rows)
     data = measured(sample, lexicon, "toxic").select("toxic", "total", "dense").toPandas()
