@@ -1,34 +1,38 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Passages are TF-IDF vectors over the benchmark's words; words in more than ``common`` of all passages weigh nothing,
-words outside the benchmark only add to a passage's length. A randomised SVD of the corpus passages and the
-benchmark's own gives a latent basis: one pass over all documents sums the products of their sparse rows with a
-small dense matrix. A last pass projects sliding windows of every document, of about each item's size, takes those
-whose cosine with an item reaches ``least_cosine``, and checks all of these, best first, until one passes, by the
-longest common subsequence of words: at least ``exact`` of the item, or ``loose`` of it with ``answer`` of its last
-part, where the answer stands.
-
-Items whose words are too common for that (a verbatim copy beside words of the greatest weight might not reach the
-cosine) are searched exactly: the same windows of all documents that hold enough of the item's words are checked.
+Texts are read once and kept as numbers of the benchmark's words, which is all that later passes need. Passages are
+TF-IDF vectors over these words; words outside the benchmark only add to a passage's length. A randomised SVD of the
+corpus passages and the benchmark's own gives a latent basis: one pass over all documents sums the products of their
+sparse rows with a small dense matrix. A last pass projects sliding windows of every document, of about each item's
+size, takes those whose cosine with an item reaches ``least_cosine``, and checks all of these, best first, until one
+passes, by the longest common subsequence of words: at least ``exact`` of the item, or ``loose`` of it with
+``answer`` of its last part, where the answer stands. A bound by word counts spares most windows that would not pass.
+
+Words in more than ``common`` of all passages weigh nothing in the vectors. Items that hold too many of them (a
+verbatim copy beside words of the greatest weight might not reach the cosine) are searched exactly instead: the same
+windows of all documents that hold enough of the item's words are checked, whatever their cosine.
 
 The benchmark is the query set: it is taken in blocks of ``block_items`` items, each against all documents.
 
 Defined cases: null and empty texts match nothing; items without a word are skipped; repeated rows are reported
-each; null document ids are reported as null; an empty benchmark gives an empty result.
+each, of one document and item the window with the greatest cosine that passes, of ties the first; null document ids
+are reported as null; an empty benchmark or an empty table of documents gives an empty result.
 """
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
 from functools import reduce
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .dense_sums import per_partition
+from .scratch import release, written
 
 PASSAGE = 32
 #: Signs that part words, apart from white space.
@@ -79,12 +83,14 @@ class Items:
         self.basis = np.zeros((len(self.columns), 0))
         self.light = np.zeros(len(self.words), bool)
 
-    def read(self, texts: list[str | None]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-        """The words of the texts, their columns laid end to end (last column: any other word) and the sizes."""
-        split = [plain_words(t) for t in texts]
-        other = len(self.columns)
-        at = np.fromiter(map(self.columns.get, chain.from_iterable(split), repeat(other)), np.int64, sum(map(len, split)))
-        return split, at, np.array([len(s) for s in split], np.int64)
+    @property
+    def kind(self) -> type:
+        return np.uint16 if len(self.columns) < 1 << 16 else np.uint32
+
+    def coded(self, text: str | None) -> bytes:
+        """The columns of a text's words, end to end; the last column is that of any other word."""
+        split = plain_words(text)
+        return np.fromiter(map(self.columns.get, split, repeat(len(self.columns))), self.kind, len(split)).tobytes()
 
     def matrix(self) -> np.ndarray:
         out = np.zeros((len(self.words), len(self.columns)))
@@ -117,65 +123,82 @@ def _passages(sizes: np.ndarray) -> np.ndarray:
     return np.cumsum(first) - 1
 
 
-def _parts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str | None]]]:
-    texts, start, size = batch.column(column).to_pylist(), 0, 0
-    for k, t in enumerate(texts):
-        size += len(t or "")
-        if size > 1_000_000 or k == len(texts) - 1:
-            yield start, texts[start : k + 1]
-            start, size = k + 1, 0
+def _coded(docs: DataFrame, items: Items) -> DataFrame:
+    """(id, words): texts as columns of their words; all that later passes read."""
+    shared = docs.sparkSession.sparkContext.broadcast(items)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = shared.value.coded
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([code(t) for t in batch.column(1).to_pylist()], pa.binary())], names=["id", "words"])
+
+    return docs.mapInArrow(run, StructType([docs.schema["id"], *StructType.fromDDL("words binary")]))
+
+
+def _parts(column: pa.Array, kind: type) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Parts of an Arrow batch of coded texts: the first row, the words laid end to end, and the sizes."""
+    edges = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64) // np.dtype(kind).itemsize
+    flat = np.frombuffer(column.buffers()[2], kind) if edges[-1] else np.zeros(0, kind)
+    start = 0
+    while start < len(column):
+        stop = max(start + 1, int(np.searchsorted(edges, edges[start] + 150_000, "right")) - 1)
+        yield start, flat[edges[start] : edges[stop]], np.diff(edges[start : stop + 1])
+        start = stop
 
 
-def _weigh(texts: DataFrame, items: Items, common: float) -> None:
+def _weigh(coded: DataFrame, items: Items, common: float) -> None:
     """Inverse passage frequencies, from all documents."""
 
     def add(batch: pa.RecordBatch, arrays: list[np.ndarray]) -> None:
-        for _, part in _parts(batch, 0):
-            _, at, sizes = items.read(part)
+        other = len(items.columns)
+        for _, at, sizes in _parts(batch.column(0), items.kind):
             if not len(at):
                 continue
-            passage = _passages(sizes)
-            own = np.flatnonzero(at < len(items.columns))
-            seen = np.unique(passage[own] * len(items.columns) + at[own])
-            arrays[0] += np.bincount(seen % len(items.columns), minlength=len(items.columns))
-            arrays[1] += passage[-1] + 1
-
-    frequency, total = per_partition(texts, add, [(len(items.columns),), (1,)])
+            lines = -(-sizes // PASSAGE)
+            first = np.cumsum(lines) - lines
+            table = np.full((int(lines.sum()), PASSAGE), other, items.kind)
+            table.reshape(-1)[np.arange(len(at)) + np.repeat(first * PASSAGE - (np.cumsum(sizes) - sizes), sizes)] = at
+            table.sort(axis=1)
+            new = np.ones(table.shape, bool)
+            new[:, 1:] = table[:, 1:] != table[:, :-1]
+            arrays[0] += np.bincount(table[new], minlength=other + 1)[:other]
+            arrays[1] += len(table)
+
+    frequency, total = per_partition(coded.select("words"), add, [(len(items.columns),), (1,)])
     n = total[0] + len(items.words)
     idf = np.log((n + 1) / (frequency + 1))
     idf[frequency > common * n] = 0.0
     items.idf = np.append(idf, math.log(n + 1))
 
 
-def _factor(texts: DataFrame, items: Items, rank: int, extra: int, seed: int) -> None:
+def _factor(coded: DataFrame, items: Items, rank: int, extra: int, seed: int) -> None:
     """The latent basis: randomised SVD of all passages and, as heavy as these, the benchmark's."""
-    spark, columns = texts.sparkSession, len(items.columns)
+    spark, columns = coded.sparkSession, len(items.columns)
     rank = min(rank, columns)
     size = min(columns, rank + extra)
     own = items.matrix()
 
     def product(right: np.ndarray) -> np.ndarray:
         """Gram matrix of the passages times ``right``."""
-        shared = spark.sparkContext.broadcast(right.astype(np.float32))
+        light = items.idf.astype(np.float32)
+        inside = (items.idf > 0) & (np.arange(columns + 1) < columns)
+        shared = spark.sparkContext.broadcast(right.astype(np.float32) * light[:-1, None])
 
         def add(batch: pa.RecordBatch, arrays: list[np.ndarray]) -> None:
-            for _, part in _parts(batch, 0):
-                _, at, sizes = items.read(part)
-                weight = items.idf[at]
-                use = np.flatnonzero((at < columns) & (weight > 0))
+            for _, at, sizes in _parts(batch.column(0), items.kind):
+                use = np.flatnonzero(inside[at])
                 if not len(use):
                     continue
-                passage, at_, weight = _passages(sizes)[use], at[use], weight[use].astype(np.float32)
-                rows = shared.value[at_] * weight[:, None]
-                first = np.flatnonzero(np.concatenate(([True], passage[1:] != passage[:-1])))
-                dense = np.add.reduceat(rows, first, axis=0)
-                back = np.repeat(dense, np.diff(np.append(first, len(use))), axis=0) * weight[:, None]
+                passage, at_ = _passages(sizes)[use], at[use]
+                new = np.concatenate(([True], passage[1:] != passage[:-1]))
+                dense = np.add.reduceat(shared.value[at_], np.flatnonzero(new), axis=0)
                 by = np.argsort(at_, kind="stable")
-                start = np.flatnonzero(np.concatenate(([True], np.diff(at_[by]) > 0)))
-                arrays[0][at_[by][start]] += np.add.reduceat(back[by], start, axis=0)
+                word = at_[by]
+                start = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+                arrays[0][word[start]] += np.add.reduceat(dense[(np.cumsum(new) - 1)[by]], start, axis=0) * light[word[start], None]
                 arrays[1] += float((dense**2).sum())
 
-        corpus, energy = per_partition(texts, add, [(columns, right.shape[1]), (1,)])
+        corpus, energy = per_partition(coded.select("words"), add, [(columns, right.shape[1]), (1,)])
         mine = own @ right
         balance = energy[0] / max(1e-9, float((mine**2).sum())) if energy[0] else 1.0
         return corpus + max(1.0, balance) * (own.T @ mine)
@@ -192,18 +215,34 @@ def _factor(texts: DataFrame, items: Items, rank: int, extra: int, seed: int) ->
     items.basis = left[:, :rank].astype(np.float32)
 
 
-def _shares(own: list[bytes], words: list[bytes], start: int, w: int) -> tuple[float, float]:
-    """The shares of an item and of its last part that the window and its margins have in order."""
-    margin = w // 4 + 1
-    window = words[max(0, start - margin) : start + w + margin]
-    tail = own[-max(1, len(own) // 4) :]
-    return common_subsequence(own, window) / len(own), common_subsequence(tail, window) / len(tail)
-
-
-def _search(docs: DataFrame, items: Items, limits: tuple[float, float, float, float]) -> DataFrame:
+class Passage:
+    """What passages have of an item: its words and, of these, the last part, where the answer stands."""
+
+    def __init__(self, own: list[int], columns: int, limits: tuple[float, float, float]):
+        self.own, self.tail, (self.exact, self.loose, self.answer) = own, own[-max(1, len(own) // 4) :], limits
+        words, self.times = np.unique(own, return_counts=True)
+        self.local = np.full(columns + 1, len(words))
+        self.local[words] = np.arange(len(words))
+        self.least = min(self.exact, self.loose) * len(own) - 1e-9
+
+    def check(self, words: np.ndarray, start: int, w: int) -> tuple[float, float] | None:
+        """The shares of the item and of its last part that the window and its margins have in order, if enough."""
+        margin = w // 4 + 1
+        window = words[max(0, start - margin) : start + w + margin]
+        # no common subsequence is longer than what both have of each word
+        if np.minimum(np.bincount(self.local[window], minlength=len(self.times) + 1)[:-1], self.times).sum() < self.least:
+            return None
+        window = window.tolist()
+        share = common_subsequence(self.own, window) / len(self.own)
+        if share < min(self.exact, self.loose):
+            return None
+        last = common_subsequence(self.tail, window) / len(self.tail)
+        return (share, last) if share >= self.exact or share >= self.loose and last >= self.answer else None
+
+
+def _search(coded: DataFrame, items: Items, limits: tuple[float, float, float, float]) -> DataFrame:
     least_cosine, exact, loose, answer = limits
-    kind = docs.schema["id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    shared = coded.sparkSession.sparkContext.broadcast(items)
     item_type = pa.int64() if all(isinstance(i, int) for i in items.ids) else pa.string()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,21 +254,26 @@ def _search(docs: DataFrame, items: Items, limits: tuple[float, float, float, fl
         unit = latent / np.maximum(length**2 / np.maximum(whole, 1e-9), 1e-9)[:, None]
         groups = [(w, np.flatnonzero((np.array(it.widths) == w) & ~it.light)) for w in sorted(set(it.widths))]
         groups = [(w, members) for w, members in groups if len(members)]
+        units = {w: np.ascontiguousarray(unit[members].T.astype(np.float32)) for w, members in groups}
         member = np.zeros(len(it.columns) + 1, bool)
         columns = len(it.columns)
+        codes = [[it.columns[x] for x in w] for w in it.words]
+        passages = [Passage(own, columns, (exact, loose, answer)) for own in codes]
+        square = it.idf**2
+        within = np.append(square[:-1], 0.0)
+        weighed = np.concatenate((it.basis * it.idf[:-1, None].astype(np.float32), np.zeros((1, it.basis.shape[1]), np.float32)))
+        # a window's cosine with few items is the sum of its words' own parts of it
+        small = {w: len(members) < weighed.shape[1] for w, members in groups}
+        tables = {w: weighed @ units[w] if small[w] else weighed for w, _ in groups}
         for batch in batches:
             found: list[tuple] = []
-            for base, part in _parts(batch, 1):
-                split, at, sizes = it.read(part)
+            for base, at, sizes in _parts(batch.column(1), it.kind):
                 if not len(at):
                     continue
-                weight = it.idf[at]
-                inside = (at < columns) & (weight > 0)
-                use = np.flatnonzero(inside)
-                mass = np.concatenate(([0.0], np.cumsum(weight**2)))
-                inner = np.concatenate(([0.0], np.cumsum(np.where(inside, weight**2, 0.0))))
-                sums = None
+                mass = np.concatenate(([0.0], np.cumsum(square[at])))
+                inner = np.concatenate(([0.0], np.cumsum(within[at])))
                 begin = np.cumsum(sizes) - sizes
+                words = lambda doc: at[begin[doc] : begin[doc] + sizes[doc]]  # noqa: B023, E731
 
                 def windows(w: int) -> tuple[np.ndarray, ...]:
                     """Text, first word in it, and bounds of all windows."""
@@ -240,19 +284,27 @@ def _search(docs: DataFrame, items: Items, limits: tuple[float, float, float, fl
                     lo = begin[text] + place
                     return text, place, lo, np.minimum(lo + w, (begin + sizes)[text])
 
-                def project(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-                    nonlocal sums
-                    if sums is None:
-                        sums = np.zeros((len(use) + 1, it.basis.shape[1]))
-                        np.cumsum(it.basis[at[use]] * weight[use, None], axis=0, out=sums[1:])
-                    a, b = np.searchsorted(use, lo), np.searchsorted(use, hi)
-                    return (sums[b] - sums[a]) / np.sqrt(np.maximum(mass[hi] - mass[lo], 1e-9))[:, None]
+                def sums(table: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+                    """Sums of the table's rows over stretches of ``step`` words, and the first stretch of each text."""
+                    count = -(-sizes // step)
+                    first = np.cumsum(count) - count
+                    grid = np.full((int(count.sum()) + 3, step), columns, np.int64)
+                    grid.reshape(-1)[np.arange(len(at)) + np.repeat(first * step - begin, sizes)] = at
+                    out = np.zeros((len(grid), table.shape[1]), np.float32)
+                    for k in range(0, len(grid), 8192):
+                        for column in grid[k : k + 8192].T:
+                            out[k : k + 8192] += table[column]
+                    return out, first
+
+                def latent(lo: int, hi: int, item: int) -> float:
+                    z = weighed[at[lo:hi]].sum(0) / np.sqrt(max(mass[hi] - mass[lo], 1e-9))
+                    return float(z @ unit[item])
 
                 for item in np.flatnonzero(it.light):
-                    own, w = it.words[item], it.widths[item]
+                    own, w = codes[item], it.widths[item]
                     text, place, lo, hi = windows(w)
                     member[:] = False
-                    member[[it.columns[x] for x in own]] = True
+                    member[own] = True
                     held = np.concatenate(([0], np.cumsum(member[at])))
                     margin = w // 4 + 1
                     held = held[np.minimum(hi + margin, (begin + sizes)[text])] - held[np.maximum(lo - margin, begin[text])]
@@ -262,26 +314,33 @@ def _search(docs: DataFrame, items: Items, limits: tuple[float, float, float, fl
                     for k in near[np.lexsort((place[near], -held[near], text[near]))]:
                         if text[k] == done:
                             continue
-                        share, last = _shares(own, split[text[k]], int(place[k]), w)
-                        if share >= exact or share >= loose and last >= answer:
+                        shares = passages[item].check(words(text[k]), int(place[k]), w)
+                        if shares:
                             done = text[k]
-                            found.append((base + int(done), it.ids[item], int(place[k]), float(project(lo[k : k + 1], hi[k : k + 1])[0] @ unit[item]), share, last))
+                            found.append((base + int(done), it.ids[item], int(place[k]), latent(lo[k], hi[k], item), *shares))
                 for w, members in groups:
                     text, place, lo, hi = windows(w)
                     near = np.flatnonzero(inner[hi] - inner[lo] >= 0.5 * least_cosine**2 * (mass[hi] - mass[lo]))
                     near = near[inner[hi[near]] > inner[lo[near]]]
                     if not len(near):
                         continue
-                    z = project(lo[near], hi[near])
-                    cosine = z @ unit[members].T
+                    step = max(1, w // 4)
+                    part, first = sums(tables[w], step)
+                    at_ = first[text[near]] + place[near] // step
+                    score = part[at_] + part[at_ + 1] * (hi[near] - lo[near] > step)[:, None]
+                    for k in (2, 3):
+                        score += part[at_ + k] * (hi[near] - lo[near] > k * step)[:, None]
+                    score /= np.sqrt(np.maximum(mass[hi[near]] - mass[lo[near]], 1e-9))[:, None]
+                    cosine = score if small[w] else score @ units[w]
                     asked: dict[tuple[int, int], list[tuple[float, int]]] = {}
-                    for x, y in zip(*np.nonzero(cosine >= least_cosine)):
-                        asked.setdefault((int(text[near[x]]), int(members[y])), []).append((-float(cosine[x, y]), int(place[near[x]])))
+                    for x, y in zip(*(v.tolist() for v in np.nonzero(cosine >= least_cosine))):
+                        k = near[x]
+                        asked.setdefault((int(text[k]), int(members[y])), []).append((-float(cosine[x, y]), int(place[k])))
                     for (doc, item), places in asked.items():
                         for value, start in sorted(places):
-                            share, last = _shares(it.words[item], split[doc], start, w)
-                            if share >= exact or share >= loose and last >= answer:
-                                found.append((base + doc, it.ids[item], start, -value, share, last))
+                            shares = passages[item].check(words(doc), start, w)
+                            if shares:
+                                found.append((base + doc, it.ids[item], start, -value, *shares))
                                 break
             cols = list(zip(*found)) or [[]] * 6
             yield pa.RecordBatch.from_arrays(
@@ -289,7 +348,8 @@ def _search(docs: DataFrame, items: Items, limits: tuple[float, float, float, fl
                 names=["id", "item_id", "start_word", "cosine", "common", "answer"],
             )
 
-    return docs.mapInArrow(run, f"id {kind}, item_id {'long' if item_type == pa.int64() else 'string'}, start_word long, cosine double, common double, answer double")
+    kinds = StructType.fromDDL(f"item_id {'long' if item_type == pa.int64() else 'string'}, start_word long, cosine double, common double, answer double")
+    return coded.mapInArrow(run, StructType([coded.schema["id"], *kinds]))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_items: int = 2000, rank: int = 128, extra: int = 16, common: float = 0.05, least_cosine: float = 0.45, exact: float = 0.8, loose: float = 0.6, answer: float = 0.5, seed: int = 7) -> DataFrame:
@@ -303,10 +363,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
         block = Items([tuple(r) for r in asked.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()])
         if not block.ids:
             continue
-        _weigh(rows.select("text"), block, common)
+        coded = written(_coded(rows, block))
+        _weigh(coded, block, common)
         block.mark_light(least_cosine)
-        _factor(rows.select("text"), block, rank, extra, seed)
-        out.append(_search(rows, block, (least_cosine, exact, loose, answer)))
-    kinds = f"id {rows.schema['id'].dataType.simpleString()}, item_id {asked.schema['item'].dataType.simpleString()}, start_word long, cosine double, common double, answer double"
+        _factor(coded, block, rank, extra, seed)
+        found = written(_search(coded, block, (least_cosine, exact, loose, answer)))
+        release(docs.sparkSession, coded)
+        out.append(found)
+    kinds = StructType([rows.schema["id"], StructField("item_id", asked.schema["item"].dataType), *StructType.fromDDL("start_word long, cosine double, common double, answer double")])
     found = reduce(DataFrame.unionByName, out) if out else docs.sparkSession.createDataFrame([], kinds)
     return found.withColumnRenamed("id", id_col)
