@@ -11,6 +11,7 @@ KEY, ASSET, BEGIN, END = "securitizationKey", "assetNumber", "reportingPeriodBeg
 B, E = "reportingPeriodSecuritizationValueAmount", "reportingPeriodEndActualSecuritizationAmount"
 CO, LIQ, REPURCHASE, PAID = "chargedOffAmount", "liquidationProceedsAmount", "repurchaseAmount", "totalActualAmountPaid"
 RATE, TERM, LEFT, PAY = "securitizationDiscountRate", "originalLeaseTermNumber", "remainingTermNumber", "reportingPeriodScheduledPaymentAmount"
+OWED = "reportingPeriodEndingActualBalanceAmount"
 SENS = 0.01
 #: Lease names and the loan names that reports know them by.
 TO_LOAN = {
@@ -33,21 +34,37 @@ def scheduled_values(df: DataFrame) -> DataFrame:
     return df.withColumns({"scheduledSecuritizationBeginValueAmount": pv(double(LEFT) + 1), "scheduledSecuritizationEndValueAmount": pv(double(LEFT))})
 
 
+def reconciled(df: DataFrame) -> DataFrame:
+    """Charge-offs and begin values that contradict each other. A row that begins at 0 and ends above it, with payments
+    left: a negative charge-off becomes the difference, for a positive one the begin value is made up. A charge-off
+    that gives the begin value only together with the proceeds becomes the begin value."""
+    b, e, co, liq = double(B), double(E), double(CO), double(LIQ)
+    opens = (F.abs(b) < SENS) & (F.abs(e) > SENS) & (double(LEFT) > 0)
+    begin = F.when(_is(opens & (co > 0)), F.coalesce(e, F.lit(0.0)) + co).otherwise(b)
+    charged = F.when(_is(opens & (co < 0)), b - e).when(_is((co > 0) & (F.abs(b - co - liq) < SENS)), begin).otherwise(co)
+    return df.withColumns({B: begin, CO: charged})
+
+
 def months_delinquent(df: DataFrame) -> DataFrame:
-    """Full months past due up to 4; 5 charged off; 6 ended without a charge-off before its term."""
-    late = F.least(F.floor(double("currentDelinquencyStatus") / 30), F.lit(4)).cast("int")
-    paid = _is((double(B) > 0) & (double(E) <= 0.05) & (F.abs(double(CO)) <= SENS))
-    return df.withColumn("monthsDelinquent", F.when(paid, 6).when(double(CO) > 0, 5).otherwise(late))
+    """Full months past due up to 4; 5 charged off; 6 paid off early: nothing owed before the end of the term, more
+    paid than scheduled, and not a day late."""
+    days = F.coalesce(double("currentDelinquencyStatus"), F.lit(0.0))
+    out = F.when(double(CO) > 0, 5).otherwise(F.least(F.floor(days / 30), F.lit(4)).cast("int"))
+    if all(c in df.columns for c in (OWED, LEFT, TERM, PAID, PAY)):
+        early = (F.abs(double(OWED)) < SENS) & (double(LEFT) < double(TERM)) & (double(PAID) > double(PAY)) & (days == 0)
+        out = F.when(_is(early), 6).otherwise(out)
+    return df.withColumn("monthsDelinquent", out)
 
 
 def recoveries(df: DataFrame) -> DataFrame:
-    """``recoveredAmount``: proceeds of charged-off leases, and late proceeds of leases that ended earlier."""
-    w = Window.partitionBy(KEY, ASSET)
-    gone = _is((double(LIQ) > SENS) & (F.col("zeroBalanceEffectiveDate") < F.col(BEGIN)) & (F.abs(F.sum(double(E)).over(w)) < SENS))
-    first = F.when(_is((double(CO) > 0) & (double(LIQ) > 0)), double(LIQ)).otherwise(0.0)
-    out = df.withColumn("_gone", gone).withColumn("recoveredAmount", first + F.when(F.col("_gone") & _is(F.col("zeroBalanceCode") == 3), double(LIQ)).otherwise(0.0))
-    paid = _is(F.col("terminationIndicator").isin(1, 2)) | (F.col("_gone") & _is(F.col("zeroBalanceCode") == 1))
-    return out.withColumn(PAID, double(PAID) + F.when(paid, double(LIQ)).otherwise(0.0)).drop("_gone")
+    """``recoveredAmount``: proceeds of charged-off leases, and proceeds that come after a lease of which nothing is left
+    was charged off. Those of leases that ended otherwise are paid amounts."""
+    liq = double(LIQ)
+    nothing = F.abs(sum(F.coalesce(double(c), F.lit(0.0)) for c in (OWED, E) if c in df.columns)) < SENS
+    late = lambda code: _is((F.abs(liq) > SENS) & (F.col("zeroBalanceEffectiveDate") < F.col(BEGIN)) & nothing & (F.col("zeroBalanceCode") == code))
+    recovered = F.when(_is((double(CO) > 0) & (liq > 0)), liq).otherwise(0.0) + F.when(late(3), liq).otherwise(0.0)
+    paid = double(PAID) + F.when(_is(F.col("terminationIndicator").isin(1, 2)) | late(1), liq).otherwise(0.0)
+    return df.withColumns({"recoveredAmount": recovered, PAID: paid})
 
 
 def repeated_proceeds(df: DataFrame) -> DataFrame:
@@ -71,7 +88,7 @@ def flows(df: DataFrame) -> DataFrame:
     prin = F.col("actualPrincipalCollectedAmount")
     out = out.withColumn("principalPrepaid", F.when(early, F.greatest(prin - F.col("scheduledSecuritizationValueAmortization"), F.lit(0.0))).otherwise(0.0))
     out = out.withColumn("actualInterestCollectedAmount", F.least(F.greatest(double(PAID) - prin, F.lit(0.0)), double(B) * double(RATE) / 12))
-    ended = _is((F.col("terminationIndicator") != 0) | F.col("zeroBalanceCode").isin(1, 2))
+    ended = _is(F.col("terminationIndicator").isin(1, 2) | F.col("zeroBalanceCode").isin(1, 2))
     return out.withColumns({
         "otherPrincipalAdjustmentAmount": double(PAID) - prin - F.col("actualInterestCollectedAmount"),
         "saleGainOrLoss": F.when(ended, double(LIQ) - double("contractResidualValue")).otherwise(0.0),
@@ -111,7 +128,7 @@ def implied_rates(df: DataFrame, steps: int = 40) -> DataFrame:
 
 def enrich_lease(df: DataFrame, states: DataFrame | None = None) -> DataFrame:
     """All derived columns of a cleaned lease tape."""
-    out = repeated_proceeds(recoveries(scheduled_values(df)))
+    out = repeated_proceeds(recoveries(reconciled(scheduled_values(df))))
     out = ages(flows(months_delinquent(out)))
     out = enrich.loan_to_value(enrich.scores(loan_amount(out), "lesseeCreditScore", "lesseeCreditScoreType"), None, "acquisitionCost")
     out = enrich.net_losses(enrich.prime_indicator(implied_rates(out)), CO, REPURCHASE)

@@ -51,7 +51,7 @@ def composition(table: DataFrame) -> DataFrame:
 def rate_buckets(table: DataFrame) -> DataFrame:
     """Balance by month, remaining term and rate to the nearest half percent."""
     bucket = F.round(F.col("rate").cast("decimal(20,8)") * 200).cast("double") / 200
-    rows = table.filter("in_index and end_balance > 0 and rem_term between 1 and 90 and rate is not null")
+    rows = table.filter("in_index and end_balance > 0 and rem_term between 1 and 90 and rate >= 0")
     return rows.groupBy("report_month", "rem_term", bucket.alias("rate_bucket")).agg(F.sum("end_balance").alias("balance"))
 
 

@@ -8,6 +8,7 @@ from ..functions import double, present_value, ratio, wavg
 
 KEY, ASSET = "securitizationKey", "assetNumber"
 B, E = "reportingPeriodBeginningLoanBalanceAmount", "reportingPeriodActualEndBalanceAmount"
+# States, labels and codes that the report shows.
 STATES = ["CA", "TX", "FL", "OH", "NJ"]
 BINS = 7
 #: Numeric fields cut into equal bins, and coded fields taken as they are.
@@ -100,70 +101,86 @@ def summary(df: DataFrame) -> DataFrame:
     return rows.groupBy(F.col("_s.dimension").alias("dimension"), F.col("_s.stratum").alias("stratum")).agg(*measures(df))
 
 
-def _by(df: DataFrame, axis: str) -> DataFrame:
-    """Rows under their trust and once more under null, for all trusts."""
-    return df.withColumn("_k", F.explode(F.array(F.col(KEY), F.lit(None).cast("string")))).filter(F.col(KEY).isNotNull()).drop(KEY).withColumnRenamed("_k", KEY).filter(F.col(axis).isNotNull())
+def _by(df: DataFrame) -> DataFrame:
+    """Rows of names with Trust in them under their name, and all rows once more under null, for all trusts."""
+    own = F.when(F.col(KEY).contains("Trust"), F.array(F.col(KEY), F.lit(None).cast("string"))).otherwise(F.array(F.lit(None).cast("string")))
+    return df.withColumn("_k", F.explode(own)).drop(KEY).withColumnRenamed("_k", KEY)
+
+
+def _base(rows: DataFrame, axis: str) -> DataFrame:
+    """Per trust: the mean age at the cutoff, by balance, and what losses are held against, the cutoff balance on the
+    axis of months from the cutoff and the original amount on any other."""
+    held = "beginningBalanceAtCutoffDate" if axis == "monthsFromCutoffDate" else "originalLoanAmount"
+    age = wavg("ageFromCutoff", "beginningBalanceAtCutoffDate")
+    return rows.groupBy(KEY).agg(age.alias("_age"), F.sum(F.when(F.col("monthsFromCutoffDate") == 0, double(held))).alias("_open")).withColumnRenamed(KEY, "_k2")
 
 
 def performance(df: DataFrame, axis: str = "monthsFromCutoffDate") -> DataFrame:
     """Per trust (null: all) and axis value: ABS speed, prepay rate, delinquency shares, cumulative net loss."""
-    rows = _by(df, axis)
+    rows = _by(df)
     known = F.col("monthsDelinquent").isNotNull()
     late = lambda k: ratio(F.sum(F.when(F.col("monthsDelinquent") == k, double(E)).otherwise(0.0)), F.sum(F.when(known, double(E))))
-    opening = F.sum(F.when(F.col("monthsFromCutoffDate") == 0, double(B)))
-    base = rows.groupBy(KEY).agg(opening.alias("_open"))
     other = double("otherPrincipalAdjustmentAmount") if "otherPrincipalAdjustmentAmount" in df.columns else F.lit(0.0)
     paid = double("actualPrincipalCollectedAmount") + other + double("chargedoffPrincipalAmount")
     smm = ratio(F.sum(paid) - F.sum(double("scheduledPrincipalAmount")), F.sum(double(B)) - F.sum(double("scheduledPrincipalAmount")))
-    out = rows.groupBy(KEY, axis).agg(
-        smm.alias("smm"), wavg("age", B).alias("wa_age"), late(1).alias("delq30"), late(2).alias("delq60"), late(3).alias("delq90"), late(5).alias("def"),
+    out = rows.filter(F.col(axis).isNotNull()).groupBy(KEY, axis).agg(
+        smm.alias("smm"), late(1).alias("delq30"), late(2).alias("delq60"), late(3).alias("delq90"), late(5).alias("def"),
         (ratio(F.sum("principalPrepaid"), F.sum(B)) if "principalPrepaid" in df.columns else F.lit(None).cast("double")).alias("prepay"), F.sum(double("netLosses")).alias("_loss"),
     )
-    out = out.withColumn("abs_speed", F.col("smm") / F.nullif(1 - F.col("smm") * (F.col("wa_age") - 1), F.lit(0.0)))
     w = Window.partitionBy(KEY).orderBy(axis)  # few rows: trusts by months
-    out = out.join(base.withColumnRenamed(KEY, "_k2"), F.col(KEY).eqNullSafe(F.col("_k2")))
-    return out.withColumn("cnl", F.sum("_loss").over(w) / F.nullif(F.col("_open"), F.lit(0.0))).drop("_loss", "_open", "_k2", "smm", "wa_age")
+    out = out.join(_base(rows, axis), F.col(KEY).eqNullSafe(F.col("_k2")))
+    out = out.withColumn("abs_speed", F.col("smm") / F.nullif(1 - F.col("smm") * (F.col("_age") - 1), F.lit(0.0)))
+    return out.withColumn("cnl", F.sum("_loss").over(w) / F.nullif(F.col("_open"), F.lit(0.0))).drop("_loss", "_open", "_k2", "smm", "_age")
 
 
 def lease_speed(df: DataFrame, axis: str = "monthsFromCutoffDate") -> DataFrame:
-    """Survival-ratio speed of leases: 1 less the share of scheduled end value that is left."""
-    rows = _by(df, axis)
-    left = ratio(F.sum(E), F.sum(double(B) - double("scheduledSecuritizationValueAmortization")))
-    return rows.groupBy(KEY, axis).agg((1 - left).alias("abs_speed"))
+    """ABS speed of leases: how much further the balance fell, against schedule, than it had by the period's begin."""
+    rows = _by(df)
+    part = lambda c, plan: ratio(F.sum(double(c)), F.sum(double(plan)))
+    left = part(B, "scheduledSecuritizationBeginValueAmount") / F.nullif(part(E, "scheduledSecuritizationEndValueAmount"), F.lit(0.0))
+    out = rows.filter(F.col(axis).isNotNull()).groupBy(KEY, axis).agg((1 - left).alias("_s")).join(_base(rows, axis), F.col(KEY).eqNullSafe(F.col("_k2")))
+    return out.select(KEY, axis, (F.col("_s") / F.nullif(1 + F.col("_s") * F.col("_age"), F.lit(0.0))).alias("abs_speed"))
 
 
 def curves(df: DataFrame, axis: str = "age") -> DataFrame:
-    """Cumulative begin balance by tier, state and axis value, over the original amount; gaps carry the last value."""
-    sums = df.groupBy("primeIndicator", "monthsDelinquent", axis).agg(F.sum(double(B)).alias("v"))
+    """Cumulative begin balance by tier, state and axis value, over the sum of the tier's original amounts, row by row.
+    A tier begins at its own first axis value; later gaps carry the last value."""
+    rows = df.filter(F.col("primeIndicator").isNotNull() & F.col("monthsDelinquent").isNotNull() & F.col(axis).isNotNull())
+    sums = rows.groupBy("primeIndicator", "monthsDelinquent", axis).agg(F.sum(double(B)).alias("v"))
     groups = sums.select("primeIndicator", "monthsDelinquent").distinct()
-    spine = groups.crossJoin(df.select(axis).distinct())  # tiers by states by months
+    tiers = df.groupBy("primeIndicator").agg(F.sum(double("originalLoanAmount")).alias("_whole"))
+    begun = rows.groupBy("primeIndicator").agg(F.min(axis).alias("_begun"))
+    spine = groups.crossJoin(df.select(axis).dropna().distinct())  # tiers by states by months
+    spine = spine.join(tiers, "primeIndicator").join(begun, "primeIndicator").filter(F.col(axis) >= F.col("_begun"))
     w = Window.partitionBy("primeIndicator", "monthsDelinquent").orderBy(axis)
-    whole = df.groupBy(ASSET, KEY).agg(F.max(double("originalLoanAmount")).alias("o")).agg(F.sum("o").alias("_whole"))
     rows = spine.join(sums, ["primeIndicator", "monthsDelinquent", axis], "left").withColumn("share", F.sum(F.coalesce("v", F.lit(0.0))).over(w))
-    return rows.join(whole).select("primeIndicator", "monthsDelinquent", axis, (F.col("share") / F.col("_whole")).alias("share"))
+    return rows.select("primeIndicator", "monthsDelinquent", axis, (F.col("share") / F.nullif(F.col("_whole"), F.lit(0.0))).alias("share"))
 
 
-def _moves(df: DataFrame, *keep: str) -> DataFrame:
-    """Pairs of states of a loan in a month and in its next row."""
+def _rolls(df: DataFrame, starts: int, *by: str) -> DataFrame:
+    """Shares of the end balance of a state, by ``by``, that moves to each state with the loan's next row. Rows of the
+    trust's last month do not count; those of loans that end earlier count below the line only."""
     w = Window.partitionBy(KEY, ASSET).orderBy("reportingPeriodBeginningDate")
-    return df.withColumn("to_state", F.lead("monthsDelinquent").over(w)).filter("to_state is not null").select(F.col("monthsDelinquent").alias("from_state"), "to_state", double(E).alias("w"), *keep)
+    rows = df.withColumn("to_state", F.lead("monthsDelinquent").over(w)).filter(F.col("summaryDate") == 0)
+    state, to = F.col("monthsDelinquent").cast("int").alias("from_state"), F.col("to_state").cast("int").alias("to_state")
+    sums = rows.groupBy(*by, state, to).agg(F.sum(double(E)).alias("w"))
+    total = sums.groupBy(*by, "from_state").agg(F.sum("w").alias("_all"))
+    spine = df.select(*by).dropna().distinct() if by else df.sparkSession.range(1).drop("id")
+    for name, n in (("from_state", starts), ("to_state", 7)):
+        spine = spine.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    out = spine.join(sums, [*by, "from_state", "to_state"], "left").join(total, [*by, "from_state"], "left")
+    return out.select(*by, "from_state", "to_state", F.coalesce(F.col("w") / F.nullif(F.col("_all"), F.lit(0.0)), F.lit(0.0)).alias("share"))
 
 
 def roll_matrix(df: DataFrame) -> DataFrame:
-    """Balance-weighted shares of moves between the seven states."""
-    sums = _moves(df).groupBy("from_state", "to_state").agg(F.sum("w").alias("w"))
-    total = F.sum("w").over(Window.partitionBy("from_state"))
-    return sums.select("from_state", "to_state", (F.col("w") / F.nullif(total, F.lit(0.0))).alias("share"))
+    """Balance-weighted shares of moves between the seven states, 0 where there is none."""
+    return _rolls(df, 7)
 
 
 def roll_series(df: DataFrame, axis: str = "reportingPeriodBeginningDate") -> DataFrame:
     """Shares of moves from states 0-4 to 0-6 by axis value, 0 where there is none; the last value is left out."""
-    sums = _moves(df, axis).filter("from_state between 0 and 4").groupBy(axis, "from_state", "to_state").agg(F.sum("w").alias("w"))
-    spine = sums.select(axis, "from_state").distinct().withColumn("to_state", F.explode(F.sequence(F.lit(0), F.lit(6)))).withColumn("to_state", F.col("to_state").cast(df.schema["monthsDelinquent"].dataType))
-    total = F.sum("w").over(Window.partitionBy(axis, "from_state"))
-    out = spine.join(sums, [axis, "from_state", "to_state"], "left").withColumn("share", F.coalesce(F.col("w") / F.nullif(total, F.lit(0.0)), F.lit(0.0)))
     last = df.agg(F.max(axis).alias("_last"))
-    return out.join(last).filter(F.col(axis) < F.col("_last")).select(axis, "from_state", "to_state", "share")
+    return _rolls(df, 5, axis).join(last).filter(F.col(axis) < F.col("_last")).drop("_last")
 
 
 def describe(df: DataFrame, fields: list[str]) -> DataFrame:

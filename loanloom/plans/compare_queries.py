@@ -33,7 +33,7 @@ query("b6_annualised", _Q + " SELECT quarter, round(1 - power(1 - roll, 4), 8) A
 
 _P = INDEX + """,
 lv AS (SELECT month, round(100 + 25 * stress_index_zavg, 4) AS level, round(100 * net_loss_annl, 6) AS net_loss, row_number() OVER (ORDER BY month) - 1 AS j FROM marks),
-ps AS (SELECT DISTINCT k AS position, CASE WHEN k % 2 = 0 THEN 1 ELSE -1 END AS side, k % 48 AS a, k % 48 + 6 + k % 30 AS z FROM tape WHERE k < 500),
+ps AS (SELECT DISTINCT k AS position, CASE WHEN k % 2 = 0 THEN 1 ELSE -1 END AS side, k % 48 AS a, k % 48 + 6 + k % 30 AS z FROM tape),
 pt AS (SELECT position, side, lv.month, level, net_loss, first_value(level) OVER w AS p0, count(*) OVER (PARTITION BY position) AS n FROM ps JOIN lv ON j BETWEEN a AND z WHERE level IS NOT NULL WINDOW w AS (PARTITION BY position ORDER BY month)),
 pr AS (SELECT *, coalesce(side * 100000.0::DOUBLE * (level - lag(level) OVER w) / p0, 0) AS mtm FROM pt WHERE n >= 2 AND p0 > 0 WINDOW w AS (PARTITION BY position ORDER BY month)),
 pf AS (SELECT *, sum(mtm) OVER (PARTITION BY position ORDER BY month) AS pnl FROM pr)"""
@@ -46,7 +46,7 @@ def _marks(s, d):
 def _paths(s, d):
     marks = _marks(s, d)
     first = marks.agg(F.min("month").alias("m0"))
-    ids = tape(s, d).filter("k < 500").select(F.col("k").alias("position")).distinct().join(first)
+    ids = tape(s, d).select(F.col("k").alias("position")).distinct().join(first)
     at = lambda e: F.add_months("m0", F.expr(e).cast("int"))
     positions = ids.select("position", F.when(F.col("position") % 2 == 0, 1).otherwise(-1).alias("side"), at("position % 48").alias("entry"), at("position % 48 + 6 + position % 30").alias("exit"), F.lit(100000.0).alias("notional"))
     return book.paths(positions, marks.select("month", "level"))

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import clean, lease
+from ..operators import clean, lease, report
 from ..operators.metrics import trust_month_parts
 from ..sources import readers
 from .index_queries import TRUST, _index, _live, _trust
@@ -29,13 +29,49 @@ def n():
 
 LS = TAPE + """, ls AS (SELECT *, (300 + k % 500) / 10000.0::DOUBLE AS rate, orig // term AS pay, orig * 4 // 10 AS resid, term - age AS lft, age = term - 1 AS fin FROM tape),
 pv AS (SELECT *, -( -CAST(resid AS DOUBLE) - pay * (1 + rate / 12) * (power(1 + rate / 12, lft + 1.0) - 1) / (rate / 12)) / power(1 + rate / 12, lft + 1.0) AS v0, -( -CAST(resid AS DOUBLE) - pay * (1 + rate / 12) * (power(1 + rate / 12, CAST(lft AS DOUBLE)) - 1) / (rate / 12)) / power(1 + rate / 12, CAST(lft AS DOUBLE)) AS v1,
-  CASE WHEN beg > 0 AND endb <= 0 AND co = 0 THEN 6 WHEN co > 0 THEN 5 ELSE least(dpd // 30, 4) END AS lmd FROM ls)"""
+  CASE WHEN co > 0 THEN 5 ELSE least(dpd // 30, 4) END AS lmd FROM ls)"""
 
 
 def _leases(s, d):
     return tape(s, d).select(*(F.expr(e).alias(c) for c, e in _E.items()))
 
 
+def _more_sql(duck: bool) -> str:
+    """The tape with what a lease tape gets wrong: begin values and charge-offs that contradict each other, several ways
+    to end, and proceeds that come, again, after the end."""
+    keys = "k, sec, asset, orig_month, orig, term, fico, veh_value, score_type, state"
+    after = "CAST(month + INTERVAL 1 MONTH AS DATE)" if duck else "add_months(month, 1)"
+    return f"""SELECT {keys}, mi, i, month, age, dpd, interest, prin, CASE WHEN k % 29 IN (0, 1) AND i = 3 THEN 0 ELSE beg END AS beg, endb,
+  CASE WHEN k % 29 = 0 AND i = 3 THEN -100 WHEN k % 29 = 1 AND i = 3 THEN 100 WHEN k % 29 = 2 AND i = 4 AND beg > 700 THEN beg - 700 ELSE co END AS co, CASE WHEN k % 29 = 2 AND i = 4 AND beg > 700 THEN 700 ELSE rec END AS rec,
+  CASE WHEN co > 0 THEN last_day(month) END AS zb, CASE WHEN co > 0 THEN 1 + 2 * (k % 2) ELSE 0 END AS zc, CASE WHEN age = term - 1 THEN 1 + k % 4 ELSE 0 END AS ti FROM {"tape" if duck else "{t}"}
+ UNION ALL SELECT {keys}, mi + 1, i + 1, {after}, age + 1, dpd, 0, 0, 0, 0, 0, CASE WHEN k % 3 = 0 THEN rec ELSE rec + 1 END, last_day(month), 1 + 2 * (k % 2), 0 FROM {"tape" if duck else "{t}"} WHERE co > 0"""
+
+
+_MORE = _E | {"terminationIndicator": "ti", "zeroBalanceCode": "zc", "zeroBalanceEffectiveDate": "zb", lease.OWED: "CASE WHEN endb = 0 AND k % 5 = 0 THEN 1 ELSE endb END"}
+_RATE, _PAY, _RESID, _LEFT = "(300 + k % 500) / 10000.0::DOUBLE", "(orig // term)", "(orig * 4 // 10)", "(term - age)"
+_OPENS = f"beg = 0 AND endb <> 0 AND {_LEFT} > 0"
+LX = TAPE + f""", lt AS ({_more_sql(True)}),
+x2 AS (SELECT * REPLACE (CASE WHEN {_OPENS} AND co > 0 THEN endb + co ELSE beg END AS beg, CASE WHEN {_OPENS} AND co < 0 THEN beg - endb WHEN co > 0 AND beg - co - rec = 0 THEN beg ELSE co END AS co),
+  CASE WHEN endb = 0 AND k % 5 = 0 THEN 1 ELSE endb END AS owed, {_RATE} AS rate, {_PAY} AS pay, {_RESID} AS resid, {_LEFT} AS lft FROM lt),
+x3 AS (SELECT *, rec <> 0 AND coalesce(zb < month, false) AND owed + endb = 0 AS gone FROM x2),
+x4 AS (SELECT *, CASE WHEN co > 0 AND rec > 0 THEN rec ELSE 0 END + CASE WHEN gone AND zc = 3 THEN rec ELSE 0 END AS recovered, prin + interest + CASE WHEN ti IN (1, 2) OR gone AND zc = 1 THEN rec ELSE 0 END AS paid FROM x3),
+x5 AS (SELECT *, rec <> 0 AND coalesce(lead(rec) OVER (PARTITION BY sec, asset ORDER BY month) = rec, false) AS again FROM x4),
+x6 AS (SELECT * REPLACE (CASE WHEN again THEN 0 ELSE co END AS co, CASE WHEN again THEN 0 ELSE recovered END AS recovered, CASE WHEN again THEN 0 ELSE rec END AS rec, CASE WHEN again THEN 0 ELSE zc END AS zc, CASE WHEN again THEN 0 ELSE ti END AS ti) FROM x5),
+x7 AS (SELECT *, CASE WHEN owed = 0 AND lft < term AND paid > pay AND dpd = 0 THEN 6 WHEN co > 0 THEN 5 ELSE least(dpd // 30, 4) END AS lmd,
+  -( -CAST(resid AS DOUBLE) - pay * (1 + rate / 12) * (power(1 + rate / 12, lft + 1.0) - 1) / (rate / 12)) / power(1 + rate / 12, lft + 1.0) AS v0, -( -CAST(resid AS DOUBLE) - pay * (1 + rate / 12) * (power(1 + rate / 12, CAST(lft AS DOUBLE)) - 1) / (rate / 12)) / power(1 + rate / 12, CAST(lft AS DOUBLE)) AS v1 FROM x6),
+x8 AS (SELECT *, CASE WHEN lmd < 5 THEN (v0 - v1) * (dpd // 30 + 1) ELSE 0 END AS planned, beg - endb - co AS principal FROM x7),
+x9 AS (SELECT *, CASE WHEN co = 0 AND beg <> 0 AND endb = 0 AND lft > 1 THEN greatest(principal - planned, 0) ELSE 0 END AS prepaid, CASE WHEN ti IN (1, 2) OR zc IN (1, 2) THEN rec - resid ELSE 0 END AS sale FROM x8)"""
+
+
+def _more(s, d):
+    rows = s.sql(_more_sql(False), t=tape(s, d))
+    return rows.select(*(F.expr(e).alias(c) for c, e in _MORE.items()))
+
+
+def _steps(s, d):
+    return lease.flows(lease.months_delinquent(lease.repeated_proceeds(lease.recoveries(lease.reconciled(lease.scheduled_values(_more(s, d)))))))
+
+
 def _flows(s, d):
     return lease.flows(lease.months_delinquent(lease.scheduled_values(_leases(s, d))))
 
@@ -47,11 +83,19 @@ query("lc3_double_months", TAPE + ", dm AS (SELECT sec, asset, mi, CASE WHEN k %
 query("lc4_keep_last", TAPE + " SELECT count(*) AS n FROM tape")(lambda s, d: clean.keep_last(_leases(s, d).unionByName(_leases(s, d).filter("currentDelinquencyStatus = 35")), "reportingPeriodBeginDate").agg(n()))
 query("le1_scheduled_values", LS + S + "round(sum(v0) / 1e8, 4) AS v0, round(sum(v1) / 1e8, 4) AS v1 FROM pv GROUP BY 1")(
     lambda s, d: lease.scheduled_values(_leases(s, d)).groupBy(KEY).agg(r8(F.sum("scheduledSecuritizationBeginValueAmount") / 1e8, 4).alias("v0"), r8(F.sum("scheduledSecuritizationEndValueAmount") / 1e8, 4).alias("v1")))
-query("le6_months_delinquent", LS + " SELECT CAST(lmd AS INT) AS md, count(*) AS n FROM pv GROUP BY 1")(lambda s, d: lease.months_delinquent(_leases(s, d)).groupBy(F.col("monthsDelinquent").cast("int").alias("md")).agg(n()))
+query("le6_months_delinquent", LX + " SELECT CAST(CASE WHEN owed = 0 AND lft < term AND prin + interest > pay AND dpd = 0 THEN 6 WHEN co > 0 THEN 5 ELSE least(dpd // 30, 4) END AS INT) AS md, count(*) AS n FROM (SELECT lt.*, CASE WHEN endb = 0 AND k % 5 = 0 THEN 1 ELSE endb END AS owed, term - age AS lft, orig // term AS pay FROM lt) GROUP BY 1")(lambda s, d: lease.months_delinquent(_more(s, d)).groupBy(F.col("monthsDelinquent").cast("int").alias("md")).agg(n()))
 query("le7_le8_principal", LS + S + "round(sum(CASE WHEN lmd < 5 THEN (v0 - v1) * (dpd // 30 + 1) ELSE 0 END) / 1e8, 4) AS planned, CAST(sum(beg - endb - co) AS BIGINT) AS principal FROM pv GROUP BY 1")(
     lambda s, d: _flows(s, d).groupBy(KEY).agg(r8(F.sum("scheduledSecuritizationValueAmortization") / 1e8, 4).alias("planned"), F.sum("actualPrincipalCollectedAmount").cast("bigint").alias("principal")))
 query("le10_interest", LS + S + "round(sum(least(greatest(CAST(prin + interest - (beg - endb - co) AS DOUBLE), 0), beg * rate / 12)) / 1e6, 3) AS interest FROM pv GROUP BY 1")(lambda s, d: _flows(s, d).groupBy(KEY).agg(r8(F.sum("actualInterestCollectedAmount") / 1e6, 3).alias("interest")))
 query("le11_sale_results", LS + S + "CAST(sum(CASE WHEN fin THEN rec - resid ELSE 0 END) AS BIGINT) AS result FROM pv GROUP BY 1")(lambda s, d: _flows(s, d).groupBy(KEY).agg(F.sum("saleGainOrLoss").cast("bigint").alias("result")))
+_LONG = {"begins": (lease.B, "beg"), "charged": (lease.CO, "co"), "proceeds": (lease.LIQ, "rec"), "recovered": ("recoveredAmount", "recovered"), "paid": (lease.PAID, "paid"), "principal": ("actualPrincipalCollectedAmount", "principal"), "sale": ("saleGainOrLoss", "sale")}
+query("le2_le11_lease_flows", LX + S + "CAST(lmd AS INT) AS md, count(*) AS n, " + ", ".join(f"CAST(sum({e}) AS BIGINT) AS {c}" for c, (_, e) in _LONG.items()) + ", round(sum(prepaid) / 1e6, 3) AS prepaid FROM x9 GROUP BY 1, 2")(
+    lambda s, d: _steps(s, d).groupBy(KEY, F.col("monthsDelinquent").cast("int").alias("md")).agg(n(), *(F.sum(c).cast("bigint").alias(k) for k, (c, _) in _LONG.items()), r8(F.sum("principalPrepaid") / 1e6, 3).alias("prepaid")))
+query("r8_lease_speed", LS + """, sp AS (SELECT sec, min(mi) AS first_mi FROM tape GROUP BY 1), c AS (SELECT pv.*, mi - first_mi AS mfc, max(CASE WHEN mi = first_mi THEN beg END) OVER (PARTITION BY sec, asset) AS cb FROM pv JOIN sp USING (sec)),
+both_ AS (SELECT sec AS k2, * FROM c UNION ALL SELECT NULL AS k2, * FROM c), op AS (SELECT k2, sum(CAST(age - mfc AS DOUBLE) * cb) / nullif(sum(CAST(cb AS DOUBLE)), 0) AS wa FROM both_ GROUP BY 1),
+g AS (SELECT k2, mfc, 1 - (sum(CAST(beg AS DOUBLE)) / nullif(sum(v0), 0)) / nullif(sum(CAST(endb AS DOUBLE)) / nullif(sum(v1), 0), 0) AS s FROM both_ GROUP BY 1, 2)
+SELECT g.k2 AS "securitizationKey", CAST(mfc AS INT) AS "monthsFromCutoffDate", round(s / nullif(1 + s * wa, 0), 6) AS abs_speed FROM g JOIN op ON g.k2 IS NOT DISTINCT FROM op.k2""")(
+    lambda s, d: report.lease_speed(lease.as_loans(lease.ages(lease.scheduled_values(_leases(s, d))))).select(KEY, F.col("monthsFromCutoffDate").cast("int").alias("monthsFromCutoffDate"), r8("abs_speed", 6).alias("abs_speed")))
 query("le12_ages", LS + S + "CAST(sum(term - lft) AS BIGINT) AS age FROM pv GROUP BY 1")(lambda s, d: lease.ages(_leases(s, d)).groupBy(KEY).agg(F.sum("age").cast("bigint").alias("age")))
 query("le14_loan_amount", LS + S + "CAST(sum(term * pay + resid) AS BIGINT) AS amount FROM pv GROUP BY 1")(lambda s, d: lease.loan_amount(_leases(s, d)).groupBy(KEY).agg(F.sum("originalLoanAmount").cast("bigint").alias("amount")))
 query("le15_implied_rates")(lambda s, d: lease.implied_rates(_leases(s, d)).groupBy(KEY).agg(F.count("originalInterestRatePercentage").alias("solved"), r8(F.avg("originalInterestRatePercentage"), 6).alias("rate")))

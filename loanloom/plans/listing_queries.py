@@ -36,8 +36,8 @@ C = F.col
 query("l1_l2_classes", L + " SELECT assetclass, entitytype, count(*) AS n FROM l GROUP BY 1, 2")(lambda s, d: _listing(s, d).groupBy(ls.asset_class(C("secname")).alias("assetclass"), ls.entity_type(C("secname")).alias("entitytype")).agg(n()))
 query("l3_strip_cik", L + " SELECT DISTINCT secname AS name FROM l")(lambda s, d: _listing(s, d).select(ls.without_cik(F.concat("secname", F.lit(" (CIK 00012)"))).alias("name")).distinct())
 query("l4_shelf", L + f" SELECT {_SHELF} AS shelf, count(*) AS n FROM l GROUP BY 1")(lambda s, d: _listing(s, d).groupBy(ls.shelf(C("secname")).alias("shelf")).agg(n()))
-query("l5_names", L + " SELECT regexp_replace(secname, '[^A-Za-z0-9\\-]+', '_', 'g') || '_' || reportdate || '_' || number || '.xml' AS file, number AS accession, CAST(nk AS VARCHAR) AS cik FROM l WHERE entitytype = 'Trust'")(
-    lambda s, d: _listing(s, d).filter("entitytype = 'Trust'").select(ls.file_name(C("secname"), C("reportdate"), ls.accession(C("url"))).alias("file"), ls.accession(C("url")).alias("accession"), ls.cik(C("url")).alias("cik")))
+query("l5_names", L + " SELECT replace(secname || ' & Co. (x)', ' ', '_') || '_' || reportdate || '_' || number || '.xml' AS file, number AS accession, CAST(nk AS VARCHAR) AS cik FROM l WHERE entitytype = 'Trust'")(
+    lambda s, d: _listing(s, d).filter("entitytype = 'Trust'").select(ls.file_name(F.concat("secname", F.lit(" & Co. (x)")), C("reportdate"), ls.accession(C("url"))).alias("file"), ls.accession(C("url")).alias("accession"), ls.cik(C("url")).alias("cik")))
 query("l6_pick_files", L + " SELECT url AS filing, CASE WHEN mi % 3 = 0 THEN 'b.xml' ELSE 'a.xml' END AS name FROM l GROUP BY url, mi")(
     lambda s, d: ls.pick_files(_listing(s, d).select(C("url").alias("filing"), F.explode(F.array(*(F.struct(F.lit(f).alias("name"), F.expr(e).cast("long").alias("size")) for f, e in (("a.xml", "100"), ("b.xml", "100 - cast(mi % 3 > 0 as int)"), ("ex103.xml", "999"), ("s.xsd", "999"), ("x.htm", "999"))))).alias("f")).select("filing", "f.*")))
 query("l7_filers", L + " SELECT url AS filing, CAST(min(nk) AS VARCHAR) AS cik, secname FROM l GROUP BY url, secname")(
@@ -48,9 +48,10 @@ query("l9_difference", L + f", old AS (SELECT * FROM l WHERE mi % 12 < 6 AND vy
 query("l10_merge", L + _NORM + " SELECT count(*) AS n, count(DISTINCT secname) AS names FROM norm")(lambda s, d: ls.merge(_listing(s, d).filter("mi % 2 = 0"), _listing(s, d).filter("mi % 2 = 1")).agg(n(), F.count_distinct("secname").alias("names")))
 query("l11_select_filings", L + " SELECT secname, count(*) AS n FROM l WHERE entitytype = 'Trust' AND assetclass = 'Auto Loans' AND regexp_matches(lower(secname), 'shelf 0[1-5]') AND reportdate >= '2021-06-01' GROUP BY 1")(lambda s, d: ls.select_filings(_listing(s, d), "shelf 0[1-5]", "2021-06-01").groupBy("secname").agg(n()))
 query("l12_vintage", L + " SELECT vy::INT AS vintage, count(*) AS n FROM l WHERE entitytype = 'Trust' GROUP BY 1")(lambda s, d: _listing(s, d).filter("entitytype = 'Trust'").groupBy(ls.vintage(C("secname")).alias("vintage")).agg(n()))
-query("l13_panel", L + _NORM + f""", deal AS (SELECT secname, lower({_SHELF}) AS shelf, count(DISTINCT url) AS n, CASE WHEN vy >= 2024 THEN 6 WHEN vy >= 2022 THEN 5 WHEN vy >= 2020 THEN 4 WHEN vy >= 2019 THEN 3 WHEN vy >= 2018 THEN 2 ELSE 1 END AS bucket FROM norm WHERE entitytype = 'Trust' GROUP BY 1, 2, vy),
-top AS (SELECT secname FROM (SELECT *, row_number() OVER (PARTITION BY shelf, bucket ORDER BY n DESC, secname) AS r FROM deal) WHERE r <= 1) SELECT secname, count(*) AS n FROM norm JOIN top USING (secname) GROUP BY 1""")(
-    lambda s, d: ls.select_panel(ls.normalize(_listing(s, d)).filter("entitytype = 'Trust'")).groupBy("secname").agg(n()))
+query("l12_n_series", L + " SELECT secname, count(*) AS n FROM l WHERE entitytype = 'Trust' AND nk % 2 = 0 GROUP BY 1")(lambda s, d: _listing(s, d).filter(ls.n_series(C("secname"))).groupBy("secname").agg(n()))
+query("l13_panel", L + _NORM + """, deal AS (SELECT secname, CASE WHEN nk < 10 THEN 'shelf 0' WHEN nk < 20 AND nk % 2 = 0 THEN 'Shelf 1' END AS shelf, count(DISTINCT url) AS n, CASE WHEN vy >= 2024 THEN 6 WHEN vy >= 2022 THEN 5 WHEN vy >= 2020 THEN 4 WHEN vy >= 2019 THEN 3 WHEN vy >= 2018 THEN 2 ELSE 1 END AS bucket FROM norm WHERE entitytype = 'Trust' AND assetclass = 'Auto Loans' GROUP BY ALL),
+top AS (SELECT secname FROM (SELECT *, row_number() OVER (PARTITION BY shelf, bucket ORDER BY n DESC, secname) AS r FROM deal WHERE shelf IS NOT NULL) WHERE r <= 2) SELECT secname, count(*) AS n FROM norm JOIN top USING (secname) GROUP BY 1""")(
+    lambda s, d: ls.select_panel(ls.normalize(_listing(s, d)), ["shelf 0", "Shelf 1"], only_n=("Shelf 1",)).groupBy("secname").agg(n()))
 query("l14_seeds", L + " SELECT DISTINCT CAST(nk AS VARCHAR) AS cik FROM l WHERE assetclass = 'Auto Loans' AND regexp_matches(lower(secname), 'shelf 0')")(lambda s, d: ls.seeds(_listing(s, d), "shelf 0"))
 query("l15_downloads", L + ", urls AS (SELECT DISTINCT url FROM l WHERE assetclass = 'Auto Loans' AND entitytype IN ('Trust', 'Depositor')) SELECT count(*) AS files, round(count(*) * 0.19, 6) AS gb FROM urls")(
     lambda s, d: ls.download_size(ls.downloads(_listing(s, d), ["Auto Loans"], ["Trust", "Depositor"])).withColumn("gb", F.round("gb", 6)))

@@ -14,7 +14,7 @@ lean AS (SELECT t.sec, t.asset, t.month, t.fico, t.term, t.term - t.age AS rem,
   u.exited IS NULL OR t.month < u.exited AS in_index FROM tape t LEFT JOIN ex u USING (sec))"""
 _D = "CAST(endb AS DOUBLE)"
 BUCKETS = LEAN + """,
-bucket AS (SELECT month, rem, round(CAST(rate AS DECIMAL(20, 8)) * 200)::DOUBLE / 200 AS rb, sum(endb) AS bal FROM lean WHERE in_index AND endb > 0 AND rem BETWEEN 1 AND 90 GROUP BY 1, 2, 3),
+bucket AS (SELECT month, rem, round(CAST(rate AS DECIMAL(20, 8)) * 200)::DOUBLE / 200 AS rb, sum(endb) AS bal FROM lean WHERE in_index AND endb > 0 AND rem BETWEEN 1 AND 90 AND rate >= 0 GROUP BY 1, 2, 3),
 life AS (SELECT *, CASE WHEN rb <= 0 THEN (rem + 1) / 2.0 ELSE
   ((rb / 12) / (1 - power(1 + rb / 12, -CAST(rem AS DOUBLE))) - rb / 12) * (1 - (rem + 1) * power(1 + rb / 12, CAST(rem AS DOUBLE)) + rem * power(1 + rb / 12, CAST(rem + 1 AS DOUBLE))) / power(rb / 12, 2) END AS wal FROM bucket),
 sched AS (SELECT month, sum(wal * CAST(bal AS DOUBLE)) / sum(CAST(bal AS DOUBLE)) AS scheduled_wal FROM life GROUP BY month),
@@ -41,8 +41,10 @@ query("e21_trusts_to_load", UNI + " SELECT sec AS \"securitizationKey\" FROM uni
     lambda s, d: lt.to_load(_uni(s, d), _uni(s, d).filter("securitizationKey like '%2018%'")).select("securitizationKey"))
 query("q1_composition", BUCKETS + " SELECT month AS report_month, n_loans, balance, round(wa_fico, 6) AS wa_fico, round(wa_orig_term, 6) AS wa_orig_term, round(wa_rem_term, 6) AS wa_rem_term FROM comp")(
     lambda s, d: named(lt.composition(_lean(s, d)), ["report_month"], ["n_loans", "balance"], ["wa_fico", "wa_orig_term", "wa_rem_term"], 6))
-query("q2_rate_buckets", BUCKETS + " SELECT month AS report_month, CAST(rem AS BIGINT) AS rem_term, round(rb, 6) AS rate_bucket, CAST(bal AS BIGINT) AS balance FROM bucket")(
-    lambda s, d: named(lt.rate_buckets(_lean(s, d)), ["report_month"], ["rem_term", "balance"], ["rate_bucket"], 6))
+_MINUS = BUCKETS.replace("t.apr_bps / 10000.0::DOUBLE AS rate", "CASE WHEN t.k % 7 = 3 THEN -0.01 WHEN t.k % 7 = 4 THEN NULL ELSE t.apr_bps / 10000.0::DOUBLE END AS rate")
+_NO_RATE = F.when(F.col("asset_number").cast("long") % 7 == 3, -0.01).when(F.col("asset_number").cast("long") % 7 == 4, F.lit(None)).otherwise(F.col("rate"))
+query("q2_rate_buckets", _MINUS + " SELECT month AS report_month, CAST(rem AS BIGINT) AS rem_term, round(rb, 6) AS rate_bucket, CAST(bal AS BIGINT) AS balance FROM bucket")(
+    lambda s, d: named(lt.rate_buckets(_lean(s, d).withColumn("rate", _NO_RATE)), ["report_month"], ["rem_term", "balance"], ["rate_bucket"], 6))
 query("q3_level_pay_life", BUCKETS + " SELECT CAST(rem AS BIGINT) AS rem_term, round(rb, 6) AS rate_bucket, round(wal, 6) AS wal FROM (SELECT DISTINCT rem, rb, wal FROM life)")(
     lambda s, d: lt.rate_buckets(_lean(s, d)).select(F.col("rem_term").cast("bigint").alias("rem_term"), r8("rate_bucket", 6).alias("rate_bucket"), r8(lt.level_pay_wal(F.col("rem_term"), F.col("rate_bucket")), 6).alias("wal")).distinct())
 query("q4_scheduled_wal", BUCKETS + " SELECT month AS report_month, round(scheduled_wal, 6) AS scheduled_wal FROM sched")(lambda s, d: named(lt.scheduled_wal(lt.rate_buckets(_lean(s, d))), ["report_month"], [], ["scheduled_wal"], 6))

@@ -4,19 +4,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import enrich, report, vetting
-from .registry import TAPE, query, r8
+from .registry import ORACLES, TAPE, query, r8
 from .tape import LOAN, loans, tape
 
 KEY, BEG = "securitizationKey", "reportingPeriodBeginningDate"
 # a tape with a month missing in some trusts, missing and doubled loan months, and negative charge-offs
-_VT = "SELECT * REPLACE (CASE WHEN k % 211 = 0 AND i = 2 THEN -100 ELSE co END AS co) FROM tape WHERE NOT (k % 19 = 0 AND i = 5) AND NOT (nk = 3 AND i = 7)"
+_VT = "SELECT * REPLACE (CASE WHEN k % 211 = 0 AND i = 2 THEN -100 WHEN k % 101 = 0 AND i = 4 THEN 50 ELSE co END AS co) FROM tape WHERE NOT (k % 19 = 0 AND i = 5) AND NOT (nk = 3 AND i = 7)"
 VT = TAPE + f", vt AS ({_VT} UNION ALL SELECT * FROM tape WHERE k % 17 = 0 AND i = 3)"
 S = ' SELECT sec AS "securitizationKey", '
 
 
 def _vt(s, d):
     t = tape(s, d)
-    bad = t.filter("NOT (k % 19 = 0 AND i = 5) AND NOT (nk = 3 AND i = 7)").withColumn("co", F.expr("CASE WHEN k % 211 = 0 AND i = 2 THEN -100 ELSE co END"))
+    bad = t.filter("NOT (k % 19 = 0 AND i = 5) AND NOT (nk = 3 AND i = 7)").withColumn("co", F.expr("CASE WHEN k % 211 = 0 AND i = 2 THEN -100 WHEN k % 101 = 0 AND i = 4 THEN 50 ELSE co END"))
     rows = bad.unionByName(t.filter("k % 17 = 0 AND i = 3"))
     return rows.select(*(F.expr(e).alias(n) for n, e in LOAN.items())).withColumns({"repossessedProceedsAmount": F.lit(0), "otherPrincipalAdjustmentAmount": F.lit(0)})
 
@@ -42,8 +42,13 @@ query("v11_v19_row_counters", VT + S + 'count_if(beg < 0)::BIGINT AS "NegOpenBal
     _vet(vetting.row_counters, "NegOpenBal", "NegCloseBal", "RateNeg", "RatePos", "Integer", "NegCO", "PartialCO", "GreaterCO", "NegRepo", "NegRecov"))
 query("v20_cash_flow", VT + S + 'month AS "reportingPeriodBeginningDate", CAST(sum(beg) AS BIGINT) AS beg, CAST(sum(prin) AS BIGINT) AS prin, CAST(sum(co) AS BIGINT) AS co, CAST(sum(rec) AS BIGINT) AS rec FROM vt GROUP BY GROUPING SETS ((sec, month), (sec))')(
     lambda s, d: vetting.cashflow(_vt(s, d)).select(KEY, BEG, F.col(vetting.B).alias("beg"), F.col(vetting.PRIN).alias("prin"), F.col(vetting.CO).alias("co"), F.col(vetting.REC).alias("rec")))
-query("v21_error_report", VT + S + "counter, value FROM (SELECT sec, CAST(count(DISTINCT asset) AS DOUBLE) AS \"Count\", CAST(count_if(co < 0) AS DOUBLE) AS \"NegCO\" FROM vt GROUP BY 1) UNPIVOT (value FOR counter IN (\"Count\", \"NegCO\"))")(
-    lambda s, d: vetting.long_report(vetting.vet(_vt(s, d))).filter("counter in ('Count', 'NegCO')"))
+# every counter of the queries above, by trust
+_COUNTERS = {"v1_count": ["Count"], "v2_opening": ["OpenBal"], "v3_missing_months": ["MissingMonths"], "v4_v5_walk": ["Walk", "IncrBal"], "v6_payments": ["Pmts"], "v7_v8_missing_and_extra": ["Missing", "Extra"], "v9_after_charge_off": ["COExtra"], "v10_duplicates": ["Dupes"]}
+_COUNTERS["v11_v19_row_counters"] = ["NegOpenBal", "NegCloseBal", "RateNeg", "RatePos", "Integer", "NegCO", "PartialCO", "GreaterCO", "NegRepo", "NegRecov"]
+_ALL = [c for names in _COUNTERS.values() for c in names]
+_FROM = "".join(f' LEFT JOIN ({ORACLES[q]}) q{k} USING ("securitizationKey")' if k else f'({ORACLES[q]}) q0' for k, q in enumerate(_COUNTERS))
+query("v21_error_report", 'SELECT "securitizationKey", counter, value FROM (SELECT "securitizationKey", ' + ", ".join(f'CAST(coalesce("{c}", 0) AS DOUBLE) AS "{c}"' for c in _ALL) + f" FROM {_FROM}) UNPIVOT (value FOR counter IN (" + ", ".join(f'"{c}"' for c in _ALL) + "))")(
+    lambda s, d: vetting.long_report(vetting.vet(_vt(s, d))))
 query("v22_numeric_profile", VT + S + "'originalLoanTerm' AS field, count(term) AS \"count\", round(avg(term), 6) AS mean, round(stddev_samp(term), 6) AS std, CAST(min(term) AS DOUBLE) AS lo, round(quantile_cont(term, 0.25), 6) AS q25, round(quantile_cont(term, 0.5), 6) AS q50, CAST(max(term) AS DOUBLE) AS hi, count_if(term > 1)::BIGINT AS above_one FROM vt GROUP BY 1")(
     lambda s, d: vetting.numeric_profile(_vt(s, d), ["originalLoanTerm"]).select(KEY, "field", "count", r8("mean", 6).alias("mean"), r8("std", 6).alias("std"), F.col("min").alias("lo"), r8(F.col("quartiles")[0], 6).alias("q25"), r8(F.col("quartiles")[1], 6).alias("q50"), F.col("max").alias("hi"), "above_one"))
 _TOP = VT + ", c AS (SELECT sec, score_type AS v, count(*) AS n FROM vt GROUP BY 1, 2)" + S + "'obligorCreditScoreType' AS field, CAST(sum(CASE WHEN v IS NOT NULL THEN n ELSE 0 END) AS BIGINT) AS \"count\", count(v) AS \"unique\", arg_max(v, CASE WHEN v IS NOT NULL THEN n END) AS top, max(CASE WHEN v IS NOT NULL THEN n END) AS freq, CAST(sum(CASE WHEN v IS NULL THEN n ELSE 0 END) AS BIGINT) AS nans FROM c GROUP BY 1"
@@ -73,6 +78,12 @@ def _rows(s, d):
     return enrich.trust_dates(loans(s, d).withColumn("age", F.col("age").cast("bigint")))
 
 
+def _seasoned(s, d):
+    """With ages and balances at the cutoff, and prepaid principal."""
+    rows = enrich.cutoff_balance(_rows(s, d).withColumn("ageFromCutoff", F.col("age") - F.col("monthsFromCutoffDate")))
+    return rows.withColumn("principalPrepaid", F.expr("CASE WHEN monthsDelinquent = 6 THEN greatest(actualPrincipalCollectedAmount - scheduledPrincipalAmount, 0) ELSE 0 END"))
+
+
 def _shown(df, *keys):
     return df.select(*keys, "n_loans", *(r8(k, 6).alias(k) for k in MEASURES))
 
@@ -85,17 +96,34 @@ query("r3_equal_bins", LAST + _BIN + f" SELECT CAST(bin AS INT) AS bin, {_SQL} F
 query("r4_r5_summary", LAST + _BIN + f""", s AS (SELECT 'Size' AS dimension, 'bin ' || CAST(CAST(bin AS INT) AS VARCHAR) AS stratum, * FROM b WHERE bin IS NOT NULL UNION ALL SELECT 'Size', 'Overall', * FROM b
   UNION ALL SELECT 'VehType', CASE veh_type WHEN 1 THEN 'Car' WHEN 2 THEN 'Truck' ELSE 'SUV' END, * FROM b UNION ALL SELECT 'EmpVer', CAST(emp_ver AS VARCHAR), * FROM b) SELECT dimension, stratum, {_SQL} FROM s GROUP BY 1, 2""")(
     lambda s, d: _shown(report.summary(_rows(s, d)), "dimension", "stratum").filter("dimension = 'Size' or dimension in ('VehType', 'EmpVer') and stratum <> 'Overall'"))
-_PERF = LAST + """, both_ AS (SELECT sec AS k2, * FROM t UNION ALL SELECT NULL AS k2, * FROM t), op AS (SELECT k2, sum(CASE WHEN mfc = 0 THEN CAST(beg AS DOUBLE) END) AS o FROM both_ GROUP BY 1),
-g AS (SELECT k2, mfc, (sum(prin + co) - sum(sched_prin))::DOUBLE / nullif((sum(beg) - sum(sched_prin))::DOUBLE, 0) AS smm, sum(CAST(age AS DOUBLE) * beg) / nullif(sum(CAST(beg AS DOUBLE)), 0) AS wa,
-  sum(CASE WHEN md = 1 THEN CAST(endb AS DOUBLE) ELSE 0 END) / nullif(sum(CAST(endb AS DOUBLE)), 0) AS delq30, sum(CASE WHEN md = 2 THEN CAST(endb AS DOUBLE) ELSE 0 END) / nullif(sum(CAST(endb AS DOUBLE)), 0) AS delq60, sum(nl) AS nl FROM both_ GROUP BY 1, 2),
-perf AS (SELECT g.*, smm / nullif(1 - smm * (wa - 1), 0) AS abs_speed, CAST(sum(nl) OVER (PARTITION BY g.k2 ORDER BY mfc) AS DOUBLE) / nullif(o, 0) AS cnl FROM g JOIN op ON g.k2 IS NOT DISTINCT FROM op.k2)"""
-query("r7_r12_performance", _PERF + ' SELECT k2 AS "securitizationKey", CAST(mfc AS INT) AS "monthsFromCutoffDate", round(abs_speed, 6) AS abs_speed, round(delq30, 6) AS delq30, round(delq60, 6) AS delq60, round(cnl, 6) AS cnl FROM perf')(
-    lambda s, d: report.performance(_rows(s, d)).select(KEY, "monthsFromCutoffDate", *(r8(c, 6).alias(c) for c in ("abs_speed", "delq30", "delq60", "cnl"))))
-_MV = TAPE + ", mv AS (SELECT *, lead(md) OVER (PARTITION BY sec, asset ORDER BY mi) AS nx FROM tape), ms AS (SELECT md, nx, sum(CAST(endb AS DOUBLE)) AS w FROM mv WHERE nx IS NOT NULL GROUP BY 1, 2)"
-query("r14_roll_matrix", _MV + " SELECT md AS from_state, nx AS to_state, round(w / nullif(sum(w) OVER (PARTITION BY md), 0), 6) AS share FROM ms")(lambda s, d: report.roll_matrix(loans(s, d)).withColumn("share", r8("share", 6)))
-query("r15_roll_series", _MV + ', ma AS (SELECT month, md, nx, sum(CAST(endb AS DOUBLE)) AS w FROM mv WHERE nx IS NOT NULL AND md <= 4 GROUP BY 1, 2, 3), sn AS (SELECT DISTINCT month, md, t AS nx FROM ma, (SELECT unnest(range(0, 7)) AS t)) SELECT month AS "reportingPeriodBeginningDate", md AS from_state, nx AS to_state, round(coalesce(w / nullif(sum(w) OVER (PARTITION BY month, md), 0), 0), 6) AS share FROM sn LEFT JOIN ma USING (month, md, nx) WHERE month < (SELECT max(month) FROM tape)')(
-    lambda s, d: report.roll_series(loans(s, d)).withColumn("share", r8("share", 6)))
-_CV = TAPE + """, c AS (SELECT CASE WHEN fico <= 640 THEN 1 WHEN fico <= 680 THEN 2 WHEN fico <= 740 THEN 3 ELSE 4 END AS tier, md, age, beg FROM tape), cs AS (SELECT tier, md, age, sum(CAST(beg AS DOUBLE)) AS v FROM c GROUP BY 1, 2, 3),
-sn AS (SELECT tier, md, age FROM (SELECT DISTINCT tier, md FROM c), (SELECT DISTINCT age FROM c)), whole AS (SELECT sum(CAST(orig AS DOUBLE)) AS o FROM (SELECT DISTINCT sec, asset, orig FROM tape))"""
-query("r13_life_curves", _CV + ' SELECT tier AS "primeIndicator", md AS "monthsDelinquent", age, round(sum(coalesce(v, 0)) OVER (PARTITION BY tier, md ORDER BY age) / o, 6) AS share FROM sn LEFT JOIN cs USING (tier, md, age), whole')(
-    lambda s, d: report.curves(enrich.prime_indicator(loans(s, d))).withColumn("share", r8("share", 6)))
+_D = "CAST({} AS DOUBLE)".format
+_LATE = ", ".join(f"sum(CASE WHEN md = {k} THEN {_D('endb')} ELSE 0 END) / nullif(sum({_D('endb')}), 0) AS {name}" for k, name in ((1, "delq30"), (2, "delq60"), (3, "delq90"), (5, '"def"')))
+
+
+def _perf(axis: str, held: str) -> str:
+    return LAST + f""", c AS (SELECT *, max(CASE WHEN mfc = 0 THEN beg END) OVER (PARTITION BY sec, asset) AS cb, CASE WHEN md = 6 THEN greatest(prin - sched_prin, 0) ELSE 0 END AS pp FROM t),
+both_ AS (SELECT sec AS k2, * FROM c UNION ALL SELECT NULL AS k2, * FROM c), op AS (SELECT k2, sum(CASE WHEN mfc = 0 THEN {_D(held)} END) AS o, sum({_D("age - mfc")} * cb) / nullif(sum({_D("cb")}), 0) AS wa FROM both_ GROUP BY 1),
+g AS (SELECT k2, {axis} AS x, (sum(prin + co) - sum(sched_prin))::DOUBLE / nullif((sum(beg) - sum(sched_prin))::DOUBLE, 0) AS smm, {_LATE}, sum({_D("pp")}) / nullif(sum({_D("beg")}), 0) AS prepay, sum(nl) AS nl FROM both_ GROUP BY 1, 2),
+perf AS (SELECT g.*, smm / nullif(1 - smm * (wa - 1), 0) AS abs_speed, CAST(sum(nl) OVER (PARTITION BY g.k2 ORDER BY x) AS DOUBLE) / nullif(o, 0) AS cnl FROM g JOIN op ON g.k2 IS NOT DISTINCT FROM op.k2)
+SELECT perf.k2 AS "securitizationKey", CAST(x AS INT) AS axis, """ + ", ".join(f'round("{c}", 6) AS "{c}"' for c in PERFORMANCE) + " FROM perf"
+
+
+PERFORMANCE = ("abs_speed", "prepay", "delq30", "delq60", "delq90", "def", "cnl")
+for _name, _axis, _sql in (("r7_r12_performance", "monthsFromCutoffDate", _perf("mfc", "cb")), ("r11_performance_by_age", "age", _perf("age", "orig"))):
+    query(_name, _sql)(lambda s, d, axis=_axis: report.performance(_seasoned(s, d), axis).select(KEY, F.col(axis).cast("int").alias("axis"), *(r8(c, 6).alias(c) for c in PERFORMANCE)))
+# some loans leave long before their trust's last month
+_MV = TAPE + """, tp AS (SELECT * FROM tape WHERE NOT (k % 13 = 0 AND i > 10)), sp AS (SELECT sec, max(mi) AS last_mi FROM tp GROUP BY sec), mv AS (SELECT tp.*, lead(md) OVER (PARTITION BY sec, asset ORDER BY mi) AS nx, mi = last_mi AS fin FROM tp JOIN sp USING (sec)),
+st AS (SELECT f.range AS f, t.range AS t FROM range(0, 7) f, range(0, 7) t)"""
+
+
+def _leavers(s, d):
+    return enrich.trust_dates(tape(s, d).filter("NOT (k % 13 = 0 AND i > 10)").select(*(F.expr(e).alias(n) for n, e in LOAN.items())))
+
+
+query("r14_roll_matrix", _MV + ", ms AS (SELECT md, nx, sum(CAST(endb AS DOUBLE)) AS w FROM mv WHERE NOT fin GROUP BY 1, 2), den AS (SELECT md, sum(w) AS d FROM ms GROUP BY 1) SELECT f::INT AS from_state, t::INT AS to_state, round(coalesce(w / nullif(d, 0), 0), 6) AS share FROM st LEFT JOIN ms ON md = f AND nx = t LEFT JOIN den ON den.md = f")(lambda s, d: report.roll_matrix(_leavers(s, d)).withColumn("share", r8("share", 6)))
+query("r15_roll_series", _MV + ', ma AS (SELECT month, md, nx, sum(CAST(endb AS DOUBLE)) AS w FROM mv WHERE NOT fin GROUP BY 1, 2, 3), den AS (SELECT month, md, sum(w) AS d FROM ma GROUP BY 1, 2), mo AS (SELECT DISTINCT month FROM tp WHERE month < (SELECT max(month) FROM tp)) SELECT mo.month AS "reportingPeriodBeginningDate", f::INT AS from_state, t::INT AS to_state, round(coalesce(w / nullif(d, 0), 0), 6) AS share FROM mo JOIN st ON f < 5 LEFT JOIN ma ON ma.month = mo.month AND ma.md = f AND nx = t LEFT JOIN den ON den.month = mo.month AND den.md = f')(
+    lambda s, d: report.roll_series(_leavers(s, d)).withColumn("share", r8("share", 6)))
+_CV = TAPE + """, c AS (SELECT CASE WHEN fico <= 640 THEN 1 WHEN fico <= 680 THEN 2 WHEN fico <= 740 THEN 3 ELSE 4 END AS tier, md, age, beg, orig FROM tape WHERE fico <> 600 OR age > 20), cs AS (SELECT tier, md, age, sum(CAST(beg AS DOUBLE)) AS v FROM c GROUP BY 1, 2, 3),
+whole AS (SELECT tier, sum(CAST(orig AS DOUBLE)) AS o, min(age) AS begun FROM c GROUP BY 1), sn AS (SELECT tier, md, a.age, o FROM (SELECT DISTINCT tier, md FROM c) JOIN whole USING (tier), (SELECT DISTINCT age FROM c) a WHERE a.age >= begun)"""
+query("r13_life_curves", _CV + ' SELECT tier AS "primeIndicator", md AS "monthsDelinquent", age, round(sum(coalesce(v, 0)) OVER (PARTITION BY tier, md ORDER BY age) / o, 6) AS share FROM sn LEFT JOIN cs USING (tier, md, age)')(
+    lambda s, d: report.curves(enrich.prime_indicator(loans(s, d).filter("consumerCreditScore <> 600 or age > 20"))).withColumn("share", r8("share", 6)))

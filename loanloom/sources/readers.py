@@ -64,6 +64,17 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return both.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy("_age"))).filter("_n = 1").drop("_n", "_age")
 
 
+def write_tape(rows: DataFrame, path: str) -> None:
+    """Asset rows as XML filings, as ``read_tape`` reads them."""
+    rows.write.format("xml").option("rootTag", "assetData").option("rowTag", "assets").option("dateFormat", "MM-dd-yyyy").save(path)
+
+
+def write_csvs(frames: dict[str, DataFrame], path: str) -> None:
+    """Each derived table (index, trust months, universe) as CSV with a header, in a folder of its own name."""
+    for name, df in frames.items():
+        df.write.mode("overwrite").csv(f"{path}/{name}", header=True)
+
+
 def write_partitions(df: DataFrame, path: str, by: str) -> None:
     """Replaces only the partitions that ``df`` has rows of."""
     df.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
