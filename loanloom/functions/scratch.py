@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,3 +21,9 @@ def shared_dir(spark: SparkSession) -> str:
         path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the shared folder, for small tables that a query reads several times."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()

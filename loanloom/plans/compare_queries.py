@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scratch import settled
 from ..operators import book, compare, features
 from .index_queries import INDEX, _index
 from .registry import TAPE, named, query, r8
@@ -40,7 +41,7 @@ pf AS (SELECT *, sum(mtm) OVER (PARTITION BY position ORDER BY month) AS pnl FRO
 
 
 def _marks(s, d):
-    return _index(s, d).select("month", F.round(100 + 25 * F.col("stress_index_zavg"), 4).alias("level"), F.round(100 * F.col("net_loss_annl"), 6).alias("net_loss"))
+    return settled(_index(s, d)).select("month", F.round(100 + 25 * F.col("stress_index_zavg"), 4).alias("level"), F.round(100 * F.col("net_loss_annl"), 6).alias("net_loss"))
 
 
 def _paths(s, d):

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scratch import settled
 from ..operators import metrics, stress, universe
 from .registry import TAPE, named, query, r8
 from .tape import floor_cents, loans
@@ -130,8 +131,8 @@ _FLAG = "month BETWEEN DATE '2020-04-01' AND DATE '2020-12-01' AS covid_flag"
 @query("z8_build_index", INDEX + f" SELECT month, {whole(['n_trusts', 'pool_balance'])}, {rounded([*_R, 'gross_yield_annl', 'net_yield_annl'], 8)}, {rounded([*_Z, 'stress_index_zavg'], 6)}, {_FLAG} FROM (SELECT *, pool_end_balance AS pool_balance FROM marks)")
 def z8(spark, d):
     out = stress.build_index(loans(spark, d), min_pool_size=floor_cents(d))
-    first = named(out, ["month", "covid_flag"], ["n_trusts", "pool_balance"], [*_R, "gross_yield_annl", "net_yield_annl"])
-    return first.join(named(out, ["month"], [], [*_Z, "stress_index_zavg"], 6), "month")
+    longs, ratios = ["n_trusts", "pool_balance"], [*_R, "gross_yield_annl", "net_yield_annl"]
+    return out.select("month", "covid_flag", *(F.col(c).cast("bigint").alias(c) for c in longs), *(r8(c).alias(c) for c in ratios), *(r8(c, 6).alias(c) for c in [*_Z, "stress_index_zavg"]))
 
 
 @query("z9_incremental_union", POOL + f" SELECT month, {whole(['n_trusts', 'pool_end_balance'])}, {rounded(_R, 8)} FROM pool")
@@ -164,4 +165,4 @@ COHORT = TRUST + _AGED + pool_ctes("aged", "cpool", "WHERE age BETWEEN 6 AND 30"
 query("k3_cohort_index", COHORT + f" SELECT month, CAST(n_trusts AS BIGINT) AS n_trusts, {rounded(_R, 8)}, {rounded(['stress_index_zavg'], 6)} FROM cmarks")(
     lambda s, d: stress.cohort_index(_aged(s, d)).select("month", F.col("n_trusts").cast("bigint").alias("n_trusts"), *(r8(c).alias(c) for c in _R), r8("stress_index_zavg", 6).alias("stress_index_zavg")))
 query("k4_cohort_diagnostics", COHORT + ", diag AS (SELECT c.*, a.pool_age FROM cmarks c LEFT JOIN ages a USING (month)) SELECT count(*) AS months, count_if(n_trusts >= 3)::BIGINT AS months_enough, round(stddev_samp(pool_age), 6) AS pool_age_std, round(avg(CASE WHEN month >= DATE '2021-01-01' THEN net_loss_annl END), 8) AS net_loss_since FROM diag")(
-    lambda s, d: named(stress.cohort_diagnostics(stress.cohort_index(_aged(s, d)), stress.mean_pool_age(_aged(s, d)), "2021-01-01"), ["months", "months_enough"], [], ["pool_age_std", "net_loss_since"]).withColumn("pool_age_std", F.round("pool_age_std", 6)))
+    lambda s, d: (lambda aged: named(stress.cohort_diagnostics(stress.cohort_index(aged), stress.mean_pool_age(aged), "2021-01-01"), ["months", "months_enough"], [], ["pool_age_std", "net_loss_since"]).withColumn("pool_age_std", F.round("pool_age_std", 6)))(settled(_aged(s, d))))

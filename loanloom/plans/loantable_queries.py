@@ -42,9 +42,9 @@ query("e21_trusts_to_load", UNI + " SELECT sec AS \"securitizationKey\" FROM uni
 query("q1_composition", BUCKETS + " SELECT month AS report_month, n_loans, balance, round(wa_fico, 6) AS wa_fico, round(wa_orig_term, 6) AS wa_orig_term, round(wa_rem_term, 6) AS wa_rem_term FROM comp")(
     lambda s, d: named(lt.composition(_lean(s, d)), ["report_month"], ["n_loans", "balance"], ["wa_fico", "wa_orig_term", "wa_rem_term"], 6))
 _MINUS = BUCKETS.replace("t.apr_bps / 10000.0::DOUBLE AS rate", "CASE WHEN t.k % 7 = 3 THEN -0.01 WHEN t.k % 7 = 4 THEN NULL ELSE t.apr_bps / 10000.0::DOUBLE END AS rate")
-_NO_RATE = F.when(F.col("asset_number").cast("long") % 7 == 3, -0.01).when(F.col("asset_number").cast("long") % 7 == 4, F.lit(None)).otherwise(F.col("rate"))
+_NO_RATE = "CASE CAST(asset_number AS BIGINT) % 7 WHEN 3 THEN -0.01D WHEN 4 THEN NULL ELSE rate END"
 query("q2_rate_buckets", _MINUS + " SELECT month AS report_month, CAST(rem AS BIGINT) AS rem_term, round(rb, 6) AS rate_bucket, CAST(bal AS BIGINT) AS balance FROM bucket")(
-    lambda s, d: named(lt.rate_buckets(_lean(s, d).withColumn("rate", _NO_RATE)), ["report_month"], ["rem_term", "balance"], ["rate_bucket"], 6))
+    lambda s, d: named(lt.rate_buckets(_lean(s, d).withColumn("rate", F.expr(_NO_RATE))), ["report_month"], ["rem_term", "balance"], ["rate_bucket"], 6))
 query("q3_level_pay_life", BUCKETS + " SELECT CAST(rem AS BIGINT) AS rem_term, round(rb, 6) AS rate_bucket, round(wal, 6) AS wal FROM (SELECT DISTINCT rem, rb, wal FROM life)")(
     lambda s, d: lt.rate_buckets(_lean(s, d)).select(F.col("rem_term").cast("bigint").alias("rem_term"), r8("rate_bucket", 6).alias("rate_bucket"), r8(lt.level_pay_wal(F.col("rem_term"), F.col("rate_bucket")), 6).alias("wal")).distinct())
 query("q4_scheduled_wal", BUCKETS + " SELECT month AS report_month, round(scheduled_wal, 6) AS scheduled_wal FROM sched")(lambda s, d: named(lt.scheduled_wal(lt.rate_buckets(_lean(s, d))), ["report_month"], [], ["scheduled_wal"], 6))

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scratch import settled
 from ..operators.clean import keep_last
 from ..operators.metrics import trust_month_metrics
 from ..sources.readers import write_partitions
@@ -23,20 +24,13 @@ def ingest(stream: DataFrame, prepare, table: str, checkpoint: str):
     one for each loan month, that of the latest report. Running it again with the same checkpoint reads nothing."""
 
     def batch(rows: DataFrame, _: int) -> None:
-        spark, new = rows.sparkSession, prepare(rows).persist()
-        try:
-            try:
-                old = spark.read.schema(new.schema).parquet(table).join(new.select("securitizationKey").distinct(), "securitizationKey", "left_semi")
-                new_rows = keep_last(old.unionByName(new)).persist()
-                new_rows.count()  # read before its own partitions are replaced
-            except Exception as e:
-                if "PATH_NOT_FOUND" not in str(e):
-                    raise
-                new_rows = keep_last(new)
-            write_partitions(new_rows, table, "securitizationKey")
-            new_rows.unpersist()
-        finally:
-            new.unpersist()
+        spark, new = rows.sparkSession, prepare(rows)
+        path = spark._jvm.org.apache.hadoop.fs.Path(table)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            old = spark.read.schema(new.schema).parquet(table).join(new.select("securitizationKey").distinct(), "securitizationKey", "left_semi")
+            new = old.unionByName(new)
+        # all rows lie in the shared folder before their own partitions are replaced: no lost executor needs these again
+        write_partitions(settled(keep_last(new)), table, "securitizationKey")
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

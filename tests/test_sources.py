@@ -96,3 +96,20 @@ def test_correlations_need_four_rows(spark):
     df = spark.createDataFrame([("k", float(i), float(i * i)) for i in range(5)] + [("few", 1.0, 2.0)], "k string, a double, b double")
     got = {r["k"]: r for r in compare.correlations(df, ["k"]).collect()}
     assert got["few"]["pearson"] is None and got["k"]["spearman"] == 1.0
+
+
+def test_refresh_replaces_only_the_given_trusts(spark, tmp_path):
+    from loanloom.plans.tape import loans
+    from loanloom.operators.metrics import trust_month_metrics
+
+    rows = loans(spark, "/root/testdata/sf0.001").filter("securitizationKey like 'Shelf 0%'")
+    first, second = sorted(r[0] for r in rows.select("securitizationKey").distinct().collect())[:2]
+    rows, gold = rows.filter(F.col("securitizationKey").isin(first, second)), str(tmp_path / "gold")
+    ing.refresh(rows, gold)
+    halved = rows.withColumn("reportingPeriodBeginningLoanBalanceAmount", (F.col("reportingPeriodBeginningLoanBalanceAmount") / 2).cast("long"))
+    ing.refresh(halved, gold, [second])
+    stored = spark.read.parquet(gold)
+    for trust, source in ((first, rows), (second, halved)):
+        own = trust_month_metrics(source.filter(F.col("securitizationKey") == trust))
+        same = stored.filter(F.col("securitizationKey") == trust).select(own.columns)
+        assert own.count() == same.count() and own.exceptAll(same).count() == 0
