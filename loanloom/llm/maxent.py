@@ -7,7 +7,8 @@ in its member, add-``add`` smoothed with room for one unknown word. So it is a p
 
 Training counts words and features over all training texts, starts the weights from the features' shrunk
 information about the outcome, and then moves them by gradients (observed less expected feature counts, scaled by
-the counts) that every partition sums over its texts; each of ``rounds`` steps takes another share of the texts.
+the counts) that every partition sums over its texts; each of ``rounds`` steps takes another share of the texts, all
+together take every text.
 Scoring gathers weight rows in numpy batches. Word counts are a table: its ``head`` most frequent words are sent to
 the scorers, all others are joined.
 
@@ -195,9 +196,10 @@ def _start(n: np.ndarray, share: np.ndarray, prior: float, damp: float) -> np.nd
     return (damp * np.log((n + prior * share) / ((total + prior) * share))).astype(np.float32)
 
 
-def train(docs: DataFrame, *, text_col: str = "text", add: float = 0.1, rounds: int = 2, round_share: int = 5, prior: float = 30.0, damp: float = 0.45, rate: float = 0.6, head: int = 1 << 18) -> Model:
-    """Learn from all rows of ``docs``. Round ``k`` takes the texts whose hash modulo ``round_share`` is ``k``."""
-    texts = docs.select(F.col(text_col).cast("string").alias("text"))
+def train(docs: DataFrame, *, text_col: str = "text", add: float = 0.1, id_col: str = "doc_id", rounds: int = 5, prior: float = 30.0, damp: float = 0.45, rate: float = 0.6, head: int = 1 << 18) -> Model:
+    """Learn from all rows of ``docs``. Each of ``rounds`` steps takes the gradient of its own share of the texts, by the
+    hash of the id, so that all together take every text once, and copies of a text fall to different steps."""
+    texts = docs.select(F.col(text_col).cast("string").alias("text"), F.pmod(F.xxhash64(id_col), F.lit(rounds)).alias("step"))
     spark = docs.sparkSession
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +261,7 @@ def train(docs: DataFrame, *, text_col: str = "text", add: float = 0.1, rounds:
 
     for k in range(rounds):
         shared = spark.sparkContext.broadcast(weights)
-        o1, o2, e1, e2 = per_partition(texts.filter(F.pmod(F.xxhash64("text"), F.lit(round_share)) == k % round_share), move, shapes * 2)
+        o1, o2, e1, e2 = per_partition(texts.filter(F.col("step") == k), move, shapes * 2)
         step = rate / (1 + k)
         weights = Weights(
             (weights.w1 + step * (o1 - e1) / (o1 + e1 + 5)).astype(np.float32), weights.b1,
