@@ -32,7 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 from .scratch import reads, recorded, release, steady, written
-from .text import STEP, hash_memo, least_count, mix, most_frequent, thinned, word_hashes, words
+from .text import STEP, hash_memo, least_count, mix, most_frequent, nullable, thinned, word_hashes, words
 
 _U = np.uint64
 #: What stands before and after a text; no word has a blank.
@@ -253,7 +253,7 @@ def perplexity(docs: DataFrame, model: Model, *keep: str, text_col: str = "text"
     shards = model.shards  # an even number, so that a key's round follows from its shard
     if shards % rounds:
         raise ValueError("rounds must divide the number of shards")
-    own = [StructField(c, docs.schema[c].dataType) for c in keep]
+    own = [StructField(c, nullable(docs.schema[c].dataType)) for c in keep]
     kinds = StructType([*StructType.fromDDL("shard long, kind int, base long, row long"), *own, *StructType.fromDDL("n_tokens long, sum double, hi binary, low binary, gain binary")])
     scored = StructType(kinds.fields[2 : 6 + len(keep)])
     answered = StructType([*scored.fields, *StructType.fromDDL("n long, gain binary").fields])
@@ -365,7 +365,7 @@ def perplexity(docs: DataFrame, model: Model, *keep: str, text_col: str = "text"
             yield pa.RecordBatch.from_arrays(columns, schema=result).filter(pa.array(row >= 0))
 
     wire, part, result = (to_arrow_schema(t) for t in (kinds, answered, scored))
-    none = [F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in keep]
+    none = [F.lit(None).cast(nullable(docs.schema[c].dataType)).alias(c) for c in keep]
     parts = []
     for turn in range(rounds):
         asking = docs.mapInArrow(partial(ask, turn=turn), kinds)

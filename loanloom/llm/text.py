@@ -5,6 +5,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 #: Distinct words one Python worker remembers before it starts again; a memory bound, results do not depend on it.
 CACHE_WORDS = 300_000
@@ -32,6 +33,11 @@ def quoted(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+def nullable(kind: DataType) -> DataType:
+    """The type with nulls allowed in all fields."""
+    return StructType([StructField(f.name, nullable(f.dataType)) for f in kind.fields]) if isinstance(kind, StructType) else kind
+
+
 def _bucket(*columns: str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(_BUCKETS))
 

@@ -395,3 +395,49 @@ def test_pipeline(spark, tmp_path):
         docs = after
         seen.append(docs.count())
     assert all(a >= b for a, b in zip(seen, seen[1:-1])) and seen[-1] > 0
+
+
+def test_stages_on_odd_rows(spark):
+    """Null and repeated ids, null and empty texts, repeated rows, signs cut in two, columns with clashing names."""
+    import corpus_pipeline as cp
+
+    rng = random.Random(21)
+    words = [f"word{k}" for k in range(5000)]
+    long = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passage, once = " ".join(rng.choice(words) for _ in range(60)), long(120)
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, _bucket string, bucket string, `key` string, node string, rest string, missing boolean, id string, row long"
+    more = ("b", "c", "d", "e", "f", True, "g", 7)
+    row = lambda i, t: (i, t, "en", "s", len(t or ""), *more)
+    a, b = f"\ufffd {long(70)} {passage} {long(70)}", f"{long(70)} {passage} é{long(70)}"
+    rows = [row(1, once), row(1, once), row(2, once), row(None, once), row(3, a), row(4, b), row(5, None), row(6, ""), row(None, None), row(7, long(80)), row(7, long(90))]
+    docs = spark.createDataFrame(rows, kinds)
+    near = cp.near_duplicates(spark, docs, "")
+    assert near.columns == docs.columns
+    near = near.collect()
+    ids = collections.Counter(r["doc_id"] for r in near)
+    assert ids == {1: 1, 3: 1, 4: 1, 5: 1, 6: 1, None: 1, 7: 1} and all(r["_bucket"] == "b" and r["row"] == 7 for r in near)
+    cut = cp.repeated_strings(spark, spark.createDataFrame(near, kinds), "")
+    assert cut.columns == docs.columns
+    cut = {r["doc_id"]: r for r in cut.collect() if r["doc_id"] is not None}
+    assert cut[5]["text"] is None and cut[6]["text"] == "" and cut[1]["text"] == once and cut[3]["n_chars"] == len(cut[3]["text"])
+    assert cut[3]["text"].startswith("\ufffd ") and passage[20:-20] not in cut[3]["text"] + cut[4]["text"] and a[:100] in cut[3]["text"] and b[-100:] in cut[4]["text"]
+    # one row of an id holds an item of the benchmark, the other stays
+    item = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").filter("length(text) > 150").first()["text"]
+    leaky = spark.createDataFrame([row(1, f"{once} {item} {long(50)}"), row(1, once), row(None, once), row(None, None)], kinds)
+    left = cp.benchmark_leaks(spark, leaky, "/root/testdata/sf0.001").collect()
+    assert sorted(r["text"] or "" for r in left) == ["", once, once]
+    for stage in (cp.near_duplicates, cp.repeated_strings):
+        assert stage(spark, docs.limit(0), "").count() == 0
+    for stage in (cp.quality, cp.benchmark_leaks):
+        assert stage(spark, docs.limit(0), "/root/testdata/sf0.001").count() == 0
+
+
+def test_leaks_where_all_or_few_documents_leak(spark):
+    rng = random.Random(31)
+    item = " ".join(f"i{k}" for k in range(30))
+    clean = lambda n: [_text(rng, 100) for _ in range(n)]
+    for leaking, others in ((20, 0), (20, 20), (1, 0), (20, 200)):
+        texts = [f"{_text(rng, 40)} {item} {_text(rng, 40)}" for _ in range(leaking)] + clean(others)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {r["doc_id"] for r in decontamination.leaks(docs, spark.createDataFrame([(0, item)], "item_id long, text string")).collect()}
+        assert got == set(range(leaking))
