@@ -32,7 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 from .scratch import reads, recorded, release, steady, written
-from .text import STEP, hash_memo, least_count, mix, most_frequent, nullable, thinned, word_hashes, words
+from .text import STEP, hash_memo, least_count, mix, nullable, thinned, word_hashes, words
 
 _U = np.uint64
 #: What stands before and after a text; no word has a blank.
@@ -213,7 +213,8 @@ def _trained(trusted: DataFrame, text_col: str, order: int, head: int) -> Model:
         if k == 2:
             each = lower.join(stats, "w0", "full").select("w0", "p", "total", "gamma")
             word_table = written(each)
-            top = most_frequent(word_table.withColumn("seen", F.coalesce("total", F.lit(1 << 62))), head, "seen").drop("seen")
+            edges = F.col("w0").isin(*(int(x.view(np.int64)) for x in (START, END)))
+            top = word_table.filter(edges | (F.col("total") >= least_count(word_table.filter("total is not null"), head, "total")))
             near = lambda c, *more: F.broadcast(top.select(F.col("w0").alias(c), *more))
             tagged = grams.join(near("w0", "total", "gamma"), "w0", "left").join(near("w1", F.col("p").alias("low")), "w1", "left")
             there = F.col("total").isNotNull() & F.col("low").isNotNull()
@@ -237,9 +238,10 @@ def _trained(trusted: DataFrame, text_col: str, order: int, head: int) -> Model:
     unknown = math.log10(free)
     if word_table is None:  # order 1
         word_table = written(lower.withColumns({"total": F.lit(1), "gamma": F.lit(1.0)}))
-        top = most_frequent(word_table, head, "total")
-    packed.append(written(_pack(word_table.filter("p is not null").select("w0", (F.log10("p") - F.lit(unknown)).alias("gain")), 1, shards)))
-    packed.append(written(_pack(word_table.filter("gamma is not null").select("w0", F.log10("gamma").alias("gain")), -1, shards)))
+        top = word_table.filter(F.col("w0") == int(END.view(np.int64)))
+    # a word is a token, and then the context of the next one: one answer is the sum of both
+    both = (F.log10("p") - F.lit(unknown) + F.log10("gamma")).alias("gain")
+    packed.append(written(_pack(word_table.filter("p is not null and gamma is not null").select("w0", both), 1, shards)))
     best = top.toArrow().to_pandas().sort_values("w0", key=lambda w: w.astype("int64").to_numpy().view(_U))
     own, context = (np.log10(best[c].fillna(d).to_numpy(float)) for c, d in (("p", 10.0**unknown), ("gamma", 1.0)))
     return Model(order, unknown, best["w0"].to_numpy(np.int64).view(_U), own, context, shards, reduce(DataFrame.unionByName, packed), heads)
@@ -275,8 +277,6 @@ def perplexity(docs: DataFrame, model: Model, *keep: str, text_col: str = "text"
                 for size in range(1, order):
                     if size == 1:
                         value += np.append(context, 0.0)[place[ends - 1]]
-                        miss = ~hit[ends - 1]
-                        asked.append((_key([h[ends[miss] - 1]], -1), text[miss]))
                     else:
                         asked.append((_key([h[ends - k] for k in range(size, 0, -1)], -size), text))
                     key = _key([h[ends - k] for k in range(size, -1, -1)], size + 1)

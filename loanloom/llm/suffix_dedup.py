@@ -33,7 +33,7 @@ LENGTH, GRAM, MOST = 400, 128, 256
 #: Widths of the ranges that contexts of very frequent anchors are dealt by, one after the other.
 RANGES = (16, 1)
 _PIECE = 1 << 19
-_SHARD = 4 << 20
+_SHARD = 2 << 20
 _U = np.uint64
 _BASE = 0xD1342543DE82EF95
 _BUCKETS = 1 << 20
