@@ -35,8 +35,11 @@ from .scratch import reads, recorded, release, steady, written
 from .text import STEP, hash_memo, least_count, mix, nullable, thinned, word_hashes, words
 
 _U = np.uint64
+#: Words are known by this many bits fewer than 64 of their hash: tables of n-grams take less room, and among ten
+#: million words about one in six tables has two words that share a number.
+_SPARE = _U(16)
 #: What stands before and after a text; no word has a blank.
-START, END = (_U(xxhash.xxh3_64_intdigest(x)) for x in (b" start", b" end"))
+START, END = (_U(xxhash.xxh3_64_intdigest(x)) >> _SPARE for x in (b" start", b" end"))
 #: Values in a shard of the model, about.
 _SHARD = 1 << 17
 #: Languages whose thresholds are broadcast; more are joined.
@@ -47,7 +50,7 @@ def _tokens(texts: list[str | None], memo, order: int) -> tuple[np.ndarray, np.n
     """Hashes of all texts, each with ``order - 1`` starts before and an end after it; the places of its tokens (words
     and end), and their number for each text."""
     split = [words(t, lower=False) for t in texts]
-    h = word_hashes(memo, [w for s in split for w in s])
+    h = word_hashes(memo, [w for s in split for w in s]) >> _SPARE
     sizes = np.array([len(s) for s in split], np.int64)
     out = np.full(int(sizes.sum()) + len(split) * order, START, _U)
     begin = np.cumsum(sizes + order) - sizes - order
