@@ -1,45 +1,57 @@
 """Features of loans for default models: encoded regressors, forest importances, interaction tables."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from itertools import combinations
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import double
 
 KEY = "securitizationKey"
+# fixed values
+EXCLUDED = (
+    "commercialCreditScore", "obligorEmploymentVerificationCode", "gracePeriodNumber", "obligorIncomeVerificationCode",
+    "servicingFeePercentage", "vehicleManufacturerName",
+)
 
 
 def profile(df: DataFrame, fields: list[str]) -> DataFrame:
-    """Per field: rows, filled share, most frequent value and its share, values above 15 % and deciles."""
+    """Per field: rows, filled share, different values, most frequent value, and of the filled rows its share and the
+    values above 15 %, most frequent first. Of values as frequent the greater comes first; nulls are no value."""
     long = df.select(*(F.col(c).cast("string").alias(c) for c in fields)).unpivot([], fields, "field", "v")
     counts = long.groupBy("field", "v").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.groupBy("field").agg(F.sum("n").alias("rows"), F.sum(F.when(F.col("v").isNotNull(), F.col("n")).otherwise(0)).alias("filled"))
-    known = F.col("v").isNotNull()
-    share = F.col("n") / F.col("rows")
-    rows = counts.join(total, "field")
-    tops = rows.groupBy("field", "rows", "filled").agg(F.max_by("v", F.when(known, F.struct("n", "v"))).alias("top"), F.max(F.when(known, share)).alias("top_share"), F.array_sort(F.collect_list(F.when(known & (share > 0.15), F.col("v")))).alias("frequent"))
+    known = F.when(F.col("v").isNotNull(), F.col("n"))
+    total = counts.groupBy("field").agg(F.sum("n").alias("rows"), F.coalesce(F.sum(known), F.lit(0)).alias("filled"), F.count("v").alias("values"))
+    share = known / F.col("filled")
+    often = F.sort_array(F.collect_list(F.when(share > 0.15, F.struct("n", "v"))), asc=False)
+    tops = counts.join(total, "field").groupBy("field", "rows", "filled", "values").agg(F.max_by("v", F.when(known.isNotNull(), F.struct("n", "v"))).alias("top"), F.max(share).alias("top_share"), often["v"].alias("frequent"))
     return tops.withColumn("fill_share", F.col("filled") / F.col("rows"))
 
 
 def encode(df: DataFrame, fields: list[str]) -> DataFrame:
-    """The rows with 0/1 columns: one for a dominant value (90 % or more), one for each frequent value, else one for
-    each tenth of a numeric field; and one for null. The rules come from one row of statistics per field."""
+    """The rows with 0/1 columns. Of a field with two values or more and more than a fifth of its rows filled: one for a
+    dominant value (90 % or more); else one for each frequent value, the last one left out if all are frequent; else,
+    if no value has a tenth, one for each tenth of a numeric field up to the eighth. And one for null, where only a part
+    is null. The rules come from one row of statistics per field."""
     rules = {r["field"]: r for r in profile(df, fields).collect()}
     numeric = [c for c in fields if dict(df.dtypes)[c] not in ("string", "boolean", "date")]
     cuts = df.agg(*(F.percentile(double(c), [u / 100 for u in range(0, 81, 10)]).alias(c) for c in numeric)).first() if numeric else {}
+    flag = lambda test: F.coalesce(test, F.lit(False)).cast("int")
     out = {}
-    for c in fields:
+    for c in (c for c in fields if c in rules):
         r = rules[c]
-        flag = lambda test: F.coalesce(test, F.lit(False)).cast("int")
-        if r["fill_share"] < 1:
+        if r["values"] > 1 and r["fill_share"] > 0.2:
+            if r["top_share"] >= 0.9:
+                out[f"{c}_is_{r['top']}"] = flag(F.col(c).cast("string") == r["top"])
+            elif r["top_share"] >= 0.1:
+                chosen = r["frequent"][: r["values"] - 1]
+                out |= {f"{c}_is_{v}": flag(F.col(c).cast("string") == v) for v in chosen}
+            elif c in numeric:
+                out |= {f"{c}_p{10 * k}": flag((double(c) >= lo) & (double(c) < hi)) for k, (lo, hi) in enumerate(zip(cuts[c], cuts[c][1:]))}
+        if 0 < r["filled"] < r["rows"]:
             out[f"{c}_null"] = F.col(c).isNull().cast("int")
-        if (r["top_share"] or 0) >= 0.9:
-            out[f"{c}_is_{r['top']}"] = flag(F.col(c).cast("string") == r["top"])
-        elif r["frequent"]:
-            out |= {f"{c}_is_{v}": flag(F.col(c).cast("string") == v) for v in r["frequent"]}
-        elif c in numeric and cuts[c]:
-            out |= {f"{c}_p{10 * k}": flag((double(c) >= lo) & (double(c) < hi)) for k, (lo, hi) in enumerate(zip(cuts[c], cuts[c][1:]))}
-    return df.withColumns(out)
+    return df.withColumns(out) if out else df
 
 
 def importances(df: DataFrame, columns: list[str], bad: list[int] = (2, 3, 4, 5), trees: int = 100, seed: int = 7) -> tuple[DataFrame, float]:
@@ -61,19 +73,42 @@ def importances(df: DataFrame, columns: list[str], bad: list[int] = (2, 3, 4, 5)
 
 
 def bucketed(df: DataFrame, field: str, number: int = 7) -> DataFrame:
-    """Adds ``<field>_bucket``: equal bins for numeric fields with more than ``number`` values, else the value's place."""
+    """Adds ``<field>_bucket``: equal bins for numeric fields with more than ``number`` values, else the value's place.
+    Rows in none of them, nulls and the greatest number, count to the first."""
     from .report import bins
 
-    few = df.select(field).distinct().limit(number + 1).count() <= number
+    few = df.select(field).dropna().distinct().limit(number + 1).count() <= number
     if dict(df.dtypes)[field] != "string" and not few:
-        return bins(df, field, number).withColumnRenamed("bin", f"{field}_bucket")
+        return bins(df, field, number).withColumn("bin", F.coalesce("bin", F.lit(0))).withColumnRenamed("bin", f"{field}_bucket")
     places = df.agg(F.array_sort(F.collect_set(field)).alias("_v"))
-    return df.join(places).withColumn(f"{field}_bucket", F.nullif(F.array_position("_v", F.col(field)).cast("int") - 1, F.lit(-1))).drop("_v")
+    place = F.nullif(F.array_position("_v", F.col(field)).cast("int") - 1, F.lit(-1))
+    return df.join(places).withColumn(f"{field}_bucket", F.coalesce(place, F.lit(0))).drop("_v")
+
+
+def _is_bad(bad: list[int]) -> Column:
+    return F.coalesce(F.col("monthsDelinquent").isin(*bad), F.lit(False)).cast("double")
 
 
 def interactions(df: DataFrame, a: str, b: str, bad: list[int] = (2, 3, 4, 5)) -> DataFrame:
     """Mean bad share by pair of buckets."""
-    return df.groupBy(a, b).agg(F.avg(F.col("monthsDelinquent").isin(*bad).cast("double")).alias("bad_share"), F.count(F.lit(1)).alias("n"))
+    return df.groupBy(a, b).agg(F.avg(_is_bad(bad)).alias("bad_share"), F.count(F.lit(1)).alias("n"))
+
+
+def top_fields(importance: DataFrame, number: int = 4, excluded: tuple[str, ...] = EXCLUDED) -> list[str]:
+    """The ``number`` fields with the most important features, those excluded left out. What comes after the first
+    ``_`` of a feature is not part of its field; of fields as important the first by name."""
+    field = F.substring_index("feature", "_", 1).alias("field")
+    rows = importance.groupBy(field).agg(F.max("importance").alias("most")).filter(~F.col("field").isin(*excluded))
+    return [r["field"] for r in rows.orderBy(F.desc("most"), "field").limit(number).collect()]
+
+
+def interaction_tables(df: DataFrame, fields: list[str], bad: list[int] = (2, 3, 4, 5), number: int = 7) -> DataFrame:
+    """(field_a, field_b, bucket_a, bucket_b, bad_share, n) of all pairs of ``fields``, in one pass over the rows."""
+    for c in fields:
+        df = bucketed(df, c, number)
+    cells = [F.struct(F.lit(a).alias("field_a"), F.lit(b).alias("field_b"), F.col(f"{a}_bucket").alias("bucket_a"), F.col(f"{b}_bucket").alias("bucket_b")) for a, b in combinations(fields, 2)]
+    each = df.select(_is_bad(bad).alias("bad"), F.inline(F.array(*cells)))
+    return each.groupBy("field_a", "field_b", "bucket_a", "bucket_b").agg(F.avg("bad").alias("bad_share"), F.count(F.lit(1)).alias("n"))
 
 
 def bootstrap(df: DataFrame, fraction: float = 0.2, seed: int = 7) -> DataFrame:

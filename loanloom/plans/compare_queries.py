@@ -1,6 +1,8 @@
 """Benchmark, position-book and feature queries."""
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from ..functions.scratch import settled
@@ -65,8 +67,24 @@ query("x6_hedge", _P + " SELECT position, month, round(sum(-1e6 * net_loss / 12
 
 query("f1_regressor_profile", TAPE + ", c AS (SELECT state AS v, count(*) AS n FROM tape GROUP BY 1) SELECT 'obligorGeographicLocation' AS field, CAST(sum(n) AS BIGINT) AS rows, arg_max(v, n) AS top, round(max(n) / sum(n), 8) AS top_share FROM c")(
     lambda s, d: features.profile(loans(s, d), ["obligorGeographicLocation"]).select("field", "rows", "top", r8("top_share").alias("top_share")))
-query("f1_encoded", TAPE + " SELECT CAST(sum(CASE WHEN new_used = 1 THEN 1 ELSE 0 END) AS BIGINT) AS one, CAST(sum(CASE WHEN new_used = 2 THEN 1 ELSE 0 END) AS BIGINT) AS two FROM tape")(
-    lambda s, d: features.encode(loans(s, d), ["vehicleNewUsedCode", "consumerCreditScore"]).agg(F.sum("vehicleNewUsedCode_is_1").alias("one"), F.sum("vehicleNewUsedCode_is_2").alias("two")))
+_ENCODED = TAPE + """,
+vals_ AS (SELECT v, n, n / sum(n) OVER () AS share, row_number() OVER (ORDER BY n DESC, v DESC) AS place, count(*) OVER () AS vals
+  FROM (SELECT CAST(new_used AS VARCHAR) AS v, count(*) AS n FROM tape WHERE new_used IS NOT NULL GROUP BY 1)),
+tops_ AS (SELECT *, max(share) OVER () AS top FROM vals_),
+cuts_ AS (SELECT quantile_cont(fico, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8]) AS c FROM tape),
+steps_ AS (SELECT unnest(range(8)) AS tenth)
+SELECT 'vehicleNewUsedCode_is_' || v AS flag, CAST(n AS BIGINT) AS n FROM tops_
+WHERE vals > 1 AND CASE WHEN top >= 0.9 THEN place = 1 ELSE share > 0.15 AND place < vals END
+UNION ALL
+SELECT 'consumerCreditScore_p' || CAST(10 * tenth AS VARCHAR), CAST((SELECT count(*) FROM tape, cuts_ WHERE fico >= c[tenth + 1] AND fico < c[tenth + 2]) AS BIGINT) FROM steps_"""
+
+
+@query("f1_encoded", _ENCODED)
+def _encoded(s, d):
+    rows = loans(s, d).select("vehicleNewUsedCode", "consumerCreditScore")
+    out = features.encode(rows, rows.columns)
+    flags = [c for c in out.columns if c not in rows.columns]
+    return out.agg(*(F.sum(c).alias(c) for c in flags)).unpivot([], flags, "flag", "n")
 
 
 def _importances(s, d):
@@ -75,6 +93,15 @@ def _importances(s, d):
 
 
 query("f2_importances")(_importances)
-query("f3_f4_interactions", TAPE + ", b AS (SELECT CASE WHEN fico < hi THEN CAST(least(floor((fico - lo) / ((hi - lo) / 7.0)), 6) AS INT) END AS fb, veh_type - 1 AS vb, md FROM tape, (SELECT CAST(min(fico) AS DOUBLE) AS lo, CAST(max(fico) AS DOUBLE) AS hi FROM tape)) SELECT fb AS \"consumerCreditScore_bucket\", CAST(vb AS INT) AS \"vehicleTypeCode_bucket\", round(avg(CASE WHEN md IN (2, 3, 4, 5) THEN 1.0 ELSE 0 END), 8) AS bad_share, count(*) AS n FROM b GROUP BY 1, 2")(
+query("f3_f4_interactions", TAPE + ", b AS (SELECT CASE WHEN fico < hi THEN CAST(least(floor((fico - lo) / ((hi - lo) / 7.0)), 6) AS INT) ELSE 0 END AS fb, veh_type - 1 AS vb, md FROM tape, (SELECT CAST(min(fico) AS DOUBLE) AS lo, CAST(max(fico) AS DOUBLE) AS hi FROM tape)) SELECT fb AS \"consumerCreditScore_bucket\", CAST(vb AS INT) AS \"vehicleTypeCode_bucket\", round(avg(CASE WHEN md IN (2, 3, 4, 5) THEN 1.0 ELSE 0 END), 8) AS bad_share, count(*) AS n FROM b GROUP BY 1, 2")(
     lambda s, d: features.interactions(features.bucketed(features.bucketed(loans(s, d), "consumerCreditScore"), "vehicleTypeCode"), "consumerCreditScore_bucket", "vehicleTypeCode_bucket").withColumn("bad_share", r8("bad_share")))
+_FIELDS = {"consumerCreditScore": "fb", "originalLoanTerm": "tb", "vehicleTypeCode": "vb", "obligorGeographicLocation": "sb"}
+_TABLES = TAPE + """,
+b AS (SELECT CASE WHEN fico < hi THEN CAST(least(floor((fico - lo) / ((hi - lo) / 7.0)), 6) AS INT) ELSE 0 END AS fb,
+  CAST(dense_rank() OVER (ORDER BY term) - 1 AS INT) AS tb, CAST(dense_rank() OVER (ORDER BY veh_type) - 1 AS INT) AS vb, CAST(dense_rank() OVER (ORDER BY state) - 1 AS INT) AS sb,
+  CASE WHEN md IN (2, 3, 4, 5) THEN 1.0 ELSE 0 END AS bad FROM tape, (SELECT CAST(min(fico) AS DOUBLE) AS lo, CAST(max(fico) AS DOUBLE) AS hi FROM tape))
+SELECT field_a, field_b, bucket_a, bucket_b, round(avg(bad), 8) AS bad_share, count(*) AS n FROM (""" + " UNION ALL ".join(
+    f"SELECT '{x}' AS field_a, '{y}' AS field_b, {_FIELDS[x]} AS bucket_a, {_FIELDS[y]} AS bucket_b, bad FROM b" for x, y in combinations(_FIELDS, 2)
+) + ") GROUP BY 1, 2, 3, 4"
+query("f4_interaction_tables", _TABLES)(lambda s, d: features.interaction_tables(loans(s, d), list(_FIELDS)).withColumn("bad_share", r8("bad_share")))
 query("f5_bootstrap")(lambda s, d: features.bootstrap(loans(s, d)).groupBy("securitizationKey").agg(F.count(F.lit(1)).alias("n")))
