@@ -36,6 +36,14 @@ def recorded() -> Iterator[list[DataFrame]]:
         _recorders.pop()
 
 
+def discarded(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing reads any more."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t._scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete written tables that nothing reads any more, and have Spark drop the shuffle files of what has ended.
 
