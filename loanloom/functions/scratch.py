@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +28,10 @@ def settled(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared folder, for small tables that a query reads several times."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table of the shared folder: computed once, read by columns, safe when executors go."""
+    path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import double
@@ -72,17 +72,41 @@ def importances(df: DataFrame, columns: list[str], bad: list[int] = (2, 3, 4, 5)
     return df.sparkSession.createDataFrame(rows, "feature string, importance double"), area
 
 
-def bucketed(df: DataFrame, field: str, number: int = 7) -> DataFrame:
-    """Adds ``<field>_bucket``: equal bins for numeric fields with more than ``number`` values, else the value's place.
-    Rows in none of them, nulls and the greatest number, count to the first."""
-    from .report import bins
-
-    few = df.select(field).dropna().distinct().limit(number + 1).count() <= number
-    if dict(df.dtypes)[field] != "string" and not few:
-        return bins(df, field, number).withColumn("bin", F.coalesce("bin", F.lit(0))).withColumnRenamed("bin", f"{field}_bucket")
-    places = df.agg(F.array_sort(F.collect_set(field)).alias("_v"))
-    place = F.nullif(F.array_position("_v", F.col(field)).cast("int") - 1, F.lit(-1))
-    return df.join(places).withColumn(f"{field}_bucket", F.coalesce(place, F.lit(0))).drop("_v")
+def bucketed(df: DataFrame, fields: str | list[str], number: int = 7, listed: int = 10_000) -> DataFrame:
+    """Adds ``<field>_bucket`` for each field: equal bins for numeric fields with more than ``number`` values, else the
+    value's place. Rows in none of them, nulls and the greatest number, count to the first.
+
+    One aggregate over all fields gives what the buckets need: a range, or the values. Up to ``listed`` values of a field
+    become part of the plan; a text field with more of them is joined with its places."""
+    fields = [fields] if isinstance(fields, str) else list(fields)
+    kinds = dict(df.dtypes)
+    values = df.select(*(F.struct(F.col(c).cast("string").alias("v"), (F.lit(None) if kinds[c] == "string" else F.col(c)).cast("double").alias("x")).alias(c) for c in fields)).unpivot([], fields, "field", "_")
+    known = values.filter("_.v is not null").select("field", "_.v", "_.x").distinct()
+    numeric = F.col("field").isin(*(c for c in fields if kinds[c] != "string"))
+    size = F.count(F.lit(1))
+    binned = numeric & (F.col("n") > number)
+    found = known.groupBy("field").agg(size.alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    few = known.join(F.broadcast(found.filter(~binned & (F.col("n") <= listed)).select("field")), "field").groupBy("field").agg(F.array_sort(F.collect_list(F.struct("x", "v"))).alias("values"))
+    rules = {r["field"]: r for r in found.join(few, "field", "left").collect()}
+    out, joins = {}, []
+    for c in fields:
+        r, b = rules.get(c), F.lit(0)
+        if r is not None and kinds[c] != "string" and r["n"] > number:
+            step = (r["hi"] - r["lo"]) / number
+            place = F.floor((double(c) - r["lo"]) / step)
+            b = F.when((double(c) < r["hi"]) & (place >= 0), F.least(place, F.lit(number - 1)).cast("int"))
+        elif r is not None and r["values"] is not None:
+            places = F.create_map(*(F.lit(x) for k, v in enumerate(r["values"]) for x in (v["v"], k)))
+            b = places[F.col(c).cast("string")]
+        elif r is not None:
+            place = F.row_number().over(Window.partitionBy("field").orderBy("v")) - 1
+            joins.append((c, known.filter(F.col("field") == c).select(F.col("v").alias(c), place.alias(f"_{c}"))))
+            b = F.col(f"_{c}")
+        out[f"{c}_bucket"] = F.coalesce(b, F.lit(0))
+    rows = df
+    for c, places in joins:
+        rows = rows.join(places, c, "left")
+    return rows.withColumns(out).drop(*(f"_{c}" for c, _ in joins))
 
 
 def _is_bad(bad: list[int]) -> Column:
@@ -104,8 +128,7 @@ def top_fields(importance: DataFrame, number: int = 4, excluded: tuple[str, ...]
 
 def interaction_tables(df: DataFrame, fields: list[str], bad: list[int] = (2, 3, 4, 5), number: int = 7) -> DataFrame:
     """(field_a, field_b, bucket_a, bucket_b, bad_share, n) of all pairs of ``fields``, in one pass over the rows."""
-    for c in fields:
-        df = bucketed(df, c, number)
+    df = bucketed(df, fields, number)
     cells = [F.struct(F.lit(a).alias("field_a"), F.lit(b).alias("field_b"), F.col(f"{a}_bucket").alias("bucket_a"), F.col(f"{b}_bucket").alias("bucket_b")) for a, b in combinations(fields, 2)]
     each = df.select(_is_bad(bad).alias("bad"), F.inline(F.array(*cells)))
     return each.groupBy("field_a", "field_b", "bucket_a", "bucket_b").agg(F.avg("bad").alias("bad_share"), F.count(F.lit(1)).alias("n"))

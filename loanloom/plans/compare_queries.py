@@ -6,7 +6,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from ..functions.scratch import settled
-from ..operators import book, compare, features
+from ..operators import book, compare, features, forests
 from .index_queries import INDEX, _index
 from .registry import TAPE, named, query, r8
 from .tape import loans, tape
@@ -93,8 +93,67 @@ def _importances(s, d):
 
 
 query("f2_importances")(_importances)
+#: Fields of the default model that the tape has.
+MODEL = ["obligorIncomeVerificationLevelCode", "originalInterestRatePercentage", "originalLoanTerm", "paymentToIncomePercentage", "vehicleModelYear", "vehicleNewUsedCode", "vehicleTypeCode", "consumerCreditScore", "age", "vintage"]
+
+
+def _forests(s, d):
+    rows = loans(s, d).select("securitizationKey", "assetNumber", "monthsDelinquent", *MODEL)
+    return forests.forests(forests.with_all(rows), MODEL)
+
+
+@query("f2_trust_forests")
+def _trust_forests(s, d):
+    """Importances of every trust and of all together, with the areas on the rows grown on and on those held back."""
+    importance, scores = _forests(s, d)
+    area = forests.areas(forests.cumulated(scores, ["securitizationKey", "held"]), ["securitizationKey", "held"])
+    wide = area.groupBy("securitizationKey").agg(F.max(F.when(~F.col("held"), F.col("area"))).alias("area"), F.max(F.when(F.col("held"), F.col("area"))).alias("held_area"))
+    return importance.join(wide, "securitizationKey", "left").select("securitizationKey", "feature", "rank", *(F.round(c, 6).alias(c) for c in ("importance", "area", "held_area")))
+
+
+@query("f2_trust_roc")
+def _trust_roc(s, d):
+    """The curves of these forests on the rows they were grown on, at 101 places."""
+    scores = _forests(s, d)[1].filter("not held")
+    return named(forests.curve(forests.cumulated(scores, ["securitizationKey"]), ["securitizationKey"]), ["securitizationKey"], [], ["false_rate", "true_rate"])
+
+
+_ROC = TAPE + """,
+sc AS (SELECT sec, 850 - fico AS score, count(*) AS n, sum(CASE WHEN md IN (2, 3, 4, 5) THEN 1 ELSE 0 END) AS bad FROM tape GROUP BY 1, 2),
+st AS (SELECT sec, n - bad AS good, bad, sum(n - bad) OVER w - (n - bad) AS good0, sum(bad) OVER w - bad AS bad0, sum(n - bad) OVER (PARTITION BY sec) AS goods, sum(bad) OVER (PARTITION BY sec) AS bads
+  FROM sc WINDOW w AS (PARTITION BY sec ORDER BY score DESC))"""
+
+
+def _steps(s, d):
+    bad = F.col("monthsDelinquent").isin(2, 3, 4, 5).cast("int")
+    scores = loans(s, d).select("securitizationKey", (850 - F.col("consumerCreditScore")).alias("score"), F.lit(1).alias("n"), bad.alias("bad"))
+    return forests.cumulated(scores, ["securitizationKey"])
+
+
+query("f2_roc", _ROC + """ SELECT sec AS "securitizationKey", round(k / 100.0::DOUBLE, 8) AS false_rate, round((bad0 + bad * (k * goods / 100.0::DOUBLE - good0) / good) / bads, 8) AS true_rate
+FROM st JOIN (SELECT unnest(range(0, 100)) AS k) ON k * goods >= 100 * good0 AND k * goods < 100 * (good0 + good) WHERE goods > 0 AND bads > 0
+UNION ALL SELECT DISTINCT sec, 1.0::DOUBLE, 1.0::DOUBLE FROM st WHERE goods > 0 AND bads > 0""")(
+    lambda s, d: named(forests.curve(_steps(s, d), ["securitizationKey"]), ["securitizationKey"], [], ["false_rate", "true_rate"]))
+query("f2_area", _ROC + """ SELECT sec AS "securitizationKey", round(sum(good * (bad0 + bad / 2.0::DOUBLE)) / goods / bads, 8) AS area FROM st WHERE goods > 0 AND bads > 0 GROUP BY sec, goods, bads""")(
+    lambda s, d: named(forests.areas(_steps(s, d), ["securitizationKey"]), ["securitizationKey"], [], ["area"]))
+_FLAGGED = TAPE + """,
+cells_ AS (SELECT sec, 'vehicleNewUsedCode' AS field, CAST(new_used AS VARCHAR) AS v FROM tape UNION ALL SELECT sec, 'obligorCreditScoreType', score_type FROM tape),
+vals_ AS (SELECT sec, field, v, count(*) AS n FROM cells_ GROUP BY 1, 2, 3),
+tops_ AS (SELECT *, sum(n) OVER f AS total, sum(CASE WHEN v IS NOT NULL THEN n ELSE 0 END) OVER f AS filled, count(v) OVER f AS vals, max(CASE WHEN v IS NOT NULL THEN n END) OVER f AS most,
+  row_number() OVER (PARTITION BY sec, field ORDER BY v IS NULL, n DESC, v DESC) AS place FROM vals_ WINDOW f AS (PARTITION BY sec, field)),
+cuts_ AS (SELECT sec, quantile_cont(CAST(fico AS DOUBLE), [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8]) AS c, max(n) AS most, sum(n) AS total, count(*) AS vals FROM (SELECT sec, fico, count(*) OVER (PARTITION BY sec, fico) AS n FROM tape) GROUP BY sec),
+few_ AS (SELECT sec, count(*) AS rows, max(n) AS most, count(DISTINCT fico) AS vals FROM (SELECT sec, fico, count(*) OVER (PARTITION BY sec, fico) AS n FROM tape) GROUP BY sec)
+SELECT sec AS "securitizationKey", field || '_is_' || v AS flag, NULL::DOUBLE AS lo FROM tops_ WHERE vals > 1 AND filled > 0.2 * total AND v IS NOT NULL
+  AND CASE WHEN most >= 0.9 * filled THEN place = 1 WHEN most >= 0.1 * filled THEN n > 0.15 * filled AND place < vals ELSE false END
+UNION ALL SELECT sec, field || '_null', NULL FROM tops_ WHERE v IS NULL AND filled > 0
+UNION ALL SELECT sec, 'consumerCreditScore_p' || CAST(10 * k AS VARCHAR), round(c[k + 1], 6) FROM cuts_ JOIN few_ f USING (sec), (SELECT unnest(range(8)) AS k) WHERE f.vals > 1 AND f.most < 0.1 * f.rows
+UNION ALL SELECT sec, 'consumerCreditScore_is_' || CAST(fico AS VARCHAR), NULL FROM (
+  SELECT sec, fico, n, f.rows, f.vals, f.most, row_number() OVER (PARTITION BY sec ORDER BY n DESC, CAST(fico AS VARCHAR) DESC) AS place FROM (SELECT sec, fico, count(*) AS n FROM tape GROUP BY 1, 2) JOIN few_ f USING (sec))
+  WHERE vals > 1 AND CASE WHEN most >= 0.9 * rows THEN place = 1 WHEN most >= 0.1 * rows THEN n > 0.15 * rows AND place < vals ELSE false END"""
+query("f1_trust_flags", _FLAGGED)(
+    lambda s, d: forests.rules(loans(s, d).select("securitizationKey", "vehicleNewUsedCode", "obligorCreditScoreType", "consumerCreditScore"), ["vehicleNewUsedCode", "obligorCreditScoreType", "consumerCreditScore"]).select("securitizationKey", "flag", F.round("lo", 6).alias("lo")))
 query("f3_f4_interactions", TAPE + ", b AS (SELECT CASE WHEN fico < hi THEN CAST(least(floor((fico - lo) / ((hi - lo) / 7.0)), 6) AS INT) ELSE 0 END AS fb, veh_type - 1 AS vb, md FROM tape, (SELECT CAST(min(fico) AS DOUBLE) AS lo, CAST(max(fico) AS DOUBLE) AS hi FROM tape)) SELECT fb AS \"consumerCreditScore_bucket\", CAST(vb AS INT) AS \"vehicleTypeCode_bucket\", round(avg(CASE WHEN md IN (2, 3, 4, 5) THEN 1.0 ELSE 0 END), 8) AS bad_share, count(*) AS n FROM b GROUP BY 1, 2")(
-    lambda s, d: features.interactions(features.bucketed(features.bucketed(loans(s, d), "consumerCreditScore"), "vehicleTypeCode"), "consumerCreditScore_bucket", "vehicleTypeCode_bucket").withColumn("bad_share", r8("bad_share")))
+    lambda s, d: features.interactions(features.bucketed(loans(s, d), ["consumerCreditScore", "vehicleTypeCode"]), "consumerCreditScore_bucket", "vehicleTypeCode_bucket").withColumn("bad_share", r8("bad_share")))
 _FIELDS = {"consumerCreditScore": "fb", "originalLoanTerm": "tb", "vehicleTypeCode": "vb", "obligorGeographicLocation": "sb"}
 _TABLES = TAPE + """,
 b AS (SELECT CASE WHEN fico < hi THEN CAST(least(floor((fico - lo) / ((hi - lo) / 7.0)), 6) AS INT) ELSE 0 END AS fb,
