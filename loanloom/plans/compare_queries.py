@@ -99,7 +99,7 @@ MODEL = ["obligorIncomeVerificationLevelCode", "originalInterestRatePercentage",
 
 def _forests(s, d):
     rows = loans(s, d).select("securitizationKey", "assetNumber", "monthsDelinquent", *MODEL)
-    return forests.forests(forests.with_all(rows), MODEL)
+    return forests.forests(forests.with_all(rows), MODEL, depth=6)
 
 
 @query("f2_trust_forests")

@@ -9,6 +9,9 @@ from ..operators.clean import keep_last
 from ..operators.metrics import trust_month_metrics
 from ..sources.readers import write_partitions
 from ..sources.schemas import raw_schema
+from ..sources.versioned import Versioned
+
+KEY = "securitizationKey"
 
 
 def filings(spark: SparkSession, folder: str, kind: str = "loan") -> DataFrame:
@@ -35,6 +38,35 @@ def ingest(stream: DataFrame, prepare, table: str, checkpoint: str):
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def ingest_atomically(stream: DataFrame, prepare, table: Versioned, checkpoint: str, *, before_switch=None):
+    """As ``ingest``, into a versioned table: a batch's trusts come into force together or not at all. A batch that died
+    before that is run again by the stream; one that died after it is known by its tag and not applied twice."""
+
+    def batch(rows: DataFrame, number: int) -> None:
+        tag, version = f"{checkpoint}#{number}", table.version()
+        if not table.applied(tag):
+            new = prepare(rows)
+            trusts = new.select(KEY).distinct()
+            stored = table.read(version)
+            both = stored.join(trusts, KEY, "left_semi").unionByName(new.select(*table.schema.names))
+            table.commit(keep_last(both), tag=tag, version=version, before_switch=before_switch)
+
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def refresh_changed(loans: Versioned, gold: Versioned, make=trust_month_metrics) -> int:
+    """Makes anew the gold rows of those trusts only whose loans have changed since the gold table was made, and drops
+    those of trusts that are gone. The folder of a trust's loans is the mark of its gold rows."""
+    source, version = loans.manifest(), gold.version()
+    now = source.select("key", F.col("folder").alias("mark"))
+    stored = gold.manifest(version)
+    new, gone = now.join(stored.select("key", "mark"), ["key", "mark"], "left_anti"), stored.join(now, "key", "left_anti").select("key")
+    if new.isEmpty() and gone.isEmpty():
+        return version
+    rows = loans.read().join(new.select(F.col("key").alias(KEY)), KEY, "left_semi")
+    return gold.commit(make(rows), new, gone, version=version)
+
+
 def refresh(loans: DataFrame, gold: str, trusts: list[str] | None = None) -> None:
     """Trust metrics of the given trusts (all without) written over their partitions."""
     rows = loans if trusts is None else loans.filter(F.col("securitizationKey").isin(trusts))
