@@ -1,11 +1,11 @@
 """Dollar parts and ratios by trust and month, and pooled over trusts: numerators and denominators are summed first."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import double, ratio, total, untrue
-from .universe import monthly
+from .universe import month_sums, monthly, placed
 
 PARTS = ["pool_beg_balance", "pool_end_balance", "active_balance", "delq30_balance", "delq60_balance", "current_balance", "roll_30_balance", "net_losses", "charge_offs", "recoveries", "interest_collected"]
 
@@ -43,13 +43,12 @@ def with_ratios(parts: DataFrame) -> DataFrame:
     })
 
 
-def trust_month_parts(loans: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Dollar sums by trust and month, without the roll."""
-    rows = with_days(monthly(loans))
+def _parts(loans: DataFrame) -> list[Column]:
+    """The dollar sums over rows that have their days."""
     end = F.col("reportingPeriodActualEndBalanceAmount")
     live = untrue(F.col("_resolved"))
     part = lambda name: total(name) if name in loans.columns else F.lit(None).cast("double")
-    return rows.groupBy(*(by or ["securitizationKey"]), "month").agg(
+    return [
         part("reportingPeriodBeginningLoanBalanceAmount").alias("pool_beg_balance"),
         total(end).alias("pool_end_balance"),
         total(F.when(live, end)).alias("active_balance"),
@@ -59,7 +58,25 @@ def trust_month_parts(loans: DataFrame, by: list[str] | None = None) -> DataFram
         part("chargedoffPrincipalAmount").alias("charge_offs"),
         part("recoveredAmount").alias("recoveries"),
         part("actualInterestCollectedAmount").alias("interest_collected"),
-    )
+    ]
+
+
+def trust_month_parts(loans: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Dollar sums by trust and month, without the roll."""
+    return with_days(monthly(loans)).groupBy(*(by or ["securitizationKey"]), "month").agg(*_parts(loans))
+
+
+def universe_metrics(loans: DataFrame, **limits) -> DataFrame:
+    """``trust_month_metrics`` of the universe, and each trust's ``first_month``, in two passes over the loans: one makes the
+    sums of every trust and month, from which the universe is read off too, the other the rolls. A trust leaves by whole
+    months, so months are dropped after summing; a month rolls only into one that stays."""
+    sums = month_sums(with_days(loans), *_parts(loans))
+    kept = placed(sums, **limits).filter("qualifies and (exited is null or month < exited)")
+    rolls = current_to_30(loans)
+    stays = F.col("exited").isNull() | (F.add_months("month", 1) < F.col("exited"))
+    both = kept.join(rolls, ["securitizationKey", "month"], "left")
+    both = both.withColumns({c: F.when(stays, F.col(c)) for c in ("current_balance", "roll_30_balance")})
+    return with_ratios(both.select("securitizationKey", "month", "first_month", *PARTS))
 
 
 def trust_month_metrics(loans: DataFrame) -> DataFrame:

@@ -108,8 +108,7 @@ def build_stress_index(pooled: DataFrame, *, by: list[str] | None = None, invers
 
 def build_index(loans: DataFrame, *, fico_cutoff: float = universe.FICO_CUTOFF, min_pool_size: float = universe.MIN_POOL_SIZE, exit_fraction: float = universe.EXIT_FRACTION, inverse_vol_weight: bool = True, method: str = "zavg") -> DataFrame:
     """From loan months to index marks."""
-    members = universe.build_universe(loans, fico_cutoff=fico_cutoff, min_pool_size=min_pool_size, exit_fraction=exit_fraction)
-    trusts = metrics.trust_month_metrics(universe.apply_universe(loans, members))
+    trusts = metrics.universe_metrics(loans, fico_cutoff=fico_cutoff, min_pool_size=min_pool_size, exit_fraction=exit_fraction)
     return build_stress_index(metrics.pool_metrics(trusts), inverse_vol_weight=inverse_vol_weight, method=method)
 
 

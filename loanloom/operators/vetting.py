@@ -7,13 +7,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import double
+from ..functions.scratch import stored
 from ..sources.schemas import FIELDS
+from .quantiles import quantiles
 
 KEY, ASSET, BEGIN, END = "securitizationKey", "assetNumber", "reportingPeriodBeginningDate", "reportingPeriodEndingDate"
 B, E = "reportingPeriodBeginningLoanBalanceAmount", "reportingPeriodActualEndBalanceAmount"
 CO, REC, REPO, PRIN, OTHER = "chargedoffPrincipalAmount", "recoveredAmount", "repossessedProceedsAmount", "actualPrincipalCollectedAmount", "otherPrincipalAdjustmentAmount"
 CASH = [B, PRIN, CO, OTHER, E, "actualInterestCollectedAmount", REC, REPO]
 
+#: Trust months that are broadcast at most: some tens of megabytes.
+LISTED = 500_000
+
 
 def _cells(df: DataFrame, fields: list[str], test) -> Column:
     """How many cells of the fields pass the test."""
@@ -21,20 +26,25 @@ def _cells(df: DataFrame, fields: list[str], test) -> Column:
     return reduce(lambda a, b: a + b, found) if found else F.lit(0).cast("bigint")
 
 
-def row_counters(df: DataFrame, kind: str = "loan", sens: float = 0.001) -> DataFrame:
-    """Counters that need no other row, in one pass."""
+def _counters(df: DataFrame, kind: str, sens: float, assets: Column) -> list[Column]:
+    """Counters that need no other row of the loan."""
     has = lambda c: c in df.columns
     count = lambda name, test: F.count_if(test).alias(name) if test is not None else F.lit(0).cast("bigint").alias(name)
     co, b = double(CO), double(B)
     off = F.abs((b - double(E)) - (double(PRIN) + co + (double(OTHER) if has(OTHER) else F.lit(0.0)))) > sens
-    return df.groupBy(KEY).agg(
-        F.count_distinct(ASSET).alias("Count"), F.min(BEGIN).alias("StartMonth"), F.max(BEGIN).alias("EndMonth"), count("Pmts", off),
+    return [
+        assets.alias("Count"), F.min(BEGIN).alias("StartMonth"), F.max(BEGIN).alias("EndMonth"), count("Pmts", off),
         count("NegOpenBal", b < 0), count("NegCloseBal", double(E) < 0),
         _cells(df, FIELDS[kind]["rate"], lambda x: x < 0).alias("RateNeg"), _cells(df, FIELDS[kind]["rate"], lambda x: x > 1).alias("RatePos"),
         _cells(df, FIELDS[kind]["integer"], lambda x: F.pmod(x, F.lit(1.0)) != 0).alias("Integer"),
         count("NegCO", co < 0), count("PartialCO", (co < b) & (F.abs(co) > sens)), count("GreaterCO", (co > b) & (F.abs(co) > sens)),
         count("NegRepo", double(REPO) < 0 if has(REPO) else None), count("NegRecov", double(REC) < 0 if has(REC) else None),
-    )
+    ]
+
+
+def row_counters(df: DataFrame, kind: str = "loan", sens: float = 0.001) -> DataFrame:
+    """Counters that need no other row, in one pass."""
+    return df.groupBy(KEY).agg(*_counters(df, kind, sens, F.count_distinct(ASSET)))
 
 
 def opening_balance(df: DataFrame) -> DataFrame:
@@ -50,11 +60,11 @@ def walks(df: DataFrame) -> DataFrame:
 
 
 def missing_months(df: DataFrame) -> DataFrame:
-    """Calendar month ends between a trust's first and last that no row has."""
+    """Calendar month ends between a trust's first and last that no row has; trusts that lack none have no row."""
     ends = df.select(KEY, F.last_day(END).alias("m")).distinct()
-    spans = ends.groupBy(KEY).agg(F.min("m").alias("a"), F.max("m").alias("z"))
-    every = spans.select(KEY, F.explode(F.sequence(F.trunc("a", "MM"), F.trunc("z", "MM"), F.expr("interval 1 month"))).alias("s")).select(KEY, F.last_day("s").alias("m"))
-    return every.join(ends, [KEY, "m"], "left_anti").groupBy(KEY).agg(F.count(F.lit(1)).alias("MissingMonths"))
+    number = lambda c: F.year(c) * 12 + F.month(c)
+    span = number(F.max("m")) - number(F.min("m")) + 1
+    return ends.groupBy(KEY).agg((span - F.count("m")).cast("bigint").alias("MissingMonths")).filter("MissingMonths > 0")
 
 
 def appearances(df: DataFrame, sens: float = 0.001) -> DataFrame:
@@ -82,12 +92,45 @@ def duplicates(df: DataFrame) -> DataFrame:
     return groups.groupBy(KEY).agg(F.sum("n").alias("Dupes"))
 
 
+def months(df: DataFrame) -> DataFrame:
+    """Per trust and observed month, that before it, that after it, and the trust's first: a row for each month, however
+    many loans."""
+    w = Window.partitionBy(KEY).orderBy(BEGIN)
+    seen = df.filter(F.col(BEGIN).isNotNull()).select(KEY, BEGIN).distinct()
+    return seen.select(KEY, BEGIN, F.lag(BEGIN).over(w).alias("_before"), F.lead(BEGIN).over(w).alias("_after"), F.min(BEGIN).over(Window.partitionBy(KEY)).alias("_first"))
+
+
 def vet(df: DataFrame, kind: str = "loan", sens: float = 0.001) -> DataFrame:
-    """All counters, one row per trust."""
-    out = row_counters(df, kind, sens)
-    for part in (opening_balance(df), missing_months(df), walks(df), appearances(df, sens), after_charge_off(df, sens), duplicates(df)):
-        out = out.join(part, KEY, "left")
-    return out.fillna(0, ["MissingMonths", "Missing", "Extra", "COExtra", "Dupes", "Walk", "IncrBal"])
+    """All counters, one row per trust.
+
+    Beside the short lists of a trust's months, one pass: rows sorted by month within (trust, asset) see their
+    neighbours, the months before and after of their trust, and the loan's first charge-off. Row counters are taken along,
+    and all is summed by trust at once."""
+    listed = stored(months(df))
+    if listed.count() <= LISTED:  # a size that has been counted
+        listed = F.broadcast(listed)
+    loan = Window.partitionBy(KEY, ASSET)
+    order, same = loan.orderBy(BEGIN), Window.partitionBy(KEY, ASSET, BEGIN)
+    rows = df.join(listed, [KEY, BEGIN], "left").withColumns({
+        "_n": F.row_number().over(order),
+        "_e0": F.lag(E).over(order), "_b0": F.lag(B).over(order), "_m0": F.lag(BEGIN).over(order), "_m1": F.lead(BEGIN).over(order),
+        "_open": F.max(F.coalesce(F.abs(double(E)) > sens, F.lit(False))).over(same), "_copies": F.count(F.lit(1)).over(same),
+        "_off": F.min(F.when(double(CO) > sens, F.col(BEGIN))).over(loan),
+    }).withColumn("_was_open", F.lag("_open").over(order))
+    first = (F.col("_n") == 1) | ~F.col("_m0").eqNullSafe(F.col(BEGIN))  # of the rows of a loan month
+    last = ~F.coalesce(F.col("_m1") == F.col(BEGIN), F.lit(False))
+    due = F.coalesce((F.col("_m0") == F.col("_before")) & F.col("_was_open"), F.lit(False))
+    out = rows.groupBy(KEY).agg(
+        *_counters(df, kind, sens, F.count_if((F.col("_n") == 1) & F.col(ASSET).isNotNull())),
+        F.sum(F.when(F.col(BEGIN) == F.col("_first"), F.col(B))).alias("OpenBal"),
+        F.count_if((F.col("_n") > 1) & ~F.coalesce(F.col(B) == F.col("_e0"), F.lit(False))).alias("Walk"),
+        F.count_if(F.col("_b0") < F.col(B)).alias("IncrBal"),
+        F.count_if(last & F.col("_open") & F.col("_after").isNotNull() & ~F.coalesce(F.col("_m1") == F.col("_after"), F.lit(False))).alias("Missing"),
+        F.count_if(first & F.col("_before").isNotNull() & ~due).alias("Extra"),
+        F.count_if(F.col(BEGIN) > F.col("_off")).alias("COExtra"),
+        F.count_if(F.col("_copies") > 1).alias("Dupes"),
+    )
+    return out.join(missing_months(df), KEY, "left").fillna(0, ["MissingMonths"])
 
 
 def cashflow(df: DataFrame) -> DataFrame:
@@ -104,13 +147,16 @@ def long_report(counters: DataFrame) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame, fields: list[str]) -> DataFrame:
-    """Per trust and field: count, moments, quartiles, nulls, zeros, above 1, below 0 and not whole."""
+    """Per trust and field: count, moments, quartiles, nulls, zeros, above 1, below 0 and not whole. Quartiles are exact."""
     x = F.col("x")
-    return df.select(KEY, *(double(c).alias(c) for c in fields)).unpivot(KEY, fields, "field", "x").groupBy(KEY, "field").agg(
+    moments = df.select(KEY, *(double(c).alias(c) for c in fields)).unpivot(KEY, fields, "field", "x").groupBy(KEY, "field").agg(
         F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"),
-        F.percentile("x", [0.25, 0.5, 0.75]).alias("quartiles"), F.max("x").alias("max"), F.count_if(x.isNull()).alias("nans"),
+        F.max("x").alias("max"), F.count_if(x.isNull()).alias("nans"),
         F.count_if(x == 0).alias("zeros"), F.count_if(x > 1).alias("above_one"), F.count_if(x < 0).alias("negative"), F.count_if(F.pmod(x, F.lit(1.0)) != 0).alias("non_int"),
     )
+    at = quantiles(df, [KEY], fields, [0.25, 0.5, 0.75])
+    quartiles = at.groupBy(KEY, "field").agg(F.array_sort(F.collect_list(F.struct("share", "value")))["value"].alias("quartiles"))
+    return moments.join(quartiles, [KEY, "field"], "left")
 
 
 def text_profile(df: DataFrame, fields: list[str]) -> DataFrame:

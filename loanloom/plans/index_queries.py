@@ -75,7 +75,7 @@ def _live(spark, d):
 
 
 def _trust(spark, d):
-    return metrics.trust_month_metrics(_live(spark, d))
+    return metrics.universe_metrics(loans(spark, d), min_pool_size=floor_cents(d)).drop("first_month")
 
 
 def _index(spark, d, **how):
@@ -154,9 +154,8 @@ def z10(spark, d):
 
 
 def _aged(spark, d):
-    rows = loans(spark, d)
-    uni = universe.build_universe(rows, min_pool_size=floor_cents(d))
-    return stress.pool_age(metrics.trust_month_metrics(universe.apply_universe(rows, uni)), uni)
+    rows = metrics.universe_metrics(loans(spark, d), min_pool_size=floor_cents(d))
+    return stress.pool_age(rows.drop("first_month"), rows.select("securitizationKey", "first_month").distinct())
 
 
 query("k1_trust_age", TRUST + _AGED + " SELECT sec AS securitizationKey, month, CAST(age AS BIGINT) AS age FROM aged")(lambda s, d: named(_aged(s, d), ["securitizationKey", "month"], ["age"]))

@@ -16,8 +16,9 @@ S = ' SELECT sec AS "securitizationKey", '
 
 def _vt(s, d):
     t = tape(s, d)
-    bad = t.filter("NOT (k % 19 = 0 AND i = 5) AND NOT (nk = 3 AND i = 7)").withColumn("co", F.expr("CASE WHEN k % 211 = 0 AND i = 2 THEN -100 WHEN k % 101 = 0 AND i = 4 THEN 50 ELSE co END"))
-    rows = bad.unionByName(t.filter("k % 17 = 0 AND i = 3"))
+    # a row's own charge-off, and that of its copy
+    kept = "CASE WHEN NOT (k % 19 = 0 AND i = 5) AND NOT (nk = 3 AND i = 7) THEN CASE WHEN k % 211 = 0 AND i = 2 THEN -100 WHEN k % 101 = 0 AND i = 4 THEN 50 ELSE co END END"
+    rows = t.withColumn("co", F.explode(F.array_compact(F.array(F.expr(kept), F.expr("CASE WHEN k % 17 = 0 AND i = 3 THEN co END")))))
     return rows.select(*(F.expr(e).alias(n) for n, e in LOAN.items())).withColumns({"repossessedProceedsAmount": F.lit(0), "otherPrincipalAdjustmentAmount": F.lit(0)})
 
 
@@ -49,8 +50,10 @@ _ALL = [c for names in _COUNTERS.values() for c in names]
 _FROM = "".join(f' LEFT JOIN ({ORACLES[q]}) q{k} USING ("securitizationKey")' if k else f'({ORACLES[q]}) q0' for k, q in enumerate(_COUNTERS))
 query("v21_error_report", 'SELECT "securitizationKey", counter, value FROM (SELECT "securitizationKey", ' + ", ".join(f'CAST(coalesce("{c}", 0) AS DOUBLE) AS "{c}"' for c in _ALL) + f" FROM {_FROM}) UNPIVOT (value FOR counter IN (" + ", ".join(f'"{c}"' for c in _ALL) + "))")(
     lambda s, d: vetting.long_report(vetting.vet(_vt(s, d))))
-query("v22_numeric_profile", VT + S + "'originalLoanTerm' AS field, count(term) AS \"count\", round(avg(term), 6) AS mean, round(stddev_samp(term), 6) AS std, CAST(min(term) AS DOUBLE) AS lo, round(quantile_cont(term, 0.25), 6) AS q25, round(quantile_cont(term, 0.5), 6) AS q50, CAST(max(term) AS DOUBLE) AS hi, count_if(term > 1)::BIGINT AS above_one FROM vt GROUP BY 1")(
-    lambda s, d: vetting.numeric_profile(_vt(s, d), ["originalLoanTerm"]).select(KEY, "field", "count", r8("mean", 6).alias("mean"), r8("std", 6).alias("std"), F.col("min").alias("lo"), r8(F.col("quartiles")[0], 6).alias("q25"), r8(F.col("quartiles")[1], 6).alias("q50"), F.col("max").alias("hi"), "above_one"))
+_NUMBERS = {"originalLoanTerm": "term", "originalLoanAmount": "orig", "consumerCreditScore": "fico", "reportingPeriodActualEndBalanceAmount": "endb", "chargedoffPrincipalAmount": "co", "age": "age"}
+_QUARTILES = ", ".join(f"round(quantile_cont(x, {p}), 6) AS {n}" for n, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)))
+query("v22_numeric_profile", VT + ", n AS (" + " UNION ALL ".join(f"SELECT sec, '{c}' AS field, CAST({e} AS DOUBLE) AS x FROM vt" for c, e in _NUMBERS.items()) + ")" + S + f"field, count(x) AS \"count\", round(avg(x), 6) AS mean, round(stddev_samp(x), 4) AS std, min(x) AS lo, {_QUARTILES}, max(x) AS hi, count_if(x IS NULL)::BIGINT AS nans, count_if(x = 0)::BIGINT AS zeros, count_if(x > 1)::BIGINT AS above_one, count_if(x < 0)::BIGINT AS negative, count_if(x % 1 <> 0)::BIGINT AS non_int FROM n GROUP BY 1, 2")(
+    lambda s, d: vetting.numeric_profile(_vt(s, d), list(_NUMBERS)).select(KEY, "field", "count", r8("mean", 6).alias("mean"), r8("std", 4).alias("std"), F.col("min").alias("lo"), *(r8(F.col("quartiles")[k], 6).alias(n) for k, n in enumerate(("q25", "q50", "q75"))), F.col("max").alias("hi"), "nans", "zeros", "above_one", "negative", "non_int"))
 _TOP = VT + ", c AS (SELECT sec, score_type AS v, count(*) AS n FROM vt GROUP BY 1, 2)" + S + "'obligorCreditScoreType' AS field, CAST(sum(CASE WHEN v IS NOT NULL THEN n ELSE 0 END) AS BIGINT) AS \"count\", count(v) AS \"unique\", arg_max(v, CASE WHEN v IS NOT NULL THEN n END) AS top, max(CASE WHEN v IS NOT NULL THEN n END) AS freq, CAST(sum(CASE WHEN v IS NULL THEN n ELSE 0 END) AS BIGINT) AS nans FROM c GROUP BY 1"
 query("v23_text_profile", _TOP)(lambda s, d: vetting.text_profile(_vt(s, d), ["obligorCreditScoreType"]))
 query("v25_describe", _TOP)(lambda s, d: report.describe(_vt(s, d), ["obligorCreditScoreType"]))
