@@ -105,7 +105,7 @@ def vet(df: DataFrame, kind: str = "loan", sens: float = 0.001) -> DataFrame:
 
     Beside the short lists of a trust's months, one pass: rows sorted by month within (trust, asset) see their
     neighbours, the months before and after of their trust, and the loan's first charge-off. Row counters are taken along,
-    and all is summed by trust at once."""
+    and all is summed by trust at once. Rows without an asset number count as one loan of their trust."""
     listed = stored(months(df))
     if listed.count() <= LISTED:  # a size that has been counted
         listed = F.broadcast(listed)

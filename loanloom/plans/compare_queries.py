@@ -59,7 +59,13 @@ _pf = lambda s, d: book.profits(_paths(s, d))
 query("x1_paths", _P + " SELECT position, count(*) AS n, CAST(min(p0) AS DOUBLE) AS p0 FROM pr GROUP BY 1")(lambda s, d: _paths(s, d).groupBy("position").agg(F.count(F.lit(1)).alias("n"), F.min("p0").alias("p0")))
 query("x2_profits", _P + " SELECT position, month, round(pnl, 4) AS pnl FROM pf")(lambda s, d: named(_pf(s, d), ["position", "month"], [], ["pnl"], 4))
 query("x3_risk", _P + ", fl AS (SELECT *, pnl - max(pnl) OVER (PARTITION BY position ORDER BY month) AS fall FROM pf) SELECT position, round(arg_max(pnl, month), 4) AS total, round(stddev_pop(mtm), 4) AS volatility, round(min(fall), 4) AS drawdown FROM fl GROUP BY 1")(lambda s, d: named(book.risk(_pf(s, d)), ["position"], [], ["total", "volatility", "drawdown"], 4))
-query("x4_margin_calls")(lambda s, d: named(book.margin_calls(_pf(s, d)), ["position", "calls"], [], ["topped", "equity"], 4))
+_CALLS = _P.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+st_ AS MATERIALIZED (SELECT position, mtm, row_number() OVER (PARTITION BY position ORDER BY month) AS r, count(*) OVER (PARTITION BY position) AS last FROM pr),
+it_ AS (SELECT position, 0::BIGINT AS r, 20000.0::DOUBLE AS equity, 0.0::DOUBLE AS topped, 0 AS calls FROM (SELECT DISTINCT position FROM st_)
+  UNION ALL SELECT position, r, CASE WHEN e < 10000 THEN 20000 ELSE e END, topped + CASE WHEN e < 10000 THEN 20000 - e ELSE 0 END, calls + CAST(e < 10000 AS INT) FROM (
+    SELECT s.position, s.r, equity + mtm AS e, topped, calls FROM it_ i JOIN st_ s ON s.position = i.position AND s.r = i.r + 1))
+SELECT i.position, calls, round(topped, 4) AS topped, round(equity, 4) AS equity FROM it_ i JOIN (SELECT DISTINCT position, last FROM st_) l ON l.position = i.position AND l.last = i.r"""
+query("x4_margin_calls", _CALLS)(lambda s, d: named(book.margin_calls(_pf(s, d)), ["position", "calls"], [], ["topped", "equity"], 4))
 query("x5_liquidations", _P + ", lq AS (SELECT position, min(CASE WHEN 20000 + pnl < 10000 THEN month END) AS liquidated, max(month) AS fin FROM pf GROUP BY 1) SELECT position, liquidated, round(greatest(20000 + pnl, 0), 4) AS payout FROM pf JOIN lq USING (position) WHERE month = coalesce(liquidated, fin)")(
     lambda s, d: named(book.liquidations(_pf(s, d)), ["position", "liquidated"], [], ["payout"], 4))
 query("x6_hedge", _P + " SELECT position, month, round(sum(-1e6 * net_loss / 12 / 100) OVER (PARTITION BY position ORDER BY month) + 0.5 * 1e6 * (level / p0 - 1), 3) AS net FROM pr")(

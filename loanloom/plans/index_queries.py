@@ -123,7 +123,23 @@ _COUNT = " + ".join(f"CAST({z} IS NOT NULL AS INT)" for z in _Z)
 query("z4_equal_weight", INDEX + f" SELECT month, round(({_MEAN}) / nullif(CAST({_COUNT} AS DOUBLE), 0), 6) AS stress_index_zavg FROM marks")(
     lambda s, d: named(_index(s, d, inverse_vol_weight=False), ["month"], [], ["stress_index_zavg"], 6))
 query("z5_principal_component")(lambda s, d: stress.principal_component(_index(s, d).withColumn("series_key", F.lit("national")), _Z, ["series_key"]).select("series_key", F.transform("loadings", lambda x: F.round(x, 6)).alias("loadings"), r8("explained", 6).alias("explained")))
-query("z6_component_index")(lambda s, d: named(_index(s, d, method="pca"), ["month"], [], ["stress_index", "stress_index_pca", "stress_index_zavg"], 6))
+# the first component by power iteration, 500 steps
+_M = {(i, j): f"c{min(i, j)}{max(i, j)}" for i in range(5) for j in range(5)}
+_COVARIANCES = ", ".join(f"covar_samp({_Z[i]}, {_Z[j]}) AS c{i}{j}" for i in range(5) for j in range(i, 5))
+_NEXT = ", ".join("(" + " + ".join(f"{_M[i, j]} * v{j}" for j in range(5)) + f") AS u{i}" for i in range(5))
+_NORM = "sqrt(" + " + ".join(f"u{i} * u{i}" for i in range(5)) + ")"
+PCA = INDEX.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+full_ AS (SELECT * FROM marks WHERE {" AND ".join(f"{z} IS NOT NULL" for z in _Z)}),
+cov_ AS MATERIALIZED (SELECT {_COVARIANCES}, {", ".join(f"avg({z}) AS m{i}" for i, z in enumerate(_Z))} FROM full_),
+it_ AS (SELECT 0 AS step, {", ".join(f"1.0::DOUBLE AS v{i}" for i in range(5))}
+  UNION ALL SELECT step + 1, {", ".join(f"u{i} / {_NORM}" for i in range(5))} FROM (SELECT step, {_NEXT} FROM it_, cov_ WHERE step < 500)),
+load_ AS (SELECT v0, v1, v2, v3, v4, {", ".join(f"m{i}" for i in range(5))}, ({" + ".join(f"v{i} * {_M[i, j]} * v{j}" for i in range(5) for j in range(5))}) / ({" + ".join(f"c{i}{i}" for i in range(5))}) AS explained FROM it_, cov_ WHERE step = 500),
+pc_ AS (SELECT marks.*, {" + ".join(f"({z} - m{i}) * v{i}" for i, z in enumerate(_Z))} AS pc FROM marks, load_),
+sp_ AS (SELECT coalesce(stddev_samp(CASE WHEN pc IS NOT NULL THEN stress_index_zavg END) / nullif(stddev_samp(CASE WHEN stress_index_zavg IS NOT NULL THEN pc END), 0), 1) AS scale FROM pc_),
+both_ AS (SELECT *, pc * scale AS stress_index_pca FROM pc_, sp_)"""
+query("z5_loadings", PCA + " SELECT field, round(loading, 6) AS loading, round(explained, 6) AS explained FROM (" + " UNION ALL ".join(f"SELECT '{z}' AS field, v{i} AS loading, explained FROM load_" for i, z in enumerate(_Z)) + ")")(
+    lambda s, d: stress.principal_component(_index(s, d).withColumn("series_key", F.lit("national")), _Z, ["series_key"]).select(F.explode(F.arrays_zip(F.array(*map(F.lit, _Z)).alias("field"), "loadings")).alias("x"), "explained").select(F.col("x.field").alias("field"), r8("x.loadings", 6).alias("loading"), r8("explained", 6).alias("explained")))
+query("z6_component_index", PCA + " SELECT month, round(stress_index_pca, 6) AS stress_index, round(stress_index_pca, 6) AS stress_index_pca, round(stress_index_zavg, 6) AS stress_index_zavg FROM both_")(lambda s, d: named(_index(s, d, method="pca"), ["month"], [], ["stress_index", "stress_index_pca", "stress_index_zavg"], 6))
 query("z7_covid_flag", INDEX + " SELECT month, month BETWEEN DATE '2020-04-01' AND DATE '2020-12-01' AS covid_flag FROM marks")(lambda s, d: _index(s, d).select("month", "covid_flag"))
 _FLAG = "month BETWEEN DATE '2020-04-01' AND DATE '2020-12-01' AS covid_flag"
 

@@ -7,7 +7,7 @@ from ..operators import clean, lease, report
 from ..operators.metrics import trust_month_parts
 from ..sources import readers
 from .index_queries import TRUST, _index, _live, _trust
-from .raw import raw_tape
+from .raw import manufacturers, raw_tape, states
 from .registry import TAPE, named, query, r8
 from .tape import tape
 
@@ -98,10 +98,43 @@ SELECT g.k2 AS "securitizationKey", CAST(mfc AS INT) AS "monthsFromCutoffDate",
     lambda s, d: report.lease_speed(lease.as_loans(lease.ages(lease.scheduled_values(_leases(s, d))))).select(KEY, F.col("monthsFromCutoffDate").cast("int").alias("monthsFromCutoffDate"), r8("abs_speed", 6).alias("abs_speed")))
 query("le12_ages", LS + S + "CAST(sum(term - lft) AS BIGINT) AS age FROM pv GROUP BY 1")(lambda s, d: lease.ages(_leases(s, d)).groupBy(KEY).agg(F.sum("age").cast("bigint").alias("age")))
 query("le14_loan_amount", LS + S + "CAST(sum(term * pay + resid) AS BIGINT) AS amount FROM pv GROUP BY 1")(lambda s, d: lease.loan_amount(_leases(s, d)).groupBy(KEY).agg(F.sum("originalLoanAmount").cast("bigint").alias("amount")))
-query("le15_implied_rates")(lambda s, d: lease.implied_rates(_leases(s, d)).groupBy(KEY).agg(F.count("originalInterestRatePercentage").alias("solved"), r8(F.avg("originalInterestRatePercentage"), 6).alias("rate")))
+# bisection instead of Newton's steps: the value grows with the rate
+_IMPLIED = TAPE.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+lease_ AS (SELECT DISTINCT CAST(term AS DOUBLE) AS n, CAST(orig // term AS DOUBLE) AS pay, CAST(orig * 12 // 10 AS DOUBLE) AS cost, CAST(orig * 4 // 10 AS DOUBLE) AS rest FROM tape),
+it_ AS (SELECT 0 AS step, n, pay, cost, rest, -0.4::DOUBLE AS lo, 1.0::DOUBLE AS hi FROM lease_
+  UNION ALL SELECT step + 1, n, pay, cost, rest, CASE WHEN low THEN mid ELSE lo END, CASE WHEN low THEN hi ELSE mid END FROM (
+    SELECT *, cost - (pay * (1 + mid) * (1 - power(1 + mid, -n)) / mid + rest * power(1 + mid, -n)) < 0 AS low FROM (SELECT *, (lo + hi) / 2 AS mid FROM it_ WHERE step < 60))),
+sol_ AS (SELECT n, pay, cost, rest, 12 * greatest((lo + hi) / 2, 0) AS rate FROM it_ WHERE step = 60)
+SELECT sec AS "securitizationKey", count(rate) AS solved, round(avg(rate), 6) AS rate FROM tape t LEFT JOIN sol_ ON n = term AND pay = orig // term AND cost = orig * 12 // 10 AND rest = orig * 4 // 10 GROUP BY 1"""
+query("le15_implied_rates", _IMPLIED)(lambda s, d: lease.implied_rates(_leases(s, d)).groupBy(KEY).agg(F.count("originalInterestRatePercentage").alias("solved"), r8(F.avg("originalInterestRatePercentage"), 6).alias("rate")))
 query("le16_net_losses", LS + S + "CAST(sum(greatest(co - rec // 2, 0)) AS BIGINT) AS nl FROM pv GROUP BY 1")(lambda s, d: lease.enrich.net_losses(_leases(s, d), lease.CO, lease.REPURCHASE).groupBy(KEY).agg(F.sum("netLosses").cast("bigint").alias("nl")))
 query("le17_loan_names", LS + S + "CAST(sum(beg) AS BIGINT) AS beg, CAST(sum(co) AS BIGINT) AS co FROM pv GROUP BY 1")(
     lambda s, d: lease.as_loans(_leases(s, d)).groupBy(KEY).agg(F.sum("reportingPeriodBeginningLoanBalanceAmount").alias("beg"), F.sum("chargedoffPrincipalAmount").alias("co")))
+_TIER = "CASE WHEN cons <= 640 THEN 1 WHEN cons <= 680 THEN 2 WHEN cons <= 740 THEN 3 WHEN cons > 740 THEN 4 ELSE 0 END"
+query("le13_scores_and_tiers", TAPE + """, sc AS (SELECT *, coalesce(lower(score_type), '') AS kind FROM tape),
+cs AS (SELECT *, CASE WHEN NOT contains(kind, 'none') AND NOT contains(kind, 'commercial') THEN fico END AS cons, CASE WHEN contains(kind, 'commercial') THEN fico END AS comm FROM sc)""" + S + f"{_TIER} AS tier, CASE state WHEN 'CA' THEN 'West' WHEN 'TX' THEN 'South' WHEN 'FL' THEN 'South' WHEN 'OH' THEN 'Midwest' WHEN 'NJ' THEN 'Northeast' END AS region, count(*) AS n, count(comm) AS comm, round(avg((orig * 12 // 10) / nullif(CAST(veh_value AS DOUBLE), 0)), 6) AS ltv FROM cs GROUP BY 1, 2, 3")(
+    lambda s, d: lease.enrich.regions(lease.enrich.prime_indicator(lease.enrich.loan_to_value(lease.enrich.scores(_leases(s, d), "lesseeCreditScore", "lesseeCreditScoreType"), None, "acquisitionCost")), states(s), "lesseeGeographicLocation")
+    .groupBy(KEY, F.col("primeIndicator").alias("tier"), "region").agg(n(), F.count("commercialCreditScore").alias("comm"), r8(F.avg("loanToValueRatio"), 6).alias("ltv")))
+# leases as filed: makers and models by their old names, discount rates in percent in some trusts
+_DIRTY = _E | {
+    "vehicleManufacturerName": "CASE WHEN k % 11 <> 0 THEN concat('Brand#', k % 10) END", "vehicleModelName": "CASE WHEN k % 13 <> 0 THEN concat('Model#', k % 6) END",
+    "securitizationDiscountRate": "CASE WHEN nk % 2 = 0 THEN (300 + k % 500) / 100.0D WHEN k % 103 = 0 THEN 7.5D WHEN k % 107 = 0 THEN 1.5D ELSE (300 + k % 500) / 10000.0D END", "servicingFeePercentage": "CASE WHEN k % 7 = 0 THEN 0.004D ELSE 0.02D END",
+}
+
+
+def _dirty(s, d):
+    models = s.createDataFrame([("Model#0", "Sedan"), ("Model#3", "Van")], "old string, new string")
+    return clean.clean(tape(s, d).select(*(F.expr(e).alias(c) for c, e in _DIRTY.items())), "lease", manufacturers(s), models)
+
+
+_MAKER = "CASE WHEN k % 11 = 0 THEN 'N/A' WHEN k % 2 = 0 THEN 'Maker ' || CAST(k % 10 // 2 AS VARCHAR) ELSE 'Brand#' || CAST(k % 10 AS VARCHAR) END"
+_MODEL = "CASE WHEN k % 13 = 0 THEN 'N/A' WHEN k % 6 = 0 THEN 'Sedan' WHEN k % 6 = 3 THEN 'Van' ELSE 'Model#' || CAST(k % 6 AS VARCHAR) END"
+query("lc5_makers_and_models", TAPE + S + f"{_MAKER} AS maker, {_MODEL} AS model, count(*) AS n FROM tape GROUP BY 1, 2, 3")(
+    lambda s, d: _dirty(s, d).groupBy(KEY, F.col("vehicleManufacturerName").alias("maker"), F.col("vehicleModelName").alias("model")).agg(n()))
+query("lc6_rates_and_fees", TAPE + """, rt AS (SELECT sec, CASE WHEN nk % 2 = 0 THEN (300 + k % 500) / 100.0::DOUBLE WHEN k % 103 = 0 THEN 7.5 WHEN k % 107 = 0 THEN 1.5 ELSE (300 + k % 500) / 10000.0::DOUBLE END AS x, CASE WHEN k % 7 = 0 THEN 0.01 ELSE 0.02 END AS fee FROM tape),
+st AS (SELECT sec, avg(CAST(x > 1 AS INT)) AS above, max(x) AS most FROM rt GROUP BY 1),
+ok AS (SELECT sec, fee, CASE WHEN most > 5 AND above > 0.4 THEN CASE WHEN x > 1 THEN x / 100 ELSE x END WHEN most > 5 AND x > 5 THEN NULL ELSE x END AS y FROM rt JOIN st USING (sec))""" + S + "count(CASE WHEN y <= 1 THEN y END) AS n, round(sum(CASE WHEN y <= 1 THEN y END), 6) AS rate, round(sum(fee), 6) AS fees FROM ok GROUP BY 1")(
+    lambda s, d: _dirty(s, d).groupBy(KEY).agg(F.count("securitizationDiscountRate").alias("n"), r8(F.sum("securitizationDiscountRate"), 6).alias("rate"), r8(F.sum("servicingFeePercentage"), 6).alias("fees")))
 query("le2_le13_enriched_leases")(lambda s, d: lease.enrich_lease(_leases(s, d)).groupBy(KEY, "monthsDelinquent", "primeIndicator").agg(n(), r8(F.sum("netLosses"), 2).alias("net_losses"), r8(F.sum("recoveredAmount"), 2).alias("recovered")))
 
 query("s8_published", TRUST + " SELECT sec AS securitization_key, month, CAST(pool_beg_balance AS BIGINT) AS pool_beg_balance, CAST(net_losses AS BIGINT) AS net_losses, DATE '2026-01-01' AS as_of FROM trust")(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..operators import loantable as lt
 from ..operators import stress, universe
-from .index_queries import INDEX, UNI, _index, _uni
+from .index_queries import INDEX, PCA, UNI, _index, _uni
 from .registry import TAPE, named, query, r8
 from .tape import floor_cents, loans
 
@@ -65,6 +65,6 @@ query("q11_align_series", _MIX + " , a AS (SELECT month, round(delq30plus, 8) AS
     lambda s, d: lt.align({"delq30plus": _index(s, d).select("month", r8("delq30plus").alias("value")), "wa_fico": lt.composition(_lean(s, d)).select(F.col("report_month").alias("month"), r8("wa_fico", 6).alias("value"))}))
 query("q12_decembers_and_latest", INDEX + " SELECT month, round(net_yield_annl, 8) AS net_yield_annl FROM marks WHERE month(month) = 12 OR month = (SELECT max(month) FROM marks)")(
     lambda s, d: named(lt.decembers_and_latest(_index(s, d)), ["month"], [], ["net_yield_annl"]))
-query("q13_method_difference")(lambda s, d: named(lt.method_difference(_index(s, d, method="pca")), [], [], ["max_abs", "correlation"], 6))
+query("q13_method_difference", PCA + " SELECT round(max(abs(stress_index_pca - stress_index_zavg)), 6) AS max_abs, round(corr(stress_index_pca, stress_index_zavg), 6) AS correlation FROM both_")(lambda s, d: named(lt.method_difference(_index(s, d, method="pca")), [], [], ["max_abs", "correlation"], 6))
 query("q14_published_levels", INDEX + ", lv AS (SELECT month, CAST(round(greatest(100 + 25 * round(stress_index_zavg, 4), 0.01) * 1e8) AS BIGINT) AS answer FROM marks WHERE stress_index_zavg IS NOT NULL), ch AS (SELECT *, lag(answer) OVER (ORDER BY month) AS was FROM lv) SELECT month, answer, CAST(row_number() OVER (ORDER BY month) AS INT) AS round_id FROM ch WHERE was IS NULL OR was <> answer")(
     lambda s, d: lt.publish_levels(_index(s, d).withColumn("stress_index", F.round("stress_index", 4))))
