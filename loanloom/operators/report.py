@@ -1,6 +1,8 @@
 """Summary, comparison and performance reports in long form."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,25 +82,51 @@ def bins(df: DataFrame, field: str, number: int = BINS) -> DataFrame:
     return df.join(span).withColumn("bin", F.when(x < F.col("_hi"), F.least(k, F.lit(number - 1))).cast("int")).drop("_lo", "_hi")
 
 
-def summary(df: DataFrame) -> DataFrame:
-    """All strata (dimension, stratum) with the measures, in one grouping; an overall row for each dimension."""
-    fields = {d: f for d, f in STRATIFIED.items() if f in df.columns}
-    span = df.agg(*(x for d, f in fields.items() for x in (F.min(double(f)).alias(f"lo_{d}"), F.max(double(f)).alias(f"hi_{d}"))))
-    strata = []
-    for d, f in fields.items():
+def _matters(df: DataFrame) -> Column:
+    """Whether a row can change a measure: last-month rows, first-month rows and rows with an amount that is summed over all
+    months. Amounts that are null count as 0, as cleaning leaves them. Of leases every row matters."""
+    if "baseResidualValue" in df.columns:
+        return F.lit(True)
+    summed = [c for c in ("chargedoffPrincipalAmount", "principalPrepaid") if c in df.columns]
+    tests = [F.col("summaryDate") == 1, F.col("monthsFromCutoffDate") == 0, *(double(c) != 0 for c in summed)]
+    return F.coalesce(reduce(lambda x, y: x | y, [F.coalesce(t, F.lit(False)) for t in tests]), F.lit(False))
+
+
+def strata(df: DataFrame, span: DataFrame) -> tuple[DataFrame, list[tuple[str, Column]]]:
+    """The rows beside the ranges of numeric fields, and each dimension's label of a row."""
+    out = []
+    for d, f in ((d, f) for d, f in STRATIFIED.items() if f in df.columns):
         x, lo, hi = double(f), F.col(f"lo_{d}"), F.col(f"hi_{d}")
         k = F.least(F.floor((x - lo) / F.nullif((hi - lo) / BINS, F.lit(0.0))), F.lit(BINS - 1))
-        strata.append((d, F.when(x < hi, F.concat(F.lit("bin "), k.cast("string")))))
+        out.append((d, F.when(x < hi, F.concat(F.lit("bin "), k.cast("string")))))
     for d, (f, names) in LABELS.items():
         if f in df.columns:
             label = F.lit(None).cast("string")
             for code, name in names.items():
                 label = F.when(F.col(f) == code, F.lit(name)).otherwise(label)
-            strata.append((d, label))
-    strata += [(d, F.col(f).cast("string")) for d, f in UNIQUE.items() if f in df.columns]
-    pairs = [F.struct(F.lit(d).alias("dimension"), s.alias("stratum")) for d, x in strata for s in (x, F.lit("Overall"))]
-    rows = df.join(span).withColumn("_s", F.explode(F.array(*pairs))).filter("_s.stratum is not null")
-    return rows.groupBy(F.col("_s.dimension").alias("dimension"), F.col("_s.stratum").alias("stratum")).agg(*measures(df))
+            out.append((d, label))
+    out += [(d, F.col(f).cast("string")) for d, f in UNIQUE.items() if f in df.columns]
+    return df.join(span), out
+
+
+def summary(df: DataFrame) -> DataFrame:
+    """All strata (dimension, stratum) with the measures; an overall row for each dimension.
+
+    Three reads of few columns or rows: the ranges of numeric fields; the strata there are, which needs no measure; and the
+    measures, of rows that matter only, a small part of a tape. The overall row is summed once."""
+    fields = {d: f for d, f in STRATIFIED.items() if f in df.columns}
+    span = df.agg(*(x for d, f in fields.items() for x in (F.min(double(f)).alias(f"lo_{d}"), F.max(double(f)).alias(f"hi_{d}"))))
+    rows, labels = strata(df, span)
+    pair = lambda d, x: F.struct(d.alias("dimension"), x.alias("stratum"))
+    titled = lambda d: lambda x: pair(F.lit(d), x)
+    seen = rows.agg(*(F.collect_set(x).alias(d) for d, x in labels), F.count(F.lit(1)).alias("_n")).filter("_n > 0")
+    names = F.flatten(F.array(*(F.transform(F.array_append(F.col(d), F.lit("Overall")), titled(d)) for d, _ in labels)))
+    listed = seen.select(F.explode(names).alias("_s")).select("_s.*")
+    pairs = [pair(F.lit(d), x) for d, x in labels] + [pair(F.lit(None).cast("string"), F.lit("Overall"))]
+    some = rows.filter(_matters(df)).withColumn("_s", F.explode(F.array(*pairs))).filter("_s.stratum is not null")
+    made = some.groupBy(F.col("_s.dimension").alias("dimension"), F.col("_s.stratum").alias("stratum")).agg(*measures(df))
+    each = made.withColumn("dimension", F.explode(F.when(F.col("dimension").isNull(), F.array(*(F.lit(d) for d, _ in labels))).otherwise(F.array("dimension"))))
+    return listed.join(each, ["dimension", "stratum"], "left").fillna(0, ["n_loans"])
 
 
 def _by(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..operators import clean, lease, report
 from ..operators.metrics import trust_month_parts
 from ..sources import readers
-from .index_queries import TRUST, _index, _live, _trust
+from .index_queries import INDEX, TRUST, _index, _live, _trust
 from .raw import manufacturers, raw_tape, states
 from .registry import TAPE, named, query, r8
 from .tape import tape
@@ -141,5 +141,18 @@ query("s8_published", TRUST + " SELECT sec AS securitization_key, month, CAST(po
     lambda s, d: readers.published(named(_trust(s, d), [KEY, "month"], ["pool_beg_balance", "net_losses"]), ["securitization_key", "month", "pool_beg_balance", "net_losses", "as_of"], "2026-01-01"))
 query("s9_s12_upsert", TRUST + ' SELECT sec AS "securitizationKey", month, CAST(CASE WHEN year(month) >= 2021 THEN net_losses + 1 ELSE net_losses END AS BIGINT) AS net_losses FROM parts')(
     lambda s, d: readers.upsert(*(lambda t: (t, t.filter("year(month) >= 2021").withColumn("net_losses", F.col("net_losses") + 1)))(named(trust_month_parts(_live(s, d)), [KEY, "month"], ["net_losses"])), [KEY, "month"]))
+@query("s11_snapshot_read_back", INDEX + " SELECT 'series' AS part, CAST(month AS VARCHAR) AS date, CAST(n_trusts AS DOUBLE) AS n_trusts, round(delq30plus, 8) AS value FROM marks UNION ALL SELECT 'latest', CAST(month AS VARCHAR), CAST(n_trusts AS DOUBLE), round(delq30plus, 8) FROM marks WHERE month = (SELECT max(month) FROM marks) UNION ALL SELECT 'own roll', CAST(month AS VARCHAR), NULL, round(roll_c_to_30, 8) FROM marks")
+def _snapshot(s, d):
+    """The snapshot's JSON, read back as rows."""
+    marks = named(_index(s, d), ["month"], ["n_trusts"], ["delq30plus", "roll_c_to_30"])
+    own = marks.select(F.lit("own").alias("series"), F.lit("roll").alias("metric"), F.col("month").cast("string").alias("date"), F.col("roll_c_to_30").alias("value"))
+    made = readers.snapshot(marks, ["n_trusts", "delq30plus"], own)
+    point, each = "date string, n_trusts double, delq30plus double", "array<struct<series:string,metric:string,points:array<struct<date:string,value:double>>>>"
+    series = made.select(F.inline(F.from_json("series", "array<struct<date:string,n_trusts:double,delq30plus:double>>"))).select(F.lit("series").alias("part"), "date", "n_trusts", F.col("delq30plus").alias("value"))
+    latest = made.select(F.from_json("latest", point).alias("p")).select(F.lit("latest"), "p.date", "p.n_trusts", "p.delq30plus")
+    marks_ = made.select(F.inline(F.from_json("benchmarks", each))).select(F.concat_ws(" ", "series", "metric").alias("part"), F.inline("points")).select("part", "date", F.lit(None).cast("double"), "value")
+    return series.union(latest).union(marks_)
+
+
 query("s11_snapshot")(lambda s, d: readers.snapshot(named(_index(s, d), ["month"], ["n_trusts"], ["delq30plus"]), ["n_trusts", "delq30plus"], named(_index(s, d), ["month"], [], ["roll_c_to_30"]).select(F.lit("own").alias("series"), F.lit("roll").alias("metric"), F.col("month").cast("string").alias("date"), F.col("roll_c_to_30").alias("value"))))
 query("s1_raw_rows", TAPE + S + "CAST(sum(1 + CAST(k % 17 = 0 AS INT)) AS BIGINT) AS n FROM tape GROUP BY 1")(lambda s, d: raw_tape(s, d).groupBy(KEY).agg(n()))

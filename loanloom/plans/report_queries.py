@@ -99,6 +99,34 @@ query("r3_equal_bins", LAST + _BIN + f" SELECT CAST(bin AS INT) AS bin, {_SQL} F
 query("r4_r5_summary", LAST + _BIN + f""", s AS (SELECT 'Size' AS dimension, 'bin ' || CAST(CAST(bin AS INT) AS VARCHAR) AS stratum, * FROM b WHERE bin IS NOT NULL UNION ALL SELECT 'Size', 'Overall', * FROM b
   UNION ALL SELECT 'VehType', CASE veh_type WHEN 1 THEN 'Car' WHEN 2 THEN 'Truck' ELSE 'SUV' END, * FROM b UNION ALL SELECT 'EmpVer', CAST(emp_ver AS VARCHAR), * FROM b) SELECT dimension, stratum, {_SQL} FROM s GROUP BY 1, 2""")(
     lambda s, d: _shown(report.summary(_rows(s, d)), "dimension", "stratum").filter("dimension = 'Size' or dimension in ('VehType', 'EmpVer') and stratum <> 'Overall'"))
+# every measure over every dimension
+_W = lambda x, test="fin": f"sum(CASE WHEN {test} THEN {x} * orig END) / nullif(sum(CASE WHEN {test} THEN CAST(orig AS DOUBLE) END), 0)"
+_LATE_ = lambda test: f"sum(CASE WHEN fin THEN CASE WHEN {test} THEN CAST(endb AS DOUBLE) ELSE 0 END END) / {_E}"
+_HELD = lambda test: f"count_if(fin AND {test}) / {_N}"
+_FIRST = "nullif(sum(CASE WHEN mfc = 0 THEN CAST(beg AS DOUBLE) END), 0)"
+ALL_MEASURES = MEASURES | {
+    "avg_balance_share": "avg(CASE WHEN fin THEN CAST(endb AS DOUBLE) END) / nullif(avg(CASE WHEN fin THEN CAST(orig AS DOUBLE) END), 0)",
+    "delq_2m": _LATE_("md = 2"), "delq_3m": _LATE_("md = 3"), "total_pp": f"sum(pp)::DOUBLE / {_FIRST}", "pp": "sum(CASE WHEN fin THEN CAST(pp AS DOUBLE) END) / nullif(sum(CASE WHEN fin THEN CAST(beg AS DOUBLE) END), 0)",
+    "wavg_ltv": _W("ltv"), "wavg_pti": _W("pti_bps / 10000.0::DOUBLE"), "wavg_comm_score": _W("CAST(cscore AS DOUBLE)", "fin AND cscore > 0"), "cons": _HELD("fico > 0"), "comm": _HELD("cscore > 0"),
+    "new": _HELD("new_used = 1"), "truck": _HELD("veh_type = 2"), "suv": _HELD("veh_type = 3"), "y2015": _HELD("model_year = 2015"), "y2016": _HELD("model_year = 2016"), "before_2010": _HELD("model_year < 2010"),
+    "ca": _HELD("state = 'CA'"), "fl": _HELD("state = 'FL'"), "oh": _HELD("state = 'OH'"), "nj": _HELD("state = 'NJ'"), "emp_ver": _HELD("emp_ver >= 3"),
+}
+_MORE = {"Term": "CAST(term AS DOUBLE)", "Size": "CAST(orig AS DOUBLE)", "APR": "apr_bps / 10000.0::DOUBLE", "Age": "CAST(age AS DOUBLE)", "FICO": "CAST(fico AS DOUBLE)", "CommScore": "CAST(cscore AS DOUBLE)", "LTV": "ltv", "PTI": "pti_bps / 10000.0::DOUBLE"}
+_LABELS = {"VehType": "CASE veh_type WHEN 1 THEN 'Car' WHEN 2 THEN 'Truck' WHEN 3 THEN 'SUV' END", "VehCond": "CASE new_used WHEN 1 THEN 'New' WHEN 2 THEN 'Used' END", "VehYear": "CASE WHEN model_year BETWEEN 2012 AND 2017 THEN CAST(model_year AS VARCHAR) END", "EmpVer": "CAST(emp_ver AS VARCHAR)", "IncVer": "CAST(inc_ver AS VARCHAR)", "VehManu": "'Brand#' || CAST(k % 10 AS VARCHAR)"}
+_WIDE = LAST + """, w AS (SELECT *, CAST(orig AS DOUBLE) / veh_value AS ltv, CASE WHEN k % 97 = 0 THEN fico - 100 END AS cscore, CASE WHEN md = 6 THEN greatest(prin - sched_prin, 0) ELSE 0 END AS pp FROM t),
+""" + "r AS (SELECT " + ", ".join(f"min({x}) AS lo{k}, max({x}) AS hi{k}" for k, x in enumerate(_MORE.values())) + " FROM w), s AS (" + " UNION ALL ".join(
+    [f"SELECT '{d}' AS dimension, CASE WHEN {x} < hi{k} THEN 'bin ' || CAST(CAST(least(floor(({x} - lo{k}) / ((hi{k} - lo{k}) / 7.0)), 6) AS INT) AS VARCHAR) END AS stratum, w.* FROM w, r" for k, (d, x) in enumerate(_MORE.items())]
+    + [f"SELECT '{d}', {x}, w.* FROM w" for d, x in _LABELS.items()] + [f"SELECT '{d}', 'Overall', w.* FROM w" for d in (*_MORE, *_LABELS)]
+) + ")"
+
+
+def _wide(s, d):
+    rows = _seasoned(s, d).withColumns({"loanToValueRatio": F.col("originalLoanAmount").cast("double") / F.col("vehicleValueAmount"), "_k": F.col("assetNumber").cast("bigint")})
+    return rows.withColumns({"commercialCreditScore": F.expr("CASE WHEN _k % 97 = 0 THEN consumerCreditScore - 100 END"), "vehicleManufacturerName": F.expr("concat('Brand#', _k % 10)")}).drop("_k")
+
+
+query("r2_r5_all_strata", _WIDE + " SELECT dimension, stratum, count_if(fin)::BIGINT AS n_loans, " + ", ".join(f'round({e}, 6) AS "{k}"' for k, e in ALL_MEASURES.items()) + " FROM s WHERE stratum IS NOT NULL GROUP BY 1, 2")(
+    lambda s, d: report.summary(_wide(s, d)).select("dimension", "stratum", "n_loans", *(r8(k, 6).alias(k) for k in ALL_MEASURES)))
 _D = "CAST({} AS DOUBLE)".format
 _LATE = ", ".join(f"sum(CASE WHEN md = {k} THEN {_D('endb')} ELSE 0 END) / nullif(sum({_D('endb')}), 0) AS {name}" for k, name in ((1, "delq30"), (2, "delq60"), (3, "delq90"), (5, '"def"')))
 
