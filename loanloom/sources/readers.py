@@ -3,29 +3,63 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.clean import typed
 from ..operators.compare import label_quarter
 from .schemas import raw_schema
+from .versioned import Versioned
 
 LISTING = "secname string, filename string, entitytype string, assetclass string, reportdate string, url string"
 
 
-def read_tape(spark: SparkSession, paths: str | list[str], kind: str = "loan", keep: list[str] | None = None) -> DataFrame:
-    """Asset rows of XML filings; elements that a file lacks are null; ``keep`` prunes the schema."""
-    return spark.read.format("xml").option("rowTag", "assets").schema(raw_schema(kind, keep)).load(paths)
+def read_tape(spark: SparkSession, paths: str | list[str], kind: str = "loan", keep: list[str] | None = None, corrupt: str | None = None) -> DataFrame:
+    """Asset rows of XML filings; elements that a file lacks are null; ``keep`` prunes the schema. Rows that do not parse are
+    null, with their text in the column ``corrupt`` if it is named."""
+    schema, reader = raw_schema(kind, keep), spark.read.format("xml").option("rowTag", "assets")
+    if corrupt:
+        schema, reader = StructType([*schema.fields, StructField(corrupt, StringType())]), reader.option("columnNameOfCorruptRecord", corrupt)
+    return reader.schema(schema).load(paths)
 
 
-def read_tapes(spark: SparkSession, listing: DataFrame, folder: str, entity: str, assets: str, kind: str = "loan", keep: list[str] | None = None) -> DataFrame:
-    """Typed rows of all listed filings of a class in ``folder``, with trust, shelf and report date of the listing.
-    One read of the folder's files; rows of unlisted files do not join."""
+def listed_paths(listing: DataFrame, folder: str) -> list[str]:
+    """The paths of the listed files that are in ``folder``: names of files, some thousands, not their rows."""
+    spark = listing.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    held = {s.getPath().getName() for s in fs.listStatus(at)} if fs.exists(at) else set()
+    names = [r["filename"] for r in listing.select("filename").distinct().collect()]
+    return [f"{folder.rstrip('/')}/{n}" for n in sorted(n for n in names if n in held)]
+
+
+def _wanted(listing: DataFrame, entity: str, assets: str) -> DataFrame:
     from ..operators.listing import shelf
 
-    wanted = listing.filter((F.col("entitytype") == entity) & (F.col("assetclass") == assets)).select("filename", F.col("secname").alias("securitizationKey"), shelf(F.col("secname")).alias("shelf"), F.col("reportdate").alias("reportDate"))
-    rows = read_tape(spark, f"{folder}/*.xml", kind, keep).withColumn("filename", F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1))
+    rows = listing.filter((F.col("entitytype") == entity) & (F.col("assetclass") == assets))
+    return rows.select("filename", F.col("secname").alias("securitizationKey"), shelf(F.col("secname")).alias("shelf"), F.col("reportdate").alias("reportDate"))
+
+
+def _filed(spark: SparkSession, wanted: DataFrame, folder: str, kind: str, keep: list[str] | None) -> DataFrame:
+    paths = listed_paths(wanted, folder)
+    if not paths:
+        return spark.createDataFrame([], StructType([*raw_schema(kind, keep).fields, StructField("_corrupt", StringType()), StructField("filename", StringType())]))
+    return read_tape(spark, paths, kind, keep, "_corrupt").withColumn("filename", F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1))
+
+
+def read_tapes(spark: SparkSession, listing: DataFrame, folder: str, entity: str, assets: str, kind: str = "loan", keep: list[str] | None = None) -> DataFrame:
+    """Typed rows of all listed filings of a class in ``folder``, with trust, shelf and report date of the listing. The
+    listing chooses the files before they are read; other files of the folder are not opened. Rows that do not parse
+    are left to ``quarantine``."""
+    wanted = _wanted(listing, entity, assets)
+    rows = _filed(spark, wanted, folder, kind, keep).filter("_corrupt is null").drop("_corrupt")
     return typed(rows, kind).join(wanted, "filename")
 
 
+def quarantine(spark: SparkSession, listing: DataFrame, folder: str, entity: str, assets: str, kind: str = "loan") -> DataFrame:
+    """(filename, assetNumber, record): what of the listed filings does not parse, with the asset number if it was read."""
+    return _filed(spark, _wanted(listing, entity, assets), folder, kind, None).filter("_corrupt is not null").select("filename", "assetNumber", F.col("_corrupt").alias("record"))
+
+
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=LISTING)
 
@@ -64,9 +98,18 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return both.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy("_age"))).filter("_n = 1").drop("_n", "_age")
 
 
-def write_tape(rows: DataFrame, path: str) -> None:
+def merge(table: Versioned, new: DataFrame, keys: list[str]) -> int:
+    """``upsert`` into a stored table: only partitions that hold incoming rows are read and written, and all are switched at
+    once. A key belongs to one partition for good."""
+    version = table.version()
+    touched = new.select(table.by).distinct()
+    stored = table.read(version).join(touched, table.by, "left_semi")
+    return table.commit(upsert(stored, new.select(*table.schema.names), keys), version=version)
+
+
+def write_tape(rows: DataFrame, path: str, mode: str = "error") -> None:
     """Asset rows as XML filings, as ``read_tape`` reads them."""
-    rows.write.format("xml").option("rootTag", "assetData").option("rowTag", "assets").option("dateFormat", "MM-dd-yyyy").save(path)
+    rows.write.mode(mode).format("xml").option("rootTag", "assetData").option("rowTag", "assets").option("dateFormat", "MM-dd-yyyy").save(path)
 
 
 def write_csvs(frames: dict[str, DataFrame], path: str) -> None:
