@@ -1,16 +1,17 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Texts are read once and kept as numbers of the benchmark's words, which is all that later passes need. Passages are
-TF-IDF vectors over these words; words outside the benchmark only add to a passage's length. A randomised SVD of the
+TF-IDF vectors over these words; words outside the benchmark only add to a passage's length, at the mean weight. A randomised SVD of the
 corpus passages and the benchmark's own gives a latent basis: one pass over all documents sums the products of their
 sparse rows with a small dense matrix. A last pass projects sliding windows of every document, of about each item's
-size, takes those whose cosine with an item reaches ``least_cosine``, and checks all of these, best first, until one
+size, takes those whose cosine with an item reaches the item's gate, and checks all of these, best first, until one
 passes, by the longest common subsequence of words: at least ``exact`` of the item, or ``loose`` of it with
 ``answer`` of its last part, where the answer stands. A bound by word counts spares most windows that would not pass.
 
-Words in more than ``common`` of all passages weigh nothing in the vectors. Items that hold too many of them (a
-verbatim copy beside words of the greatest weight might not reach the cosine) are searched exactly instead: the same
-windows of all documents that hold enough of the item's words are checked, whatever their cosine.
+A gate is the cosine that the least passage of the rule would have, ``least_cosine`` at most: no word weighs nothing, however
+common, but an item whose words are common in the corpus gets a lower gate. Items that no gate could tell from other
+texts are searched exactly instead: the same windows of all documents that hold enough of the item's words are checked,
+whatever their cosine.
 
 The benchmark is the query set: it is taken in blocks of ``block_items`` items, each against all documents.
 
@@ -81,6 +82,7 @@ class Items:
         self.columns = {w: k for k, w in enumerate(sorted({x for w in self.words for x in w}))}
         self.idf = np.zeros(len(self.columns) + 1)
         self.basis = np.zeros((len(self.columns), 0))
+        self.gates = np.zeros(len(self.words))
         self.light = np.zeros(len(self.words), bool)
 
     @property
@@ -99,20 +101,22 @@ class Items:
         return out * self.idf[:-1]
 
 
-    def mark_light(self, least_cosine: float) -> None:
-        """Mark the items of which a verbatim copy may stay below ``least_cosine`` in the window nearest to it."""
-        heavy = self.idf[-1] ** 2
+    def set_gates(self, least_cosine: float, share: float) -> None:
+        """The cosine that windows must reach, item by item: what is left to a passage that has ``share`` of the item's
+        weight, the words lost at a window's edges taken off, and other words for the rest; ``least_cosine`` at most. An item
+        whose gate would let everything pass is searched without one."""
+        other = self.idf[-1] ** 2
         for k, (own, w) in enumerate(zip(self.words, self.widths)):
             at = np.array([self.columns[x] for x in own])
             _, back, times = np.unique(at, return_inverse=True, return_counts=True)
             weight = self.idf[at] ** 2
-            product = np.sort(weight * times[back])
-            spare = w - len(own)
-            lost = max(0, -(-(max(1, w // 4) - spare) // 2))  # words of the copy outside of the window
-            mass = weight.sum() + (spare + lost) * heavy
-            inner = np.sort(weight)[: max(0, len(own) - lost)].sum()
-            least = least_cosine * np.sqrt(product.sum() * mass)
-            self.light[k] = product.sum() == 0 or product[: max(0, len(own) - lost)].sum() < least or inner < 0.5 * least_cosine**2 * mass
+            lost = max(0, -(-(max(1, w // 4) - (w - len(own))) // 2))
+            held = share * (len(own) - lost) / len(own)
+            mass = held * weight.sum() + (w - held * len(own)) * other
+            product = (weight * times[back]).sum()
+            found = 0.85 * held * product / max(1e-12, math.sqrt(product * mass))
+            self.gates[k] = min(least_cosine, found)
+        self.light = self.gates < 0.05
 
 
 def _passages(sizes: np.ndarray) -> np.ndarray:
@@ -146,7 +150,7 @@ def _parts(column: pa.Array, kind: type) -> Iterator[tuple[int, np.ndarray, np.n
         start = stop
 
 
-def _weigh(coded: DataFrame, items: Items, common: float) -> None:
+def _weigh(coded: DataFrame, items: Items) -> None:
     """Inverse passage frequencies, from all documents."""
 
     def add(batch: pa.RecordBatch, arrays: list[np.ndarray]) -> None:
@@ -166,9 +170,10 @@ def _weigh(coded: DataFrame, items: Items, common: float) -> None:
 
     frequency, total = per_partition(coded.select("words"), add, [(len(items.columns),), (1,)])
     n = total[0] + len(items.words)
-    idf = np.log((n + 1) / (frequency + 1))
-    idf[frequency > common * n] = 0.0
-    items.idf = np.append(idf, math.log(n + 1))
+    idf = np.maximum(np.log((n + 1) / (frequency + 1)), 0.05)
+    # a word outside the benchmark weighs as one of the benchmark does on the whole: the replaced words of a reworded
+    # passage must not outweigh those it kept
+    items.idf = np.append(idf, math.sqrt(float((idf**2).mean())) if len(idf) else 1.0)
 
 
 def _factor(coded: DataFrame, items: Items, rank: int, extra: int, seed: int) -> None:
@@ -240,8 +245,8 @@ class Passage:
         return (share, last) if share >= self.exact or share >= self.loose and last >= self.answer else None
 
 
-def _search(coded: DataFrame, items: Items, limits: tuple[float, float, float, float]) -> DataFrame:
-    least_cosine, exact, loose, answer = limits
+def _search(coded: DataFrame, items: Items, limits: tuple[float, float, float]) -> DataFrame:
+    exact, loose, answer = limits
     shared = coded.sparkSession.sparkContext.broadcast(items)
     item_type = pa.int64() if all(isinstance(i, int) for i in items.ids) else pa.string()
 
@@ -320,7 +325,8 @@ def _search(coded: DataFrame, items: Items, limits: tuple[float, float, float, f
                             found.append((base + int(done), it.ids[item], int(place[k]), latent(lo[k], hi[k], item), *shares))
                 for w, members in groups:
                     text, place, lo, hi = windows(w)
-                    near = np.flatnonzero(inner[hi] - inner[lo] >= 0.5 * least_cosine**2 * (mass[hi] - mass[lo]))
+                    gates = it.gates[members]
+                    near = np.flatnonzero(inner[hi] - inner[lo] >= 0.5 * gates.min() ** 2 * (mass[hi] - mass[lo]))
                     near = near[inner[hi[near]] > inner[lo[near]]]
                     if not len(near):
                         continue
@@ -333,7 +339,7 @@ def _search(coded: DataFrame, items: Items, limits: tuple[float, float, float, f
                     score /= np.sqrt(np.maximum(mass[hi[near]] - mass[lo[near]], 1e-9))[:, None]
                     cosine = score if small[w] else score @ units[w]
                     asked: dict[tuple[int, int], list[tuple[float, int]]] = {}
-                    for x, y in zip(*(v.tolist() for v in np.nonzero(cosine >= least_cosine))):
+                    for x, y in zip(*(v.tolist() for v in np.nonzero(cosine >= gates))):
                         k = near[x]
                         asked.setdefault((int(text[k]), int(members[y])), []).append((-float(cosine[x, y]), int(place[k])))
                     for (doc, item), places in asked.items():
@@ -352,7 +358,7 @@ def _search(coded: DataFrame, items: Items, limits: tuple[float, float, float, f
     return coded.mapInArrow(run, StructType([coded.schema["id"], *kinds]))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_items: int = 2000, rank: int = 128, extra: int = 16, common: float = 0.05, least_cosine: float = 0.45, exact: float = 0.8, loose: float = 0.6, answer: float = 0.5, seed: int = 7) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_items: int = 2000, rank: int = 128, extra: int = 16, least_cosine: float = 0.45, exact: float = 0.8, loose: float = 0.6, answer: float = 0.5, seed: int = 7) -> DataFrame:
     """A row for each document and item found in it: where (``start_word``), the latent cosine, the shares of the
     item (``common``) and of its last part (``answer``) that the passage has in order."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -364,10 +370,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
         if not block.ids:
             continue
         coded = written(_coded(rows, block))
-        _weigh(coded, block, common)
-        block.mark_light(least_cosine)
+        _weigh(coded, block)
+        block.set_gates(least_cosine, min(exact, loose))
         _factor(coded, block, rank, extra, seed)
-        found = written(_search(coded, block, (least_cosine, exact, loose, answer)))
+        found = written(_search(coded, block, (exact, loose, answer)))
         release(docs.sparkSession, coded)
         out.append(found)
     kinds = StructType([rows.schema["id"], StructField("item_id", asked.schema["item"].dataType), *StructType.fromDDL("start_word long, cosine double, common double, answer double")])
