@@ -8,10 +8,10 @@ size, takes those whose cosine with an item reaches the item's gate, and checks
 passes, by the longest common subsequence of words: at least ``exact`` of the item, or ``loose`` of it with
 ``answer`` of its last part, where the answer stands. A bound by word counts spares most windows that would not pass.
 
-A gate is the cosine that the least passage of the rule would have, ``least_cosine`` at most: no word weighs nothing, however
-common, but an item whose words are common in the corpus gets a lower gate. Items that no gate could tell from other
-texts are searched exactly instead: the same windows of all documents that hold enough of the item's words are checked,
-whatever their cosine.
+A gate is the cosine that the least passage of the rule would have, ``least_cosine`` at most, so an item whose words are
+common in the corpus gets a lower one. Words in more than ``common`` of all passages weigh nothing in the vectors. Items of
+which few words weigh anything, or that no gate could tell from other texts, are searched exactly instead: the same
+windows of all documents that hold enough of the item's words are checked, whatever their cosine.
 
 The benchmark is the query set: it is taken in blocks of ``block_items`` items, each against all documents.
 
@@ -104,8 +104,8 @@ class Items:
     def set_gates(self, least_cosine: float, share: float) -> None:
         """The cosine that windows must reach, item by item: what is left to a passage that has ``share`` of the item's
         weight, the words lost at a window's edges taken off, and other words for the rest; ``least_cosine`` at most. An item
-        whose gate would let everything pass is searched without one."""
-        other = self.idf[-1] ** 2
+        whose gate would let everything pass, or of which few words weigh anything, is searched without one."""
+        other, few = self.idf[-1] ** 2, np.zeros(len(self.words), bool)
         for k, (own, w) in enumerate(zip(self.words, self.widths)):
             at = np.array([self.columns[x] for x in own])
             _, back, times = np.unique(at, return_inverse=True, return_counts=True)
@@ -113,10 +113,11 @@ class Items:
             lost = max(0, -(-(max(1, w // 4) - (w - len(own))) // 2))
             held = share * (len(own) - lost) / len(own)
             mass = held * weight.sum() + (w - held * len(own)) * other
+            few[k] = (weight > 0).mean() < 0.3
             product = (weight * times[back]).sum()
             found = 0.85 * held * product / max(1e-12, math.sqrt(product * mass))
             self.gates[k] = min(least_cosine, found)
-        self.light = self.gates < 0.05
+        self.light = (self.gates < 0.05) | few
 
 
 def _passages(sizes: np.ndarray) -> np.ndarray:
@@ -150,7 +151,7 @@ def _parts(column: pa.Array, kind: type) -> Iterator[tuple[int, np.ndarray, np.n
         start = stop
 
 
-def _weigh(coded: DataFrame, items: Items) -> None:
+def _weigh(coded: DataFrame, items: Items, common: float) -> None:
     """Inverse passage frequencies, from all documents."""
 
     def add(batch: pa.RecordBatch, arrays: list[np.ndarray]) -> None:
@@ -170,10 +171,11 @@ def _weigh(coded: DataFrame, items: Items) -> None:
 
     frequency, total = per_partition(coded.select("words"), add, [(len(items.columns),), (1,)])
     n = total[0] + len(items.words)
-    idf = np.maximum(np.log((n + 1) / (frequency + 1)), 0.05)
+    idf = np.log((n + 1) / (frequency + 1))
+    idf[frequency > common * n] = 0.0
     # a word outside the benchmark weighs as one of the benchmark does on the whole: the replaced words of a reworded
     # passage must not outweigh those it kept
-    items.idf = np.append(idf, math.sqrt(float((idf**2).mean())) if len(idf) else 1.0)
+    items.idf = np.append(idf, math.sqrt(float((idf[idf > 0] ** 2).mean())) if idf.any() else 1.0)
 
 
 def _factor(coded: DataFrame, items: Items, rank: int, extra: int, seed: int) -> None:
@@ -358,7 +360,7 @@ def _search(coded: DataFrame, items: Items, limits: tuple[float, float, float])
     return coded.mapInArrow(run, StructType([coded.schema["id"], *kinds]))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_items: int = 2000, rank: int = 128, extra: int = 16, least_cosine: float = 0.45, exact: float = 0.8, loose: float = 0.6, answer: float = 0.5, seed: int = 7) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_items: int = 2000, rank: int = 128, extra: int = 16, common: float = 0.05, least_cosine: float = 0.45, exact: float = 0.8, loose: float = 0.6, answer: float = 0.5, seed: int = 7) -> DataFrame:
     """A row for each document and item found in it: where (``start_word``), the latent cosine, the shares of the
     item (``common``) and of its last part (``answer``) that the passage has in order."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -370,7 +372,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
         if not block.ids:
             continue
         coded = written(_coded(rows, block))
-        _weigh(coded, block)
+        _weigh(coded, block, common)
         block.set_gates(least_cosine, min(exact, loose))
         _factor(coded, block, rank, extra, seed)
         found = written(_search(coded, block, (exact, loose, answer)))
