@@ -5,10 +5,14 @@ A word has a class (by its ending) and a member number within it (by its hash).
 (previous word, pair of previous classes, word before the previous one), and the share of the word's own count
 in its member, add-``add`` smoothed with room for one unknown word. So it is a proper distribution over all words.
 
+Texts are split once, into a table of word numbers (``numbered``) that counts, gradients and scores read. A word's
+number is 59 bits of its hash and 5 bits of class; words of one number are taken for one word.
+
 Training counts words and features over all training texts, starts the weights from the features' shrunk
 information about the outcome, and then moves them by gradients (observed less expected feature counts, scaled by
 the counts) that every partition sums over its texts; each of ``rounds`` steps takes another share of the texts, all
-together take every text.
+together take every text. Weights stay within ``_MOST``, so that scores can be held against the sum of their rows'
+greatest weights instead of their own maximum.
 Scoring gathers weight rows in numpy batches. Word counts are a table: its ``head`` most frequent words are sent to
 the scorers, all others are joined.
 
@@ -35,13 +39,15 @@ CLASSES, MEMBERS = 32, 32
 ROWS1, ROWS2 = 1 << 14, 1 << 15
 _PREVIOUS = 1 << 13
 _SKIP = ROWS1 - _PREVIOUS - CLASSES * CLASSES
-_CHUNK = 8192
+_CHUNK = 16384
+_PART = 1 << 17
+_MOST = 12.0
 END = b""
 _U = np.uint64
 
 
 class Lexer:
-    """Texts to arrays of word hashes and classes; remembers a bounded number of words."""
+    """Texts to arrays of word numbers; remembers a bounded number of words."""
 
     LIMIT = 300_000
 
@@ -50,57 +56,57 @@ class Lexer:
 
     def reset(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.hash = np.zeros(self.LIMIT + 1, _U)
-        self.outcome = np.zeros(self.LIMIT + 1, np.int32)
+        self.number = np.zeros(self.LIMIT + 1, _U)
         self._learn(END)
 
     def _learn(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        k = self.index[word] = len(self.index)
-        self.hash[k] = h
         c = 0 if word == END else 1 + xxhash.xxh32_intdigest((word.rstrip(b".,;:!?") or word)[-3:]) % (CLASSES - 1)
-        self.outcome[k] = c * MEMBERS + h % MEMBERS
+        k = self.index[word] = len(self.index)
+        self.number[k] = xxhash.xxh3_64_intdigest(word) // CLASSES * CLASSES + c
         return k
 
-    def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes and outcomes (class and member) of all tokens, and the number of tokens of each text, its end included."""
-        split = [words(t) for t in texts]
-        if len(self.index) + sum(map(len, split)) > self.LIMIT:
-            new = set().union(*split).difference(self.index)
+    def read(self, text: str | None) -> np.ndarray:
+        """Numbers of all tokens of a text, its end included."""
+        w = words(text)
+        out, room = [], self.LIMIT // 2
+        for k in range(0, len(w), room):
+            part = w[k : k + room]
+            new = set(part).difference(self.index)
             if len(self.index) + len(new) > self.LIMIT:
                 self.reset()
-                if len(set().union(*split)) >= self.LIMIT:
-                    return self._unremembered(split)
-        index, out = self.index, []
-        for w in split:
-            for x in set(w).difference(index):
+                new = set(part)
+            for x in new:
                 self._learn(x)
-            out.append(np.fromiter(map(index.__getitem__, w), np.int64, len(w)))
-            out.append(np.zeros(1, np.int64))
-        at = np.concatenate(out) if out else np.zeros(0, np.int64)
-        return self.hash[at], self.outcome[at], np.array([len(w) + 1 for w in split], np.int64)
-
-    def _unremembered(self, split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        h, o = [], []
-        for w in split:
-            for k in range(0, len(w), self.LIMIT // 2):
-                self.reset()
-                part = w[k : k + self.LIMIT // 2]
-                at = np.array([self.index[x] if x in self.index else self._learn(x) for x in part], np.int64)
-                h.append(self.hash[at])
-                o.append(self.outcome[at])
-            h.append(self.hash[:1].copy())
-            o.append(self.outcome[:1].copy())
-        return np.concatenate(h), np.concatenate(o), np.array([len(w) + 1 for w in split], np.int64)
+            out.append(self.number[np.fromiter(map(self.index.__getitem__, part), np.int64, len(part))])
+        return np.concatenate([*out, self.number[:1]])
+
+
+def outcomes(numbers: np.ndarray) -> np.ndarray:
+    """Class and member of word numbers, as one."""
+    return (numbers % _U(CLASSES) * _U(MEMBERS) + numbers // _U(CLASSES) % _U(MEMBERS)).astype(np.int64)
+
+
+def numbered(docs: DataFrame, *keep: str, text_col: str = "text") -> DataFrame:
+    """The columns ``keep`` and ``words``: the word numbers of the whole text, 8 bytes each, as a written table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexer = Lexer()
+        for batch in batches:
+            texts = batch.column(len(keep))
+            body = pa.array([lexer.read(t.as_py()).tobytes() for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], body], names=[*keep, "words"])
+
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    return written(docs.select(*keep, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"{kinds}words binary"))
 
 
-def features(hashes: np.ndarray, outcome: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+def features(numbers: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     """Rows of the class weights that are active at each token."""
-    n = len(hashes)
+    n, hashes = len(numbers), numbers // _U(CLASSES)
     place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     before = np.concatenate((np.zeros(1, _U), hashes[:-1]))
     second = np.concatenate((np.zeros(1, _U), before[:-1]))
-    c = (outcome // MEMBERS).astype(np.int64)
+    c = (numbers % _U(CLASSES)).astype(np.int64)
     c1 = np.concatenate((np.zeros(1, np.int64), c[:-1]))
     c2 = np.concatenate((np.zeros(1, np.int64), c1[:-1]))
     for k, arrays in ((1, (before, c1)), (2, (second, c2))):
@@ -116,14 +122,25 @@ def _member_row(row: np.ndarray, c: np.ndarray) -> np.ndarray:
     return (mix((row * CLASSES + c).astype(_U)) % _U(ROWS2)).astype(np.int64)
 
 
-def _softmax(weights: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Scores and their log-normalisers."""
-    s = weights[rows[0]]
+def _softmax(weights: np.ndarray, most: np.ndarray, bias: np.ndarray, bias_most: np.ndarray, rows: list[np.ndarray], own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Scores of ``own``, the exponentials of all scores and their sums, all less a bound of the row's scores."""
+    s = np.take(weights, rows[0], axis=0)
+    top = most[rows[0]] + bias_most
     for r in rows[1:]:
-        s += weights[r]
+        s += np.take(weights, r, axis=0)
+        top += most[r]
     s += bias
-    top = s.max(1)
-    return s, top + np.log(np.exp(s - top[:, None]).sum(1))
+    s -= top[:, None]
+    of_own = s[np.arange(len(own)), own]
+    e = np.exp(s, out=s)
+    return of_own, e, e @ np.ones(e.shape[1], e.dtype)
+
+
+def _add_rows(total: np.ndarray, at: np.ndarray, p: np.ndarray) -> None:
+    order = np.argsort(at.astype(np.uint16), kind="stable")
+    r = at[order]
+    first = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
+    total[r[first]] += np.add.reduceat(np.take(p, order, axis=0), first, axis=0)
 
 
 @dataclass
@@ -133,51 +150,51 @@ class Weights:
     w2: np.ndarray  # ROWS2 x MEMBERS
     b2: np.ndarray  # CLASSES x MEMBERS
 
-    def log_probability(self, rows: list[np.ndarray], outcome: np.ndarray) -> np.ndarray:
-        """Natural log of class and member of each token."""
-        out = np.empty(len(outcome))
+    def __post_init__(self):
+        self.w1, self.w2 = (np.clip(w, -_MOST, _MOST).astype(np.float32) for w in (self.w1, self.w2))
+        self.most = self.w1.max(1), self.b1.max(), self.w2.max(1), self.b2.max(1)
+
+    def _parts(self, rows: list[np.ndarray], outcome: np.ndarray) -> Iterator[tuple]:
+        """By chunks: place, rows and softmax of the class, rows and softmax of the member."""
+        most1, top1, most2, top2 = self.most
         for k in range(0, len(outcome), _CHUNK):
             part = slice(k, k + _CHUNK)
             c, m = np.divmod(outcome[part], MEMBERS)
-            at = np.arange(len(c))
             own = [r[part] for r in rows]
-            s, z = _softmax(self.w1, self.b1, own)
-            out[part] = s[at, c] - z
-            s, z = _softmax(self.w2, self.b2[c], [_member_row(r, c) for r in own])
-            out[part] += s[at, m] - z
+            yield part, own, _softmax(self.w1, most1, self.b1, top1, own, c)
+            own = [_member_row(r, c) for r in own]
+            yield part, own, _softmax(self.w2, most2, self.b2[c], top2[c], own, m)
+
+    def log_probability(self, rows: list[np.ndarray], outcome: np.ndarray) -> np.ndarray:
+        """Natural log of class and member of each token."""
+        out = np.zeros(len(outcome))
+        for part, _, (s, _, z) in self._parts(rows, outcome):
+            out[part] += s - np.log(z)
         return out
 
     def add_expected(self, rows: list[np.ndarray], outcome: np.ndarray, e1: np.ndarray, e2: np.ndarray) -> None:
-        for k in range(0, len(outcome), _CHUNK):
-            part = slice(k, k + _CHUNK)
-            c = outcome[part] // MEMBERS
-            own = [r[part] for r in rows]
-            for weights, bias, at, total in ((self.w1, self.b1, own, e1), (self.w2, self.b2[c], [_member_row(r, c) for r in own], e2)):
-                s, z = _softmax(weights, bias, at)
-                p = np.exp(s - z[:, None])
-                for r in at:
-                    order = np.argsort(r, kind="stable")
-                    r = r[order]
-                    first = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
-                    total[r[first]] += np.add.reduceat(p[order], first, axis=0)
+        for k, (_, own, (_, p, z)) in enumerate(self._parts(rows, outcome)):
+            p *= (1 / z)[:, None]
+            for r in own:
+                _add_rows(e2 if k % 2 else e1, r, p)
 
 
 def _observe(rows: list[np.ndarray], outcome: np.ndarray, n1: np.ndarray, n2: np.ndarray) -> None:
-    c, m = np.divmod(outcome.astype(np.int64), MEMBERS)
+    c, m = np.divmod(outcome, MEMBERS)
     for r in rows:
         n1 += np.bincount(r * CLASSES + c, minlength=n1.size).reshape(n1.shape)
         n2 += np.bincount(_member_row(r, c) * MEMBERS + m, minlength=n2.size).reshape(n2.shape)
 
 
-def _texts(batch: pa.RecordBatch, column: int, lexer: Lexer) -> Iterator[tuple]:
-    """Parts of an Arrow batch, of about a million characters."""
-    texts, start, size = batch.column(column).to_pylist(), 0, 0
-    for k, t in enumerate(texts):
-        size += len(t or "")
-        if size > 1_000_000 or k == len(texts) - 1:
-            h, o, n = lexer.read(texts[start : k + 1])
-            yield slice(start, k + 1), h, o, n
-            start, size = k + 1, 0
+def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Parts of an Arrow batch of ``numbered`` texts, of about ``_PART`` tokens: place, numbers, tokens of each text."""
+    bodies = batch.column(column)
+    sizes = np.array([len(b.as_buffer()) // 8 for b in bodies], np.int64)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // _PART)) + 1
+    for start, end in zip([0, *cuts], [*cuts, len(sizes)]):
+        if end > start:
+            body = b"".join(b.as_buffer() for b in bodies[start:end])
+            yield slice(start, end), np.frombuffer(body, _U), sizes[start:end]
 
 
 @dataclass
@@ -196,31 +213,33 @@ def _start(n: np.ndarray, share: np.ndarray, prior: float, damp: float) -> np.nd
     return (damp * np.log((n + prior * share) / ((total + prior) * share))).astype(np.float32)
 
 
-def train(docs: DataFrame, *, text_col: str = "text", add: float = 0.1, id_col: str = "doc_id", rounds: int = 5, prior: float = 30.0, damp: float = 0.45, rate: float = 0.6, head: int = 1 << 18) -> Model:
-    """Learn from all rows of ``docs``. Each of ``rounds`` steps takes the gradient of its own share of the texts, by the
-    hash of the id, so that all together take every text once, and copies of a text fall to different steps."""
-    texts = docs.select(F.col(text_col).cast("string").alias("text"), F.pmod(F.xxhash64(id_col), F.lit(rounds)).alias("step"))
+def train(docs: DataFrame, *, text_col: str = "text", words_col: str | None = None, add: float = 0.1, id_col: str = "doc_id", rounds: int = 5, prior: float = 30.0, damp: float = 0.45, rate: float = 0.6, head: int = 1 << 18) -> Model:
+    """Learn from all rows of ``docs``, texts or, with ``words_col``, ``numbered`` texts. Each of ``rounds`` steps takes
+    the gradient of its own share of the texts, by the hash of the id, so that all together take every text once, and
+    copies of a text fall to different steps."""
+    if words_col is None:
+        docs, words_col = numbered(docs, id_col, text_col=text_col), "words"
+    texts = docs.select(F.col(words_col).alias("words"), F.pmod(F.xxhash64(id_col), F.lit(rounds)).alias("step"))
     spark = docs.sparkSession
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexer, held, size = Lexer(), [], 0
+        held, size = [], 0
 
         def out() -> pa.RecordBatch:
-            h, o = (np.concatenate(x) for x in zip(*held))
-            h, at, n = np.unique(h, return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(o[at].astype(np.int64)), pa.array(n.astype(np.int64))], names=["word", "outcome", "n"])
+            w, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(outcomes(w)), pa.array(n.astype(np.int64))], names=["word", "outcome", "n"])
 
         for batch in batches:
-            for _, h, o, _ in _texts(batch, 0, lexer):
-                held.append((h, o))
-                size += len(h)
+            for _, w, _ in _texts(batch, 0):
+                held.append(w)
+                size += len(w)
                 if size > 2_000_000:
                     yield out()
                     held, size = [], 0
         if held:
             yield out()
 
-    counts = written(texts.mapInArrow(count, "word long, outcome long, n long").groupBy("word").agg(F.sum("n").alias("n"), F.min("outcome").alias("outcome")))
+    counts = written(texts.select("words").mapInArrow(count, "word long, outcome long, n long").groupBy("word").agg(F.sum("n").alias("n"), F.min("outcome").alias("outcome")))
     per = counts.groupBy("outcome").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
     tokens, distinct = np.zeros(CLASSES * MEMBERS), np.zeros(CLASSES * MEMBERS)
     for r in per:
@@ -228,11 +247,9 @@ def train(docs: DataFrame, *, text_col: str = "text", add: float = 0.1, id_col:
     best = most_frequent(counts, head).select("word", "n").toArrow().to_pandas().sort_values("word")
     shapes = [(ROWS1, CLASSES), (ROWS2, MEMBERS)]
 
-    def observe(batch: pa.RecordBatch, arrays: list[np.ndarray], lexer=[]) -> None:  # noqa: B006  one per worker
-        if not lexer:
-            lexer.append(Lexer())
-        for _, h, o, n in _texts(batch, 0, lexer[0]):
-            _observe(features(h, o, n), o, *arrays)
+    def observe(batch: pa.RecordBatch, arrays: list[np.ndarray]) -> None:
+        for _, w, n in _texts(batch, 0):
+            _observe(features(w, n), outcomes(w), *arrays)
 
     n1, n2 = per_partition(texts, observe, shapes)
     smooth = tokens.reshape(CLASSES, MEMBERS) + 1e-3
@@ -248,14 +265,12 @@ def train(docs: DataFrame, *, text_col: str = "text", add: float = 0.1, id_col:
     for c in range(CLASSES):
         np.add.at(row_class[:, c], _member_row(every, np.full(ROWS1, c)), n1[:, c])
     mixed = row_class @ p2 + 1e-9
-    weights.w2 = _start(n2, mixed / mixed.sum(1, keepdims=True), prior, damp)
+    weights = Weights(weights.w1, weights.b1, _start(n2, mixed / mixed.sum(1, keepdims=True), prior, damp), weights.b2)
 
-    def move(batch: pa.RecordBatch, arrays: list[np.ndarray], lexer=[]) -> None:  # noqa: B006
-        if not lexer:
-            lexer.append(Lexer())
+    def move(batch: pa.RecordBatch, arrays: list[np.ndarray]) -> None:
         now = shared.value
-        for _, h, o, n in _texts(batch, 0, lexer[0]):
-            rows = features(h, o, n)
+        for _, w, n in _texts(batch, 0):
+            rows, o = features(w, n), outcomes(w)
             _observe(rows, o, arrays[0], arrays[1])
             now.add_expected(rows, o, arrays[2], arrays[3])
 
@@ -264,32 +279,35 @@ def train(docs: DataFrame, *, text_col: str = "text", add: float = 0.1, id_col:
         o1, o2, e1, e2 = per_partition(texts.filter(F.col("step") == k), move, shapes * 2)
         step = rate / (1 + k)
         weights = Weights(
-            (weights.w1 + step * (o1 - e1) / (o1 + e1 + 5)).astype(np.float32), weights.b1,
-            (weights.w2 + step * (o2 - e2) / (o2 + e2 + 5)).astype(np.float32), weights.b2,
+            weights.w1 + step * (o1 - e1) / (o1 + e1 + 5), weights.b1,
+            weights.w2 + step * (o2 - e2) / (o2 + e2 + 5), weights.b2,
         )
     room = np.log10(tokens + add * (distinct + 1))
     return Model(weights, room, counts.select("word", "n"), (best["word"].to_numpy(np.int64), best["n"].to_numpy(np.int64)), int(tokens.sum()), int(distinct.sum()), add)
 
 
-def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` (log10 of the text)."""
+def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", words_col: str | None = None) -> DataFrame:
+    """Per row: id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` (log10 of the text).
+    ``words_col`` names ``numbered`` texts, which are read instead of ``text_col``."""
+    if words_col is None:
+        docs, words_col = numbered(docs, id_col, text_col=text_col), "words"
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.log_room, *model.head))
     kind, add = docs.schema[id_col].dataType.simpleString(), model.add
     schema = f"row long, id {kind}, n_tokens long, known long, by_count double, by_model double, rare array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, room, head, head_n = shared.value
-        lexer, at = Lexer(), TaskContext.get().partitionId() << 33
+        at = TaskContext.get().partitionId() << 33
         logs = np.log10(np.append(head_n, 0) + add)
         for batch in batches:
-            for part, h, o, n in _texts(batch, 1, lexer):
-                own = h.view(np.int64)
+            for part, w, n in _texts(batch, 1):
+                own, o = w.view(np.int64), outcomes(w)
                 place = np.searchsorted(head, own)
                 hit = (place < len(head)) & (np.append(head, 0)[np.minimum(place, len(head))] == own)
                 ends = np.cumsum(n)
                 start = ends - n
                 total = lambda x: np.add.reduceat(x, start)
-                by_model = total(weights.log_probability(features(h, o, n), o) / np.log(10) - room[o])
+                by_model = total(weights.log_probability(features(w, n), o) / np.log(10) - room[o])
                 by_count = total(np.where(hit, logs[np.where(hit, place, 0)], logs[-1]))
                 rare = own[~hit]
                 offsets = np.concatenate(([0], np.cumsum(total((~hit).astype(np.int64))))).astype(np.int32)
@@ -298,7 +316,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
                 arrays = [pa.array(rows), batch.column(0)[part.start : part.stop], pa.array(n), pa.array(total(hit.astype(np.int64))), pa.array(by_count), pa.array(by_model), pa.ListArray.from_arrays(pa.array(offsets), pa.array(rare))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["row", "id", "n_tokens", "known", "by_count", "by_model", "rare"])
 
-    scored = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema))
+    scored = written(docs.select(F.col(id_col).alias("id"), F.col(words_col).alias("words")).mapInArrow(run, schema))
     rare = scored.select("row", F.explode("rare").alias("word")).join(model.counts, "word")
     more = rare.groupBy("row").agg(F.count(F.lit(1)).alias("k"), F.sum(F.log10(F.col("n") + add) - F.log10(F.lit(add))).alias("s"))
     out = scored.drop("rare").join(more, "row", "left").fillna({"k": 0, "s": 0.0})

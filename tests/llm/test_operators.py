@@ -163,6 +163,17 @@ def test_quality_rules_against_brute_force(docs, texts):
         assert got[k]["base_failed"] == (len(w) < 10 or 100 * len(covered) > 20 * len(w))
 
 
+def test_word_numbers_do_not_depend_on_what_is_remembered(monkeypatch):
+    texts = [None, "", " ".join(f"w{k % 97}" for k in range(400)), "A b a", " ".join(f"x{k}." for k in range(90))]
+    whole = maxent.Lexer()
+    want = [whole.read(t) for t in texts]
+    monkeypatch.setattr(maxent.Lexer, "LIMIT", 60)
+    small = maxent.Lexer()
+    for t, w in zip(texts, want):
+        assert np.array_equal(small.read(t), w)
+    assert [len(w) for w in want] == [1, 1, 401, 4, 91] and want[3][0] == want[3][2] and len(set(want[2])) == 98
+
+
 def test_maxent_is_a_distribution_and_counts_are_exact(spark, docs, texts):
     model = maxent.train(docs, head=5)
     got = {r["doc_id"]: r for r in maxent.score(docs, model).collect()}
