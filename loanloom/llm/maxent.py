@@ -86,18 +86,18 @@ def outcomes(numbers: np.ndarray) -> np.ndarray:
     return (numbers % _U(CLASSES) * _U(MEMBERS) + numbers // _U(CLASSES) % _U(MEMBERS)).astype(np.int64)
 
 
-def numbered(docs: DataFrame, *keep: str, text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` and ``words``: the word numbers of the whole text, 8 bytes each, as a written table."""
+def numbered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rounds: int = 5) -> DataFrame:
+    """``id_col``, ``words`` (the word numbers of the whole text, 8 bytes each) and ``step`` (a share of the texts by the
+    hash of the id, of ``rounds``), as a table written in folders by ``step``: a gradient reads its own folder only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexer = Lexer()
         for batch in batches:
-            texts = batch.column(len(keep))
-            body = pa.array([lexer.read(t.as_py()).tobytes() for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], body], names=[*keep, "words"])
+            body = pa.array([lexer.read(t.as_py()).tobytes() for t in batch.column(2)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], body], names=[id_col, "step", "words"])
 
-    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-    return written(docs.select(*keep, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"{kinds}words binary"))
+    rows = docs.select(id_col, F.pmod(F.xxhash64(id_col), F.lit(rounds)).alias("step"), F.col(text_col).cast("string").alias("_text"))
+    return written(rows.mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, step long, words binary"), "step")
 
 
 def features(numbers: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
@@ -213,13 +213,11 @@ def _start(n: np.ndarray, share: np.ndarray, prior: float, damp: float) -> np.nd
     return (damp * np.log((n + prior * share) / ((total + prior) * share))).astype(np.float32)
 
 
-def train(docs: DataFrame, *, text_col: str = "text", words_col: str | None = None, add: float = 0.1, id_col: str = "doc_id", rounds: int = 5, prior: float = 30.0, damp: float = 0.45, rate: float = 0.6, head: int = 1 << 18) -> Model:
-    """Learn from all rows of ``docs``, texts or, with ``words_col``, ``numbered`` texts. Each of ``rounds`` steps takes
-    the gradient of its own share of the texts, by the hash of the id, so that all together take every text once, and
-    copies of a text fall to different steps."""
-    if words_col is None:
-        docs, words_col = numbered(docs, id_col, text_col=text_col), "words"
-    texts = docs.select(F.col(words_col).alias("words"), F.pmod(F.xxhash64(id_col), F.lit(rounds)).alias("step"))
+def train(docs: DataFrame, *, text_col: str = "text", read: bool = False, add: float = 0.1, id_col: str = "doc_id", rounds: int = 5, prior: float = 30.0, damp: float = 0.45, rate: float = 0.6, head: int = 1 << 18) -> Model:
+    """Learn from all rows of ``docs``, texts or, with ``read``, rows of ``numbered`` with the same ``rounds``. Each of
+    ``rounds`` steps takes the gradient of its own share of the texts, by the hash of the id, so that all together take
+    every text once, and copies of a text fall to different steps."""
+    texts = (docs if read else numbered(docs, id_col=id_col, text_col=text_col, rounds=rounds)).select("words", "step")
     spark = docs.sparkSession
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +249,7 @@ def train(docs: DataFrame, *, text_col: str = "text", words_col: str | None = No
         for _, w, n in _texts(batch, 0):
             _observe(features(w, n), outcomes(w), *arrays)
 
-    n1, n2 = per_partition(texts, observe, shapes)
+    n1, n2 = per_partition(texts.select("words"), observe, shapes)
     smooth = tokens.reshape(CLASSES, MEMBERS) + 1e-3
     p1 = smooth.sum(1) / smooth.sum()
     p2 = smooth / smooth.sum(1, keepdims=True)
@@ -276,7 +274,7 @@ def train(docs: DataFrame, *, text_col: str = "text", words_col: str | None = No
 
     for k in range(rounds):
         shared = spark.sparkContext.broadcast(weights)
-        o1, o2, e1, e2 = per_partition(texts.filter(F.col("step") == k), move, shapes * 2)
+        o1, o2, e1, e2 = per_partition(texts.filter(F.col("step") == k).select("words"), move, shapes * 2)
         step = rate / (1 + k)
         weights = Weights(
             weights.w1 + step * (o1 - e1) / (o1 + e1 + 5), weights.b1,
@@ -286,11 +284,10 @@ def train(docs: DataFrame, *, text_col: str = "text", words_col: str | None = No
     return Model(weights, room, counts.select("word", "n"), (best["word"].to_numpy(np.int64), best["n"].to_numpy(np.int64)), int(tokens.sum()), int(distinct.sum()), add)
 
 
-def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", words_col: str | None = None) -> DataFrame:
+def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", read: bool = False) -> DataFrame:
     """Per row: id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` (log10 of the text).
-    ``words_col`` names ``numbered`` texts, which are read instead of ``text_col``."""
-    if words_col is None:
-        docs, words_col = numbered(docs, id_col, text_col=text_col), "words"
+    With ``read``, ``docs`` are rows of ``numbered``, else texts."""
+    docs = docs if read else numbered(docs, id_col=id_col, text_col=text_col)
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.log_room, *model.head))
     kind, add = docs.schema[id_col].dataType.simpleString(), model.add
     schema = f"row long, id {kind}, n_tokens long, known long, by_count double, by_model double, rare array<long>"
@@ -316,7 +313,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
                 arrays = [pa.array(rows), batch.column(0)[part.start : part.stop], pa.array(n), pa.array(total(hit.astype(np.int64))), pa.array(by_count), pa.array(by_model), pa.ListArray.from_arrays(pa.array(offsets), pa.array(rare))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["row", "id", "n_tokens", "known", "by_count", "by_model", "rare"])
 
-    scored = written(docs.select(F.col(id_col).alias("id"), F.col(words_col).alias("words")).mapInArrow(run, schema))
+    scored = written(docs.select(F.col(id_col).alias("id"), "words").mapInArrow(run, schema))
     rare = scored.select("row", F.explode("rare").alias("word")).join(model.counts, "word")
     more = rare.groupBy("row").agg(F.count(F.lit(1)).alias("k"), F.sum(F.log10(F.col("n") + add) - F.log10(F.lit(add))).alias("s"))
     out = scored.drop("rare").join(more, "row", "left").fillna({"k": 0, "s": 0.0})

@@ -48,9 +48,9 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = maxent.numbered(table(spark, sf_dir, "documents"), "doc_id")
-    model = maxent.train(docs.filter(_fold(10) != 0), words_col="words")
-    out = maxent.score(docs, model, words_col="words")
+    docs = maxent.numbered(table(spark, sf_dir, "documents"))
+    model = maxent.train(docs.filter(_fold(10) != 0), read=True)
+    out = maxent.score(docs, model, read=True)
     return out.select("doc_id", (_fold(10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

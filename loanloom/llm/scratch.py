@@ -14,11 +14,12 @@ from ..functions.scratch import shared_dir
 _recorders: list[list[DataFrame]] = []
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table of the shared folder: computed once, read many times, safe when executors go."""
+def written(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` as a Parquet table of the shared folder, in folders by the columns ``by``: computed once, read many times,
+    safe when executors go."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.partitionBy(*by).option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     for tables in _recorders:
