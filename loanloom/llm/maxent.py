@@ -33,52 +33,28 @@ from pyspark.sql import functions as F
 
 from .dense_sums import per_partition
 from .scratch import written
-from .text import mix, most_frequent, words
+from .text import Memo, mix, most_frequent, word_hashes, words
 
 CLASSES, MEMBERS = 32, 32
 ROWS1, ROWS2 = 1 << 14, 1 << 15
 _PREVIOUS = 1 << 13
 _SKIP = ROWS1 - _PREVIOUS - CLASSES * CLASSES
-_CHUNK = 16384
+_CHUNK = 32768
 _PART = 1 << 17
 _MOST = 12.0
 END = b""
 _U = np.uint64
 
 
-class Lexer:
-    """Texts to arrays of word numbers; remembers a bounded number of words."""
+def number(word: bytes) -> int:
+    """Hash and class of a word."""
+    c = 0 if word == END else 1 + xxhash.xxh32_intdigest((word.rstrip(b".,;:!?") or word)[-3:]) % (CLASSES - 1)
+    return xxhash.xxh3_64_intdigest(word) // CLASSES * CLASSES + c
 
-    LIMIT = 300_000
 
-    def __init__(self):
-        self.reset()
-
-    def reset(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.number = np.zeros(self.LIMIT + 1, _U)
-        self._learn(END)
-
-    def _learn(self, word: bytes) -> int:
-        c = 0 if word == END else 1 + xxhash.xxh32_intdigest((word.rstrip(b".,;:!?") or word)[-3:]) % (CLASSES - 1)
-        k = self.index[word] = len(self.index)
-        self.number[k] = xxhash.xxh3_64_intdigest(word) // CLASSES * CLASSES + c
-        return k
-
-    def read(self, text: str | None) -> np.ndarray:
-        """Numbers of all tokens of a text, its end included."""
-        w = words(text)
-        out, room = [], self.LIMIT // 2
-        for k in range(0, len(w), room):
-            part = w[k : k + room]
-            new = set(part).difference(self.index)
-            if len(self.index) + len(new) > self.LIMIT:
-                self.reset()
-                new = set(part)
-            for x in new:
-                self._learn(x)
-            out.append(self.number[np.fromiter(map(self.index.__getitem__, part), np.int64, len(part))])
-        return np.concatenate([*out, self.number[:1]])
+def read_text(memo: Memo, text: str | None) -> np.ndarray:
+    """Numbers of all tokens of a text, its end included; ``memo`` remembers ``number``."""
+    return word_hashes(memo, [*words(text), END])
 
 
 def outcomes(numbers: np.ndarray) -> np.ndarray:
@@ -91,9 +67,9 @@ def numbered(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     hash of the id, of ``rounds``), as a table written in folders by ``step``: a gradient reads its own folder only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexer = Lexer()
+        memo = Memo(number)
         for batch in batches:
-            body = pa.array([lexer.read(t.as_py()).tobytes() for t in batch.column(2)], pa.binary())
+            body = pa.array([read_text(memo, t.as_py()).tobytes() for t in batch.column(2)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], body], names=[id_col, "step", "words"])
 
     rows = docs.select(id_col, F.pmod(F.xxhash64(id_col), F.lit(rounds)).alias("step"), F.col(text_col).cast("string").alias("_text"))
@@ -136,11 +112,24 @@ def _softmax(weights: np.ndarray, most: np.ndarray, bias: np.ndarray, bias_most:
     return of_own, e, e @ np.ones(e.shape[1], e.dtype)
 
 
+def _runs(p: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows: short ones row by row over all runs at once, long ones each as a product with ones."""
+    size = np.diff(np.append(first, len(p)))
+    out, place = np.take(p, first, axis=0), np.flatnonzero(size > 1)
+    for k in range(1, 8):
+        out[place] += np.take(p, first[place] + k, axis=0)
+        place = place[size[place] > k + 1]
+    ones = np.ones(size.max(initial=0), p.dtype)
+    for k in place.tolist():
+        out[k] = ones[: size[k]] @ p[first[k] : first[k] + size[k]]
+    return out
+
+
 def _add_rows(total: np.ndarray, at: np.ndarray, p: np.ndarray) -> None:
     order = np.argsort(at.astype(np.uint16), kind="stable")
     r = at[order]
     first = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
-    total[r[first]] += np.add.reduceat(np.take(p, order, axis=0), first, axis=0)
+    total[r[first]] += _runs(np.take(p, order, axis=0), first)
 
 
 @dataclass
@@ -173,6 +162,8 @@ class Weights:
         return out
 
     def add_expected(self, rows: list[np.ndarray], outcome: np.ndarray, e1: np.ndarray, e2: np.ndarray) -> None:
+        order = np.argsort(rows[0] * CLASSES + outcome // MEMBERS, kind="stable")  # so that a chunk has few different rows
+        rows, outcome = [r[order] for r in rows], outcome[order]
         for k, (_, own, (_, p, z)) in enumerate(self._parts(rows, outcome)):
             p *= (1 / z)[:, None]
             for r in own:

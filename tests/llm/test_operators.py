@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loanloom.llm import decontamination, graph, html_extract, jaccard_join, kneser_ney, language_id, maxent, packing, quality_rules, suffix_dedup, toxicity
 from loanloom.llm.suffix_array import permuted_lcp, suffix_array
+from loanloom.llm.text import Memo
 
 DOCS = "doc_id long, text string, lang string, _bucket string, id string"
 WORDS = [f"w{k}" for k in range(60)]
@@ -163,17 +164,31 @@ def test_quality_rules_against_brute_force(docs, texts):
         assert got[k]["base_failed"] == (len(w) < 10 or 100 * len(covered) > 20 * len(w))
 
 
-def test_word_numbers_do_not_depend_on_what_is_remembered(monkeypatch):
+def test_word_numbers_do_not_depend_on_what_is_remembered():
     texts = [None, "", " ".join(f"w{k % 97}" for k in range(400)), "A b a", " ".join(f"x{k}." for k in range(90))]
-    whole = maxent.Lexer()
-    want = [whole.read(t) for t in texts]
-    monkeypatch.setattr(maxent.Lexer, "LIMIT", 60)
-    small = maxent.Lexer()
+    whole, small = Memo(maxent.number), Memo(maxent.number, 60)
+    want = [maxent.read_text(whole, t) for t in texts]
     for t, w in zip(texts, want):
-        assert np.array_equal(small.read(t), w)
+        assert np.array_equal(maxent.read_text(small, t), w)
     assert [len(w) for w in want] == [1, 1, 401, 4, 91] and want[3][0] == want[3][2] and len(set(want[2])) == 98
 
 
+def test_sums_of_runs_and_bounded_softmax():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 7, 500):
+        at, p, got = rng.integers(0, 40, size) ** 2 % 37, rng.random((size, 32), np.float32), np.zeros((37, 32))
+        want = got.copy()
+        np.add.at(want, at, p)
+        maxent._add_rows(got, at, p)
+        assert np.allclose(got, want, rtol=1e-4)
+    w, b = (rng.random((50, 32)) * 24 - 12).astype(np.float32), np.log(rng.random(32) ** 30 + 1e-12).astype(np.float32)
+    rows = [rng.integers(0, 50, 300) for _ in range(3)]
+    s, e, z = maxent._softmax(w, w.max(1), b, b.max(), rows, np.arange(300) % 32)
+    exact = sum(w[r].astype(float) for r in rows) + b
+    exact -= np.log(np.exp(exact - exact.max(1)[:, None]).sum(1))[:, None] + exact.max(1)[:, None]
+    assert np.allclose(s - np.log(z), exact[np.arange(300), np.arange(300) % 32], atol=1e-3) and np.allclose(e / z[:, None], np.exp(exact), atol=1e-5)
+
+
 def test_maxent_is_a_distribution_and_counts_are_exact(spark, docs, texts):
     model = maxent.train(docs, head=5)
     got = {r["doc_id"]: r for r in maxent.score(docs, model).collect()}
