@@ -126,6 +126,8 @@ def _runs(p: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _add_rows(total: np.ndarray, at: np.ndarray, p: np.ndarray) -> None:
+    if not len(at):
+        return
     order = np.argsort(at.astype(np.uint16), kind="stable")
     r = at[order]
     first = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))

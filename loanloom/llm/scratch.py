@@ -70,6 +70,6 @@ def steady(df: DataFrame) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``checkpoint()`` for small tables of iterations; Spark removes its files with the plan."""
+    """``checkpoint()`` for small tables of iterations; its files stay unless Spark is set to clean checkpoints."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
