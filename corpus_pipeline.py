@@ -108,7 +108,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("repeated_strings", repeated_strings), ("benchmark_leaks", benchmark_leaks), ("packed", packed)]
 
-#: The stages are no SQL; the tests hold them against brute force.
+#: The stages are no SQL; the tests hold their operators against brute force, and the whole by counts and odd rows.
 ORACLE_SQL = None
 
 
