@@ -1,26 +1,33 @@
 """The loan-month table: lean projection, composition, run-off, weighted average life, net yield."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import double, level_pay_wal, ratio, total
+from .universe import month_sums, placed
+
+
+def lean_columns() -> dict[str, Column]:
+    """The numbers of a loan-month by their short names."""
+    rounded = lambda c, kind: F.round(double(c)).cast(kind)
+    return {
+        "credit_score": rounded("consumerCreditScore", "smallint"), "orig_term": rounded("originalLoanTerm", "smallint"),
+        "rem_term": rounded("remainingTermToMaturityNumber", "smallint"), "rate": double("reportingPeriodInterestRatePercentage"),
+        "orig_amount": F.col("originalLoanAmount"), "beg_balance": F.col("reportingPeriodBeginningLoanBalanceAmount"),
+        "end_balance": F.col("reportingPeriodActualEndBalanceAmount"), "interest": F.col("actualInterestCollectedAmount"),
+        "charge_off": F.col("chargedoffPrincipalAmount"), "recovered": F.col("recoveredAmount"),
+        "days_past_due": rounded("currentDelinquencyStatus", "int"), "months_delinquent": rounded("monthsDelinquent", "smallint"),
+    }
 
 
 def lean(loans: DataFrame, exits: DataFrame) -> DataFrame:
     """The loan-month columns; ``in_index`` is false from the trust's exit month on. ``exits``: securitizationKey, exited."""
-    rounded = lambda c, kind: F.round(double(c)).cast(kind)
     month = F.trunc("reportingPeriodBeginningDate", "MM")
     rows = loans.join(exits.select("securitizationKey", "exited"), "securitizationKey", "left")
     return rows.select(
         "securitizationKey", F.col("assetNumber").alias("asset_number"), month.alias("report_month"),
-        rounded("consumerCreditScore", "smallint").alias("credit_score"), rounded("originalLoanTerm", "smallint").alias("orig_term"),
-        rounded("remainingTermToMaturityNumber", "smallint").alias("rem_term"), double("reportingPeriodInterestRatePercentage").alias("rate"),
-        F.col("originalLoanAmount").alias("orig_amount"), F.col("reportingPeriodBeginningLoanBalanceAmount").alias("beg_balance"),
-        F.col("reportingPeriodActualEndBalanceAmount").alias("end_balance"), F.col("actualInterestCollectedAmount").alias("interest"),
-        F.col("chargedoffPrincipalAmount").alias("charge_off"), F.col("recoveredAmount").alias("recovered"),
-        rounded("currentDelinquencyStatus", "int").alias("days_past_due"), rounded("monthsDelinquent", "smallint").alias("months_delinquent"),
-        (F.col("exited").isNull() | (month < F.col("exited"))).alias("in_index"),
+        *(c.alias(n) for n, c in lean_columns().items()), (F.col("exited").isNull() | (month < F.col("exited"))).alias("in_index"),
     )
 
 
@@ -48,11 +55,14 @@ def composition(table: DataFrame) -> DataFrame:
     )
 
 
+def rate_bucket() -> Column:
+    return F.round(F.col("rate").cast("decimal(20,8)") * 200).cast("double") / 200
+
+
 def rate_buckets(table: DataFrame) -> DataFrame:
     """Balance by month, remaining term and rate to the nearest half percent."""
-    bucket = F.round(F.col("rate").cast("decimal(20,8)") * 200).cast("double") / 200
     rows = table.filter("in_index and end_balance > 0 and rem_term between 1 and 90 and rate >= 0")
-    return rows.groupBy("report_month", "rem_term", bucket.alias("rate_bucket")).agg(F.sum("end_balance").alias("balance"))
+    return rows.groupBy("report_month", "rem_term", rate_bucket().alias("rate_bucket")).agg(F.sum("end_balance").alias("balance"))
 
 
 def scheduled_wal(buckets: DataFrame) -> DataFrame:
@@ -78,10 +88,48 @@ def realized_wal(deals: DataFrame, rows: int = 6, least: float = 0.003) -> DataF
     return lives.groupBy("report_month").agg(ratio(F.sum(F.col("life") * double("end")), F.sum(double("end"))).alias("realized_wal"))
 
 
+def _report_parts() -> list[Column]:
+    """Sums over the loan-months of a deal and month from which the composition report is made. The scheduled life is a
+    function of the row, so its balance-weighted sum needs no groups by term and rate."""
+    live, end = F.col("end_balance") > 0, double("end_balance")
+    term = F.col("rem_term").between(1, 90)
+    ran = (F.col("end_balance") >= 0) & (F.col("beg_balance") > 0)
+    paid = live & term & (F.col("rate") >= 0)
+    parts = {"balance": (live, F.col("end_balance")), "beg": (ran, F.col("beg_balance")), "end": (ran, F.col("end_balance"))}
+    for name, (low, high) in {"credit_score": (300, 850), "orig_term": (1, 120), "rem_term": (1, 90)}.items():
+        known = live & F.col(name).between(low, high)
+        parts |= {f"{name}_sum": (known, double(name) * end), f"{name}_of": (known, end)}
+    parts |= {"life_sum": (paid, level_pay_wal(F.col("rem_term"), rate_bucket()) * end), "life_of": (paid, end)}
+    parts |= {"left_sum": (ran & term, double("rem_term") * end), "left_of": (ran & term, end)}
+    return [F.count_if(live).alias("n_loans"), *(F.sum(F.when(test, x)).alias(n) for n, (test, x) in parts.items())]
+
+
+def _report(deals: DataFrame, rows: int = 6, least: float = 0.003) -> DataFrame:
+    """The report from the parts by securitizationKey and report_month."""
+    # Months without a balance to run off count for no deal's speed.
+    w = Window.partitionBy("securitizationKey", F.col("beg").isNull()).orderBy("report_month").rowsBetween(1 - rows, 0)
+    speed = F.greatest(F.avg(1 - ratio("end", "beg")).over(w), F.lit(least))
+    life = F.least(1 / speed, F.coalesce(ratio("left_sum", "left_of"), F.lit(float("inf"))))
+    lives = deals.withColumn("life", F.when(F.col("end") > 0, life))
+    weight = F.when(F.col("end") > 0, double("end"))
+    mean = lambda n: ratio(F.sum(f"{n}_sum"), F.sum(f"{n}_of"))
+    out = lives.groupBy("report_month").agg(
+        F.sum("n_loans").alias("n_loans"), F.sum("balance").alias("balance"), mean("credit_score").alias("wa_fico"), mean("orig_term").alias("wa_orig_term"),
+        mean("rem_term").alias("wa_rem_term"), mean("life").alias("scheduled_wal"), ratio(F.sum(F.col("life") * weight), F.sum(weight)).alias("realized_wal"),
+    )
+    return out.filter("n_loans > 0").select("report_month", "n_loans", "balance", *(F.round(c, 2).alias(c) for c in ("wa_fico", "wa_orig_term", "wa_rem_term", "scheduled_wal", "realized_wal")))
+
+
 def composition_report(table: DataFrame) -> DataFrame:
-    """Composition with both lives, rounded for print."""
-    out = composition(table).join(scheduled_wal(rate_buckets(table)), "report_month", "left").join(realized_wal(run_off(table)), "report_month", "left")
-    return out.select("report_month", "n_loans", "balance", *(F.round(c, 2).alias(c) for c in ("wa_fico", "wa_orig_term", "wa_rem_term", "scheduled_wal", "realized_wal")))
+    """Composition with both lives, rounded for print, in one pass over the loan-month table."""
+    return _report(table.filter("in_index").groupBy("securitizationKey", "report_month").agg(*_report_parts()))
+
+
+def composition_report_of_loans(loans: DataFrame, **limits) -> DataFrame:
+    """The same from enriched loans, with the trusts' exit months, in one pass: a trust leaves by whole months, so that
+    months are dropped after summing. Rows without trust or month count nowhere."""
+    sums = month_sums(loans.withColumns(lean_columns()), *_report_parts())
+    return _report(placed(sums, **limits).filter("exited is null or month < exited").withColumnRenamed("month", "report_month"))
 
 
 def month_aggregate(table: DataFrame) -> DataFrame:

@@ -30,8 +30,7 @@ agg AS (SELECT month, count(DISTINCT sec) AS n_trusts, sum(interest) AS ic, sum(
 
 def _lean(spark, d):
     rows = loans(spark, d)
-    pools = universe.issuance(rows)
-    return lt.lean(rows, universe.exit_months(rows, pools))
+    return lt.lean(rows, universe.exits(rows))
 
 
 query("e19_lean_projection", LEAN + " SELECT sec AS \"securitizationKey\", month AS report_month, count(*) AS n, CAST(sum(fico) AS BIGINT) AS scores, CAST(sum(rem) AS BIGINT) AS rem, CAST(sum(md) AS BIGINT) AS md, count_if(in_index)::BIGINT AS inside FROM lean GROUP BY 1, 2")(
@@ -52,7 +51,7 @@ query("q5_run_off", BUCKETS + ' SELECT sec AS "securitizationKey", month AS repo
     lambda s, d: named(lt.run_off(_lean(s, d)), ["securitizationKey", "report_month"], ["beg", "end"], ["wa_rem"], 6))
 query("q6_realized_wal", BUCKETS + " SELECT month AS report_month, round(realized_wal, 6) AS realized_wal FROM real")(lambda s, d: named(lt.realized_wal(lt.run_off(_lean(s, d))), ["report_month"], [], ["realized_wal"], 6))
 query("q7_composition_report", BUCKETS + " SELECT month AS report_month, n_loans, balance, round(wa_fico, 2) AS wa_fico, round(wa_orig_term, 2) AS wa_orig_term, round(wa_rem_term, 2) AS wa_rem_term, round(scheduled_wal, 2) AS scheduled_wal, round(realized_wal, 2) AS realized_wal FROM comp LEFT JOIN sched USING (month) LEFT JOIN real USING (month)")(
-    lambda s, d: lt.composition_report(_lean(s, d)).withColumn("balance", F.col("balance").cast("bigint")))
+    lambda s, d: lt.composition_report_of_loans(loans(s, d)).withColumn("balance", F.col("balance").cast("bigint")))
 query("q8_month_aggregate", BUCKETS + " SELECT month AS report_month, n_trusts, CAST(ic AS BIGINT) AS interest_cash, round(ia, 0) AS interest_accrued, CAST(co AS BIGINT) AS charge_off, CAST(rec AS BIGINT) AS recovered, ab AS avg_balance, CAST(beg AS BIGINT) AS beg_balance FROM agg")(
     lambda s, d: named(lt.month_aggregate(_lean(s, d)), ["report_month", "n_trusts", "avg_balance"], ["interest_cash", "charge_off", "recovered", "beg_balance"], ["interest_accrued"], 0))
 _NY = """, ny AS (SELECT month, n_trusts, round(100 * (12 * CAST(ic AS DOUBLE) / ab), 3) AS gross_cash, round(100 * (ia / ab), 3) AS gross_accrued, round(100 * (12 * (CAST(co AS DOUBLE) - rec) / ab), 3) AS net_loss,

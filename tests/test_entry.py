@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 
 D = "/root/testdata/sf0.01"
-FEW = ["u6_universe", "m4_trust_ratios", "q3_level_pay_life", "c8_rates_rescaled", "e13_e14_due_amount", "v7_v8_missing_and_extra", "r4_r5_summary", "r2_r5_all_strata", "v21_error_report", "v22_numeric_profile", "f2_roc", "f2_area", "f1_trust_flags", "z6_component_index", "q13_method_difference", "x4_margin_calls", "le13_scores_and_tiers", "le15_implied_rates", "lc5_makers_and_models", "lc6_rates_and_fees", "s2_listed_filings_only"]
+FEW = ["u6_universe", "m4_trust_ratios", "q3_level_pay_life", "c8_rates_rescaled", "e13_e14_due_amount", "v7_v8_missing_and_extra", "r4_r5_summary", "r2_r5_all_strata", "v21_error_report", "v22_numeric_profile", "f2_roc", "f2_area", "f1_trust_flags", "z6_component_index", "q13_method_difference", "x4_margin_calls", "le13_scores_and_tiers", "le15_implied_rates", "lc5_makers_and_models", "lc6_rates_and_fees", "s2_listed_filings_only", "q1_composition", "q7_composition_report", "q8_month_aggregate", "e19_lean_projection"]
 
 
 def test_names():

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from loanloom.operators import metrics, universe, vetting
+from loanloom.operators import loantable, metrics, universe, vetting
 from loanloom.plans.report_queries import _vt
 from loanloom.plans.tape import floor_cents, loans
 from loanloom.sources import silver
@@ -17,7 +17,7 @@ def plan(spark, name):
     return entry.queries()[name](spark, D)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize(("name", "scans"), [("z8_build_index", 2), ("m4_trust_ratios", 2), ("v21_error_report", 3), ("f4_interaction_tables", 1), ("u6_universe", 2)])
+@pytest.mark.parametrize(("name", "scans"), [("z8_build_index", 2), ("m4_trust_ratios", 2), ("v21_error_report", 3), ("f4_interaction_tables", 1), ("u6_universe", 2), ("q7_composition_report", 1), ("q1_composition", 2), ("q8_month_aggregate", 2)])
 def test_scans(spark, name, scans):
     assert plan(spark, name).count("FileScan") <= scans
 
@@ -64,3 +64,24 @@ def test_vetting_in_one_pass_equals_its_parts(spark, tmp_path):
     for r in want.collect():
         assert {n: got[r[vetting.KEY]][n] for n in names} == {n: r[n] if r[n] is not None or n == "StartMonth" else 0 for n in names}
     assert len(got) == want.count()
+
+
+def test_composition_report_equals_its_parts(spark):
+    rows = loans(spark, D)
+    # Loans without a beginning balance, negative rates and long terms leave some of the sums.
+    k = F.xxhash64("assetNumber", "reportingPeriodBeginningDate") % 7
+    rows = rows.withColumns({
+        "reportingPeriodBeginningLoanBalanceAmount": F.when((k == 0) | F.col("securitizationKey").like("%2019%"), F.lit(0)).otherwise(F.col("reportingPeriodBeginningLoanBalanceAmount")),
+        "reportingPeriodInterestRatePercentage": F.when(k == 1, -0.1).otherwise(F.col("reportingPeriodInterestRatePercentage")),
+        "remainingTermToMaturityNumber": F.when(k == 2, 95).otherwise(F.col("remainingTermToMaturityNumber")),
+    })
+    table = loantable.lean(rows, universe.exit_months(rows, universe.issuance(rows)))
+    life, real = loantable.scheduled_wal(loantable.rate_buckets(table)), loantable.realized_wal(loantable.run_off(table))
+    want = loantable.composition(table).join(life, "report_month", "left").join(real, "report_month", "left").orderBy("report_month").collect()
+    assert len(want) > 50 and any(r["realized_wal"] for r in want)
+    for got in (loantable.composition_report(table), loantable.composition_report_of_loans(rows)):
+        got = got.orderBy("report_month").collect()
+        assert [tuple(r)[:3] for r in got] == [(r["report_month"], r["n_loans"], r["balance"]) for r in want]
+        for a, b in zip(got, want):
+            for c in ("wa_fico", "wa_orig_term", "wa_rem_term", "scheduled_wal", "realized_wal"):
+                assert (a[c] is None) == (b[c] is None) and (a[c] is None or abs(a[c] - b[c]) <= 0.0051), c
