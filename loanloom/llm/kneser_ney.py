@@ -274,35 +274,40 @@ def perplexity(docs: DataFrame, model: Model, *keep: str, text_col: str = "text"
                 place = np.searchsorted(word, h)
                 hit = (place < len(word)) & (np.append(word, _U(0))[np.minimum(place, len(word))] == h)
                 place[~hit] = len(word)
-                value = np.append(own, unknown)[place[ends]]
                 text = np.repeat(np.arange(len(tokens), dtype=np.uint16), tokens)
+                first = turn == 0  # only then are the arrays' values summed, and all n-grams looked up in them
+                value = np.append(own, unknown)[place[ends]] if first else None
                 asked = [(_key([h[ends[~hit[ends]]]], 1), text[~hit[ends]])]
                 for size in range(1, order):
-                    if size == 1:
-                        value += np.append(context, 0.0)[place[ends - 1]]
-                    else:
+                    if size > 1:
                         asked.append((_key([h[ends - k] for k in range(size, 0, -1)], -size), text))
-                    key = _key([h[ends - k] for k in range(size, -1, -1)], size + 1)
+                    elif first:
+                        value += np.append(context, 0.0)[place[ends - 1]]
+                    key, of = _key([h[ends - k] for k in range(size, -1, -1)], size + 1), text
+                    if not first:
+                        mine = key % _U(rounds) == _U(turn)
+                        key, of = key[mine], of[mine]
                     top, gain = head[size + 1]
                     there = np.searchsorted(top, key)
                     known = (there < len(top)) & (np.append(top, _U(0))[np.minimum(there, len(top))] == key)
-                    value[known] += gain[there[known]]
-                    asked.append((key[~known], text[~known]))
+                    if first:
+                        value[known] += gain[there[known]]
+                    asked.append((key[~known], of[~known]))
                 n = len(tokens)
                 rows = at + np.arange(n)
                 keeps = [c[part.start : part.stop] for c in batch.columns[:held]]
                 start = np.cumsum(tokens) - tokens
                 blank = pa.nulls(n, pa.binary())
-                if turn == 0:
+                if first:
                     yield pa.RecordBatch.from_arrays([pa.array(rows % shards), pa.array(np.ones(n, np.int32)), pa.array(np.full(n, at)), pa.array(rows), *keeps, pa.array(tokens), pa.array(np.add.reduceat(value, start)), blank, blank, blank], schema=wire)
                 key, of = (np.concatenate(x) for x in zip(*asked))
                 mine = key % _U(rounds) == _U(turn)
                 key, of = key[mine], of[mine]
-                by, number, shard, first = _by_shard(key, shards)
+                by, number, shard, edge = _by_shard(key, shards)
                 n = len(shard)
                 hi, low = (number >> _U(32)).astype(np.uint8), number.astype(np.uint32)
                 none = [pa.nulls(n, c.type) for c in batch.columns[:held]]
-                yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(np.full(n, 2, np.int32)), pa.array(np.full(n, at)), pa.nulls(n, pa.int64()), *none, pa.array(np.full(n, len(tokens))), pa.nulls(n, pa.float64()), *(_binary(x, first) for x in (hi, low, of[by]))], schema=wire)
+                yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(np.full(n, 2, np.int32)), pa.array(np.full(n, at)), pa.nulls(n, pa.int64()), *none, pa.array(np.full(n, len(tokens))), pa.nulls(n, pa.float64()), *(_binary(x, edge) for x in (hi, low, of[by]))], schema=wire)
                 at += len(tokens)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
