@@ -29,7 +29,8 @@ S = ' SELECT sec AS "securitizationKey", '
 
 
 def cents(c, name):
-    return F.round(F.sum(c) * 100).cast("bigint").alias(name)
+    """Whole cents of each row, summed as integers: a sum of doubles loses cents and depends on the order of its rows."""
+    return F.sum(F.round(F.col(c) * 100).cast("bigint")).alias(name)
 
 
 def _cleaned(s, d):

@@ -27,3 +27,10 @@ def test_tape_stores_loans_in_buckets_that_grow_in_number(spark, monkeypatch):
         con.execute(f"create view {t} as select * from '{D}/{t}.parquet'")
     want = con.execute(f"WITH {tp.tape_sql(True)} SELECT sec, asset, mi, beg, endb, co, rec, dpd FROM tape").fetchall()
     assert sorted(want) == sorted(tuple(r) for r in tape.select("sec", "asset", "mi", "beg", "endb", "co", "rec", "dpd").collect())
+
+
+def test_cents_are_exact_beyond_the_whole_numbers_of_doubles(spark):
+    from loanloom.plans.clean_queries import cents
+
+    rows = spark.createDataFrame([(40_000_000_000_000.25,), (40_000_000_000_000.25,), (40_000_000_000_000.25,), (0.01,), (0.02,), (None,)], "x double")
+    assert rows.agg(cents("x", "c")).collect()[0]["c"] == 12_000_000_000_000_078
