@@ -48,7 +48,7 @@ def keep_last(df: DataFrame, begin: str = "reportingPeriodBeginningDate", order:
 def translated(df: DataFrame, column: str, names: DataFrame, missing: str = "N/A") -> DataFrame:
     """``column`` through a dictionary of ``old`` and ``new``: the new name, else the old, else ``missing``."""
     pairs = names.select(F.col("old").alias(column), F.col("new").alias("_new"))
-    return df.join(pairs, column, "left").withColumn(column, F.coalesce("_new", column, F.lit(missing))).drop("_new")
+    return df.join(F.broadcast(pairs), column, "left").withColumn(column, F.coalesce("_new", column, F.lit(missing))).drop("_new")
 
 
 def rate_statistics(df: DataFrame, rates: list[str]) -> DataFrame:
@@ -59,7 +59,7 @@ def rate_statistics(df: DataFrame, rates: list[str]) -> DataFrame:
 
 def rescaled(df: DataFrame, rates: list[str], share: float = 0.4, most: float = 5.0) -> DataFrame:
     """Rates in percent become fractions where a trust mostly reports percent; what is still above 1 goes."""
-    out = df.join(rate_statistics(df, rates), "securitizationKey", "left")
+    out = df.join(F.broadcast(rate_statistics(df, rates)), "securitizationKey", "left")  # a row for each trust
     new = {}
     for c in rates:
         x, big = F.col(c), F.coalesce(F.col(f"{c}_max") > most, F.lit(False))

@@ -33,7 +33,7 @@ def balances(df: DataFrame, sens: float = SENS) -> DataFrame:
 def trust_dates(df: DataFrame, begin: str = "reportingPeriodBeginningDate", end: str = "reportingPeriodEndingDate") -> DataFrame:
     """``summaryDate`` (1 in the trust's last period) and ``monthsFromCutoffDate``, by a grouped minimum and maximum."""
     spans = df.groupBy("securitizationKey").agg(F.max(end).alias("_last"), F.min(begin).alias("_first"))
-    out = df.join(spans, "securitizationKey", "left")
+    out = df.join(F.broadcast(spans), "securitizationKey", "left")  # a row for each trust
     return out.withColumns({"summaryDate": (F.col(end) == F.col("_last")).cast("int"), "monthsFromCutoffDate": month_number(begin) - month_number("_first")}).drop("_last", "_first")
 
 
@@ -94,7 +94,7 @@ def net_losses(df: DataFrame, loss: str = CO, back: str = REC) -> DataFrame:
 
 def regions(df: DataFrame, states: DataFrame, column: str = "obligorGeographicLocation") -> DataFrame:
     """``region`` of the state; ``states``: state, region."""
-    return df.join(states.select(F.col("state").alias(column), "region"), column, "left")
+    return df.join(F.broadcast(states.select(F.col("state").alias(column), "region")), column, "left")
 
 
 def enrich(df: DataFrame, states: DataFrame | None = None) -> DataFrame:

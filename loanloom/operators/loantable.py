@@ -24,7 +24,7 @@ def lean_columns() -> dict[str, Column]:
 def lean(loans: DataFrame, exits: DataFrame) -> DataFrame:
     """The loan-month columns; ``in_index`` is false from the trust's exit month on. ``exits``: securitizationKey, exited."""
     month = F.trunc("reportingPeriodBeginningDate", "MM")
-    rows = loans.join(exits.select("securitizationKey", "exited"), "securitizationKey", "left")
+    rows = loans.join(F.broadcast(exits.select("securitizationKey", "exited")), "securitizationKey", "left")  # a row for each trust
     return rows.select(
         "securitizationKey", F.col("assetNumber").alias("asset_number"), month.alias("report_month"),
         *(c.alias(n) for n, c in lean_columns().items()), (F.col("exited").isNull() | (month < F.col("exited"))).alias("in_index"),

@@ -49,7 +49,7 @@ def row_counters(df: DataFrame, kind: str = "loan", sens: float = 0.001) -> Data
 
 def opening_balance(df: DataFrame) -> DataFrame:
     first = df.groupBy(KEY).agg(F.min(BEGIN).alias("_first"))
-    return df.join(first, KEY).filter(F.col(BEGIN) == F.col("_first")).groupBy(KEY).agg(F.sum(B).alias("OpenBal"))
+    return df.join(F.broadcast(first), KEY).filter(F.col(BEGIN) == F.col("_first")).groupBy(KEY).agg(F.sum(B).alias("OpenBal"))
 
 
 def walks(df: DataFrame) -> DataFrame:

@@ -36,23 +36,21 @@ def raw_tape(spark, d, duplicates: bool = True) -> DataFrame:
     """Text columns as a filing has them; a second, later filing restates some loan months by a cent."""
     rows = raw_rows(spark, d)
     money = lambda c: F.expr(_MONEY.format(c)).cast("string")
-    first = rows.select(
+    # a loan month's first filing and, of some, its restatement, beside each other: copies are made without another pass or move
+    rows = rows.withColumn("again", F.explode(F.when(F.col("k") % 17 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))) if duplicates else F.lit(0))
+    return rows.select(
         F.col("sec").alias("securitizationKey"), F.col("asset").alias("assetNumber"),
         F.when(F.col("i") % 2 == 0, F.date_format("month", "M-d-yyyy")).otherwise(F.date_format("month", "MM-dd-yyyy")).alias("reportingPeriodBeginningDate"),
         F.date_format(F.last_day("month"), "MM-dd-yyyy").alias("reportingPeriodEndingDate"), F.date_format("orig_month", "MM/yyyy").alias("originationDate"),
-        F.when(F.col("k") % 61 == 0, F.lit(None)).otherwise(money("beg")).alias("reportingPeriodBeginningLoanBalanceAmount"), money("endb").alias("reportingPeriodActualEndBalanceAmount"),
+        F.when(F.col("k") % 61 == 0, F.lit(None)).otherwise(money("beg")).alias("reportingPeriodBeginningLoanBalanceAmount"), money("endb + again").alias("reportingPeriodActualEndBalanceAmount"),
         money("prin").alias("actualPrincipalCollectedAmount"), money("raw_co").alias("chargedoffPrincipalAmount"), money("raw_rec").alias("recoveredAmount"), money("repo").alias("repossessedProceedsAmount"),
         money("interest").alias("actualInterestCollectedAmount"), money("sched_prin").alias("scheduledPrincipalAmount"), money("interest").alias("scheduledInterestAmount"), money("sched_prin + interest").alias("nextReportingPeriodPaymentAmountDue"),
         money("orig").alias("originalLoanAmount"), money("veh_value").alias("vehicleValueAmount"), F.col("term").cast("string").alias("originalLoanTerm"), F.expr("term - age").cast("string").alias("remainingTermToMaturityNumber"),
         F.when(F.col("k") % 101 == 0, F.lit("NONE")).otherwise(F.col("fico").cast("string")).alias("obligorCreditScore"), F.col("score_type").alias("obligorCreditScoreType"),
         F.expr(COLS["rate_text"]).cast("string").alias("reportingPeriodInterestRatePercentage"), F.expr(COLS["fee"]).cast("string").alias("servicingFeePercentage"),
         F.col("dpd").cast("string").alias("currentDelinquencyStatus"), F.col("state").alias("obligorGeographicLocation"), F.concat(F.lit("Brand#"), (F.col("k") % 10).cast("string")).alias("vehicleManufacturerName"),
-        F.add_months("month", 1).alias("reportDate"), F.col("k").alias("_k"), F.col("month").alias("_month"),
+        F.add_months("month", F.col("again") + 1).alias("reportDate"),
     )
-    if not duplicates:
-        return first.drop("_k", "_month")
-    again = first.filter("_k % 17 = 0").withColumn("reportingPeriodActualEndBalanceAmount", (F.col("reportingPeriodActualEndBalanceAmount").cast("decimal(20,2)") + F.lit("0.01").cast("decimal(20,2)")).cast("string")).withColumn("reportDate", F.add_months("reportDate", 1))
-    return first.unionByName(again).drop("_k", "_month")
 
 
 def manufacturers(spark) -> DataFrame:

@@ -34,3 +34,12 @@ def test_cents_are_exact_beyond_the_whole_numbers_of_doubles(spark):
 
     rows = spark.createDataFrame([(40_000_000_000_000.25,), (40_000_000_000_000.25,), (40_000_000_000_000.25,), (0.01,), (0.02,), (None,)], "x double")
     assert rows.agg(cents("x", "c")).collect()[0]["c"] == 12_000_000_000_000_078
+
+
+@pytest.mark.parametrize("name", ["c8_rates_rescaled", "e4_principal_tie_out", "e12_months_delinquent", "e17_net_losses", "le2_le13_enriched_leases", "le15_implied_rates", "u7_apply_universe"])
+def test_loan_rows_stay_where_they_are(spark, name):
+    import __spark_entry__ as entry
+
+    text = plan(entry.queries()[name](spark, D))
+    assert not [m for m in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text) if re.search("asset|Manufacturer|Location|Term", m)]
+    assert "SortMergeJoin" not in text
