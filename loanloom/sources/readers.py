@@ -10,6 +10,8 @@ from ..operators.compare import label_quarter
 from .schemas import raw_schema
 from .versioned import Versioned
 
+#: Rows of a written filing at most: a compressed file is read by one task.
+FILING_ROWS = 1_000_000
 LISTING = "secname string, filename string, entitytype string, assetclass string, reportdate string, url string"
 
 
@@ -52,7 +54,7 @@ def read_tapes(spark: SparkSession, listing: DataFrame, folder: str, entity: str
     are left to ``quarantine``."""
     wanted = _wanted(listing, entity, assets)
     rows = _filed(spark, wanted, folder, kind, keep).filter("_corrupt is null").drop("_corrupt")
-    return typed(rows, kind).join(wanted, "filename")
+    return typed(rows, kind).join(F.broadcast(wanted), "filename")  # names of files, as in ``listed_paths``
 
 
 def quarantine(spark: SparkSession, listing: DataFrame, folder: str, entity: str, assets: str, kind: str = "loan") -> DataFrame:
@@ -108,8 +110,8 @@ def merge(table: Versioned, new: DataFrame, keys: list[str]) -> int:
 
 
 def write_tape(rows: DataFrame, path: str, mode: str = "error") -> None:
-    """Asset rows as XML filings, as ``read_tape`` reads them."""
-    rows.write.mode(mode).format("xml").option("rootTag", "assetData").option("rowTag", "assets").option("dateFormat", "MM-dd-yyyy").save(path)
+    """Asset rows as XML filings, as ``read_tape`` reads them, compressed: element names are most of their bytes."""
+    rows.write.mode(mode).format("xml").option("compression", "gzip").option("maxRecordsPerFile", FILING_ROWS).option("rootTag", "assetData").option("rowTag", "assets").option("dateFormat", "MM-dd-yyyy").save(path)
 
 
 def write_csvs(frames: dict[str, DataFrame], path: str) -> None:

@@ -43,3 +43,24 @@ def test_loan_rows_stay_where_they_are(spark, name):
     text = plan(entry.queries()[name](spark, D))
     assert not [m for m in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text) if re.search("asset|Manufacturer|Location|Term", m)]
     assert "SortMergeJoin" not in text
+
+
+def test_written_filings_are_compressed_and_bounded(spark, monkeypatch, tmp_path):
+    from loanloom.sources import readers
+
+    monkeypatch.setattr(readers, "FILING_ROWS", 10)
+    readers.write_tape(spark.range(30).coalesce(1).select(F.col("id").cast("string").alias("assetNumber")), str(tmp_path / "x"))
+    files = [f.name for f in (tmp_path / "x").glob("part-*")]
+    assert len(files) == 3 and all(f.endswith(".xml.gz") for f in files)
+    assert sorted(int(r[0]) for r in readers.read_tape(spark, str(tmp_path / "x"), keep=["assetNumber"]).collect()) == list(range(30))
+
+
+def test_state_and_gold_store_no_whole_tape(spark, monkeypatch, tmp_path):
+    from loanloom.plans import source_queries as sq
+
+    monkeypatch.setattr(sq, "_folder", lambda s: str(tmp_path / "z9"))
+    sq._stored(spark, D)
+    assert [f.name for f in (tmp_path / "z9").iterdir()] == ["state"]
+    monkeypatch.setattr(sq, "_folder", lambda s: str(tmp_path / "t4"))
+    sq._gold(spark, D)
+    assert set(spark.read.parquet(str(tmp_path / "t4" / "loans" / "data")).columns) == {*sq.GOLD, "folder"}
