@@ -107,7 +107,7 @@ def loan_amount(df: DataFrame) -> DataFrame:
 
 def implied_rates(df: DataFrame, steps: int = 40) -> DataFrame:
     """Annual rate that makes payments and residual worth the cost, paid at the start of months; null where Newton's
-    steps do not settle. It is solved once for a lease (again where its terms change), on the first of its rows, which stay
+    steps do not settle. It is solved once for a lease (again where its terms change), on one of its rows, which stay
     where they are."""
     keys = [TERM, PAY, "acquisitionCost", "contractResidualValue"]
     n, pay, cost, rest = (double(c) for c in keys)
@@ -121,8 +121,8 @@ def implied_rates(df: DataFrame, steps: int = 40) -> DataFrame:
         slope = (value(r + h) - value(r - h)) / (2 * h)
         return F.least(F.greatest(r - value(r) / F.nullif(slope, F.lit(0.0)), F.lit(-0.5)), F.lit(1.0))
 
-    w = Window.partitionBy(KEY, ASSET, *keys)
-    out = df.withColumn("_row", F.row_number().over(w.orderBy(BEGIN)))
+    w = Window.partitionBy(*(c for c in (KEY, ASSET) if c in df.columns), *keys)
+    out = df.withColumn("_row", F.row_number().over(w.orderBy(TERM)))  # any row: the terms are the same
     solved = F.when(F.col("_row") == 1, F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(0.005), step))
     out = out.withColumn("_r", F.max(solved).over(w))
     rate = F.when(F.abs(value(F.col("_r"))) < 0.01, 12 * F.greatest(F.col("_r"), F.lit(0.0)))
