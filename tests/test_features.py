@@ -1,6 +1,7 @@
 """Regressor flags, buckets and interaction tables: rules on small rows, and queries against their SQL twins."""
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from loanloom.operators import features
@@ -54,3 +55,18 @@ def test_top_fields_and_their_tables(spark):
         for x, y in ("ab", "ad", "ac", "bd", "bc", "dc"):
             want.setdefault((x, y, values[x], values[y]), []).append(float(r[4] in (2, 3, 4, 5)))
     assert {tuple(r)[:4]: (pytest.approx(r["bad_share"]), r["n"]) for r in got} == {k: (sum(v) / len(v), len(v)) for k, v in want.items()}
+
+
+def test_forest_is_fitted_on_counted_patterns(spark, monkeypatch):
+    """Rows with the same columns are one row with a count, so that nothing of the size of rows times trees is kept."""
+    kept = []
+    monkeypatch.setattr(features, "stored", lambda df: kept.append(df.localCheckpoint()) or kept[-1])
+    rows = spark.range(6000).selectExpr(
+        "'t' securitizationKey", "cast(id as string) assetNumber", "cast(id % 3 as double) kind", "cast(xxhash64(id) % 1000 as double) noise",
+        "case when id % 3 = 1 and xxhash64(id, 1) % 10 < 8 then 2 when id = 5 then null else 0 end monthsDelinquent")
+    found, area = features.importances(rows, ["kind", "noise"], trees=4)
+    (patterns,) = kept
+    assert patterns.agg(F.sum("n")).first()[0] == 6000 and patterns.count() <= 3 * 32 * 2 * 2
+    assert found.first()["feature"] == "kind" and found.first()["importance"] > 0.9 and area > 0.85
+    taken = features._drawn(patterns.filter("not held"), 0, 7).agg(F.sum("taken"), F.sum("n")).first()
+    assert 4500 < taken[0] < 5100  # as many rows as there are, by chance
