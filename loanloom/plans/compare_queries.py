@@ -46,8 +46,8 @@ def _marks(s, d):
     return settled(_index(s, d)).select("month", F.round(100 + 25 * F.col("stress_index_zavg"), 4).alias("level"), F.round(100 * F.col("net_loss_annl"), 6).alias("net_loss"))
 
 
-def _paths(s, d):
-    marks = _marks(s, d)
+def _paths(s, d, marks=None):
+    marks = _marks(s, d) if marks is None else marks
     first = marks.agg(F.min("month").alias("m0"))
     ids = tape(s, d).select(F.col("k").alias("position")).distinct().join(first)
     at = lambda e: F.add_months("m0", F.expr(e).cast("int"))
@@ -69,7 +69,7 @@ query("x4_margin_calls", _CALLS)(lambda s, d: named(book.margin_calls(_pf(s, d))
 query("x5_liquidations", _P + ", lq AS (SELECT position, min(CASE WHEN 20000 + pnl < 10000 THEN month END) AS liquidated, max(month) AS fin FROM pf GROUP BY 1) SELECT position, liquidated, round(greatest(20000 + pnl, 0), 4) AS payout FROM pf JOIN lq USING (position) WHERE month = coalesce(liquidated, fin)")(
     lambda s, d: named(book.liquidations(_pf(s, d)), ["position", "liquidated"], [], ["payout"], 4))
 query("x6_hedge", _P + " SELECT position, month, round(sum(-1e6 * net_loss / 12 / 100) OVER (PARTITION BY position ORDER BY month) + 0.5 * 1e6 * (level / p0 - 1), 3) AS net FROM pr")(
-    lambda s, d: named(book.hedge(_paths(s, d), _marks(s, d).select("month", "net_loss"), 1e6, 0.5), ["position", "month"], [], ["net"], 3))
+    lambda s, d: (lambda marks: named(book.hedge(_paths(s, d, marks), marks.select("month", "net_loss"), 1e6, 0.5), ["position", "month"], [], ["net"], 3))(_marks(s, d)))
 
 query("f1_regressor_profile", TAPE + ", c AS (SELECT state AS v, count(*) AS n FROM tape GROUP BY 1) SELECT 'obligorGeographicLocation' AS field, CAST(sum(n) AS BIGINT) AS rows, arg_max(v, n) AS top, round(max(n) / sum(n), 8) AS top_share FROM c")(
     lambda s, d: features.profile(loans(s, d), ["obligorGeographicLocation"]).select("field", "rows", "top", r8("top_share").alias("top_share")))

@@ -8,7 +8,14 @@ from .registry import TAPE
 from .tape import tape
 
 # one text for both engines; money in dollars with two decimals, rates in percent for even nations
-_MONEY = "CAST(CAST({0} AS DECIMAL(20, 2)) / 100 AS DECIMAL(20, 2))"
+_MONEY = "concat(CASE WHEN ({0}) < 0 THEN '-' ELSE '' END, CAST(abs({0}) div 100 AS STRING), '.', substr(CAST(100 + abs({0}) % 100 AS STRING), 2))"
+# texts are put together from whole numbers: decimals and date formats took most of the time of a loan month
+_MM, _YYYY = "substr(CAST(100 + mi % 12 + 1 AS STRING), 2)", "CAST(mi div 12 AS STRING)"
+_DATES = {
+    "begin": f"CASE WHEN i % 2 = 0 THEN concat(CAST(mi % 12 + 1 AS STRING), '-1-', {_YYYY}) ELSE concat({_MM}, '-01-', {_YYYY}) END",
+    "end": f"concat({_MM}, '-', CAST(day(last_day(month)) AS STRING), '-', {_YYYY})",
+    "orig": "concat(substr(CAST(100 + om % 12 + 1 AS STRING), 2), '/', CAST(om div 12 AS STRING))",
+}
 _STATES = [("CA", "West"), ("TX", "South"), ("FL", "South"), ("OH", "Midwest"), ("NJ", "Northeast")]
 BASE = f"""SELECT t.*, CASE WHEN co > 0 AND k % 14 = 0 THEN 0 WHEN co > 0 AND k % 21 = 0 THEN beg - co2 - repo ELSE rec END AS raw_rec,
   CASE WHEN co > 0 AND k % 14 = 0 THEN co WHEN co > 0 AND k % 21 = 0 THEN co2 ELSE co END AS raw_co FROM (
@@ -35,13 +42,12 @@ def raw_rows(spark, d) -> DataFrame:
 def raw_tape(spark, d, duplicates: bool = True) -> DataFrame:
     """Text columns as a filing has them; a second, later filing restates some loan months by a cent."""
     rows = raw_rows(spark, d)
-    money = lambda c: F.expr(_MONEY.format(c)).cast("string")
+    money = lambda c: F.expr(_MONEY.format(c))
     # a loan month's first filing and, of some, its restatement, beside each other: copies are made without another pass or move
     rows = rows.withColumn("again", F.explode(F.when(F.col("k") % 17 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))) if duplicates else F.lit(0))
     return rows.select(
         F.col("sec").alias("securitizationKey"), F.col("asset").alias("assetNumber"),
-        F.when(F.col("i") % 2 == 0, F.date_format("month", "M-d-yyyy")).otherwise(F.date_format("month", "MM-dd-yyyy")).alias("reportingPeriodBeginningDate"),
-        F.date_format(F.last_day("month"), "MM-dd-yyyy").alias("reportingPeriodEndingDate"), F.date_format("orig_month", "MM/yyyy").alias("originationDate"),
+        F.expr(_DATES["begin"]).alias("reportingPeriodBeginningDate"), F.expr(_DATES["end"]).alias("reportingPeriodEndingDate"), F.expr(_DATES["orig"]).alias("originationDate"),
         F.when(F.col("k") % 61 == 0, F.lit(None)).otherwise(money("beg")).alias("reportingPeriodBeginningLoanBalanceAmount"), money("endb + again").alias("reportingPeriodActualEndBalanceAmount"),
         money("prin").alias("actualPrincipalCollectedAmount"), money("raw_co").alias("chargedoffPrincipalAmount"), money("raw_rec").alias("recoveredAmount"), money("repo").alias("repossessedProceedsAmount"),
         money("interest").alias("actualInterestCollectedAmount"), money("sched_prin").alias("scheduledPrincipalAmount"), money("interest").alias("scheduledInterestAmount"), money("sched_prin + interest").alias("nextReportingPeriodPaymentAmountDue"),

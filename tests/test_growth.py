@@ -64,3 +64,25 @@ def test_state_and_gold_store_no_whole_tape(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(sq, "_folder", lambda s: str(tmp_path / "t4"))
     sq._gold(spark, D)
     assert set(spark.read.parquet(str(tmp_path / "t4" / "loans" / "data")).columns) == {*sq.GOLD, "folder"}
+
+
+def test_hedge_makes_the_index_once(spark, monkeypatch):
+    import __spark_entry__ as entry
+    from loanloom.plans import compare_queries as cq
+
+    made, plain = [], cq._index
+    monkeypatch.setattr(cq, "_index", lambda *a, **k: made.append(1) or plain(*a, **k))
+    assert entry.queries()["x6_hedge"](spark, D).columns == ["position", "month", "net"] and len(made) == 1
+
+
+def test_raw_texts_are_those_of_decimals_and_dates_but_made_from_whole_numbers(spark):
+    from loanloom.plans import raw
+
+    rows = spark.sql("SELECT c, c AS i, 24244 + c AS mi, 24200 + c AS om, make_date(CAST((24244 + c) div 12 AS INT), CAST((24244 + c) % 12 + 1 AS INT), 1) AS month, make_date(CAST((24200 + c) div 12 AS INT), CAST((24200 + c) % 12 + 1 AS INT), 1) AS orig_month FROM (SELECT id - 130 AS c FROM range(260))")
+    money = spark.sql("SELECT id - 130 AS c FROM range(260) UNION ALL SELECT 123456789012 UNION ALL SELECT CAST(NULL AS BIGINT)")
+    want = F.expr("CAST(CAST(CAST(c AS DECIMAL(20, 2)) / 100 AS DECIMAL(20, 2)) AS STRING)")
+    assert money.filter(~F.expr(raw._MONEY.format("c")).eqNullSafe(want)).count() == 0
+    dates = {"begin": F.when(F.col("i") % 2 == 0, F.date_format("month", "M-d-yyyy")).otherwise(F.date_format("month", "MM-dd-yyyy")), "end": F.date_format(F.last_day("month"), "MM-dd-yyyy"), "orig": F.date_format("orig_month", "MM/yyyy")}
+    for name, text in dates.items():
+        assert rows.filter(~F.expr(raw._DATES[name]).eqNullSafe(text)).count() == 0
+    assert "date_format" not in plan(raw.raw_tape(spark, D)).lower() and "/ 100" not in plan(raw.raw_tape(spark, D).select("recoveredAmount"))
