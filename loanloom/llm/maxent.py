@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .dense_sums import per_partition
-from .scratch import written
+from .scratch import release, written
 from .text import Memo, mix, most_frequent, word_hashes, words
 
 CLASSES, MEMBERS = 32, 32
@@ -242,7 +242,9 @@ def train(docs: DataFrame, *, text_col: str = "text", read: bool = False, add: f
         for _, w, n in _texts(batch, 0):
             _observe(features(w, n), outcomes(w), *arrays)
 
+    release(spark)  # the sums of a step are of one size for a partition, however few texts it has: none are kept beside the next ones
     n1, n2 = per_partition(texts.select("words"), observe, shapes)
+    release(spark)
     smooth = tokens.reshape(CLASSES, MEMBERS) + 1e-3
     p1 = smooth.sum(1) / smooth.sum()
     p2 = smooth / smooth.sum(1, keepdims=True)
@@ -268,6 +270,8 @@ def train(docs: DataFrame, *, text_col: str = "text", read: bool = False, add: f
     for k in range(rounds):
         shared = spark.sparkContext.broadcast(weights)
         o1, o2, e1, e2 = per_partition(texts.filter(F.col("step") == k).select("words"), move, shapes * 2)
+        shared.destroy()
+        release(spark)
         step = rate / (1 + k)
         weights = Weights(
             weights.w1 + step * (o1 - e1) / (o1 + e1 + 5), weights.b1,
