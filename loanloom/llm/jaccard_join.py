@@ -222,6 +222,7 @@ def _linked(docs: DataFrame, width: int, t: Fraction) -> tuple[DataFrame, DataFr
     """Documents with their sets' hashes, classes of equal sets, and the components of linked classes."""
     spark, numerator, denominator = docs.sparkSession, t.numerator, t.denominator
     order = spark.sparkContext.broadcast(frequencies(docs, width))
+    release(spark)
     profile = written(profiles(docs, order, width, t))
     light = written(profile.drop("prefix"))
     classes = light.filter("n > 0 and doc_id is not null").groupBy("n", "k1", "k2", "pk").agg(F.min("doc_id").alias("cls"))
@@ -232,7 +233,8 @@ def _linked(docs: DataFrame, width: int, t: Fraction) -> tuple[DataFrame, DataFr
     # the prefix index of groups, each under a number; only shingles of two groups or more can give pairs
     number = F.col("pk").alias("g")
     index = profile.filter("n > 0 and doc_id is not null").select(F.explode("prefix").alias("tok"), number)
-    shared = index.groupBy("tok").agg(F.min("g").alias("p"), F.max("g").alias("q")).filter("p < q").drop("q")
+    shared = written(index.groupBy("tok").agg(F.min("g").alias("p"), F.max("g").alias("q")).filter("p < q").drop("q"))
+    release(spark)  # all prefixes were moved for it, and are moved again to be joined: not both at once
     index = index.join(shared, "tok").distinct()
     gids = groups.select(number, "gid")
     # classes of one group meet under all shingles of their prefix
