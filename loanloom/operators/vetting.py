@@ -68,17 +68,18 @@ def missing_months(df: DataFrame) -> DataFrame:
 
 
 def appearances(df: DataFrame, sens: float = 0.001) -> DataFrame:
-    """``Missing``: assets with a balance that the trust's next observed month lacks; ``Extra``: assets in it that had none."""
-    months = df.select(KEY, BEGIN).distinct()
-    w = Window.partitionBy(KEY).orderBy(BEGIN)  # one row per trust and month
-    months = months.withColumn("next", F.lead(BEGIN).over(w))
-    open_ = df.filter(F.abs(double(E)) > sens).select(KEY, ASSET, BEGIN).distinct()
-    here = df.select(KEY, ASSET, BEGIN).distinct()
-    due = open_.join(months.filter("next is not null"), [KEY, BEGIN]).select(KEY, ASSET, F.col("next").alias(BEGIN))
-    missing = due.join(here, [KEY, ASSET, BEGIN], "left_anti").groupBy(KEY).agg(F.count(F.lit(1)).alias("Missing"))
-    later = months.select(KEY, F.col("next").alias(BEGIN)).filter(F.col(BEGIN).isNotNull())
-    extra = here.join(later, [KEY, BEGIN]).join(due, [KEY, ASSET, BEGIN], "left_anti").groupBy(KEY).agg(F.count(F.lit(1)).alias("Extra"))
-    return missing.join(extra, KEY, "full")
+    """``Missing``: assets with a balance that the trust's next observed month lacks; ``Extra``: assets in it that had none.
+
+    Loan months see their neighbours in windows by (trust, asset), where their rows are; only the short list of trust months
+    is broadcast. Rows without an asset number match no others."""
+    here = df.groupBy(KEY, ASSET, BEGIN).agg(F.max(F.coalesce(F.abs(double(E)) > sens, F.lit(False))).alias("_open"))
+    order, known = Window.partitionBy(KEY, ASSET).orderBy(BEGIN), F.col(ASSET).isNotNull()
+    rows = here.join(_listed(df), [KEY, BEGIN]).withColumns({"_m0": F.lag(BEGIN).over(order), "_m1": F.lead(BEGIN).over(order), "_was_open": F.lag("_open").over(order)})
+    stays = F.coalesce(known & (F.col("_m1") == F.col("_after")), F.lit(False))
+    due = F.coalesce(known & (F.col("_m0") == F.col("_before")) & F.col("_was_open"), F.lit(False))
+    some = lambda test: F.nullif(F.count_if(test), F.lit(0).cast("bigint"))
+    out = rows.groupBy(KEY).agg(some(F.col("_open") & F.col("_after").isNotNull() & ~stays).alias("Missing"), some(F.col("_before").isNotNull() & ~due).alias("Extra"))
+    return out.filter("Missing is not null or Extra is not null")
 
 
 def after_charge_off(df: DataFrame, sens: float = 0.001) -> DataFrame:
@@ -100,15 +101,19 @@ def months(df: DataFrame) -> DataFrame:
     return seen.select(KEY, BEGIN, F.lag(BEGIN).over(w).alias("_before"), F.lead(BEGIN).over(w).alias("_after"), F.min(BEGIN).over(Window.partitionBy(KEY)).alias("_first"))
 
 
+def _listed(df: DataFrame) -> DataFrame:
+    """``months``, to be broadcast if they are few."""
+    listed = stored(months(df))
+    return F.broadcast(listed) if listed.count() <= LISTED else listed  # a size that has been counted
+
+
 def vet(df: DataFrame, kind: str = "loan", sens: float = 0.001) -> DataFrame:
     """All counters, one row per trust.
 
     Beside the short lists of a trust's months, one pass: rows sorted by month within (trust, asset) see their
     neighbours, the months before and after of their trust, and the loan's first charge-off. Row counters are taken along,
     and all is summed by trust at once. Rows without an asset number count as one loan of their trust."""
-    listed = stored(months(df))
-    if listed.count() <= LISTED:  # a size that has been counted
-        listed = F.broadcast(listed)
+    listed = _listed(df)
     loan = Window.partitionBy(KEY, ASSET)
     order, same = loan.orderBy(BEGIN), Window.partitionBy(KEY, ASSET, BEGIN)
     rows = df.join(listed, [KEY, BEGIN], "left").withColumns({
