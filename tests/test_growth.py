@@ -45,6 +45,33 @@ def test_loan_rows_stay_where_they_are(spark, name):
     assert "SortMergeJoin" not in text
 
 
+def test_a_restatement_is_told_beside_its_first_filing(spark):
+    import __spark_entry__ as entry
+
+    text = plan(entry.queries()["t3_restatement_wins"](spark, D))
+    assert "Join" not in text and not re.findall(r"Exchange hashpartitioning\([^)]*asset", text)
+
+
+def test_appearances_broadcast_no_loans(spark):
+    import __spark_entry__ as entry
+    from loanloom.operators import vetting
+
+    text = plan(entry.queries()["v7_v8_missing_and_extra"](spark, D))
+    assert text.count("BroadcastExchange") <= 1 and "SortMergeJoin" not in text and not re.findall(r"Exchange hashpartitioning\([^)]*asset", text)
+    rows = [("t", "a", "2020-01-01", 1.0), ("t", "a", "2020-01-01", 0.0), ("t", "a", "2020-03-01", 1.0), ("t", "b", "2020-01-01", 1.0), ("t", "b", "2020-02-01", 0.0), ("t", "b", "2020-03-01", 5.0), ("t", None, "2020-01-01", 1.0), ("t", None, "2020-02-01", None), ("t", "c", None, 1.0), (None, "d", "2020-01-01", 1.0), ("u", "e", "2020-01-01", 1.0)]
+    df = spark.createDataFrame(rows, "securitizationKey string, assetNumber string, d string, reportingPeriodActualEndBalanceAmount double").withColumn("reportingPeriodBeginningDate", F.col("d").cast("date"))
+    # a lacks February, a null number matches nothing; a is new in March, b had no balance before March, the null number is new in February
+    assert [tuple(r) for r in vetting.appearances(df).collect()] == [("t", 2, 3)]
+
+
+def test_restatements_are_joined_without_a_broadcast_of_the_tape(spark):
+    from loanloom.plans import source_queries as sq
+
+    rows = spark.createDataFrame([], f"{sq.KEY} string, assetNumber string, reportingPeriodBeginningDate date, reportingPeriodActualEndBalanceAmount double")
+    table = type("Held", (), {"read": lambda self: rows})()
+    assert "BroadcastHashJoin" not in plan(sq._restated(spark, D, table))
+
+
 def test_written_filings_are_compressed_and_bounded(spark, monkeypatch, tmp_path):
     from loanloom.sources import readers
 
