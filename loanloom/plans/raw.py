@@ -44,7 +44,10 @@ def raw_tape(spark, d, duplicates: bool = True) -> DataFrame:
     rows = raw_rows(spark, d)
     money = lambda c: F.expr(_MONEY.format(c))
     # a loan month's first filing and, of some, its restatement, beside each other: copies are made without another pass or move
-    rows = rows.withColumn("again", F.explode(F.when(F.col("k") % 17 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))) if duplicates else F.lit(0))
+    # without restatements it is one copy each: the step also parts the generated code of what is above and below it, as a
+    # method of more than 8000 bytes is never compiled by the JVM and takes some ten times as long
+    copies = F.when(F.col("k") % 17 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))) if duplicates else F.array(F.lit(0))
+    rows = rows.withColumn("again", F.explode(copies))
     return rows.select(
         F.col("sec").alias("securitizationKey"), F.col("asset").alias("assetNumber"),
         F.expr(_DATES["begin"]).alias("reportingPeriodBeginningDate"), F.expr(_DATES["end"]).alias("reportingPeriodEndingDate"), F.expr(_DATES["orig"]).alias("originationDate"),

@@ -72,6 +72,20 @@ def test_restatements_are_joined_without_a_broadcast_of_the_tape(spark):
     assert "BroadcastHashJoin" not in plan(sq._restated(spark, D, table))
 
 
+@pytest.mark.parametrize("name", ["e12_months_delinquent", "e15_principal_prepaid", "e4_principal_tie_out", "e17_net_losses", "c8_rates_rescaled"])
+def test_generated_methods_are_small_enough_to_be_compiled(spark, name):
+    import __spark_entry__ as entry
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # its plans show no code
+    try:
+        kind = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        text = entry.queries()[name](spark, D)._jdf.queryExecution().explainString(kind)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 7200  # the JVM compiles up to 8000 bytes
+
+
 def test_written_filings_are_compressed_and_bounded(spark, monkeypatch, tmp_path):
     from loanloom.sources import readers
 
