@@ -1,6 +1,8 @@
 """Incremental ingest: new filings only, later filings win, changed trusts recomputed."""
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +56,7 @@ def ingest_atomically(stream: DataFrame, prepare, table: Versioned, checkpoint:
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def refresh_changed(loans: Versioned, gold: Versioned, make=trust_month_metrics) -> int:
+def refresh_changed(loans: Versioned, gold: Versioned, make=partial(trust_month_metrics, deal=True)) -> int:
     """Makes anew the gold rows of those trusts only whose loans have changed since the gold table was made, and drops
     those of trusts that are gone. The folder of a trust's loans is the mark of its gold rows."""
     source, version = loans.manifest(), gold.version()

@@ -107,6 +107,22 @@ def test_state_and_gold_store_no_whole_tape(spark, monkeypatch, tmp_path):
     assert set(spark.read.parquet(str(tmp_path / "t4" / "loans" / "data")).columns) == {*sq.GOLD, "folder"}
 
 
+def test_gold_moves_loans_before_months_are_made_and_months_once(spark, tmp_path):
+    from loanloom.operators import metrics
+    from loanloom.plans import source_queries as sq
+
+    rows = tp.loans(spark, D, by_trust=True).select(*sq.GOLD)
+    text = plan(rows)
+    assert text.index("Generate explode") < text.index("Exchange rangepartitioning") and text.count("Exchange") == 1
+    plain = tp.loans(spark, D).select(*sq.GOLD)
+    assert rows.count() == plain.count() and rows.exceptAll(plain).isEmpty()
+    plain.write.parquet(str(tmp_path / "rows"))
+    held = spark.read.parquet(str(tmp_path / "rows"))
+    once = metrics.current_to_30(held, deal=True)
+    assert len(re.findall(r"Exchange hashpartitioning\([^)]*asset", plan(once))) == 1
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, metrics.current_to_30(held).collect()))
+
+
 def test_hedge_makes_the_index_once(spark, monkeypatch):
     import __spark_entry__ as entry
     from loanloom.plans import compare_queries as cq
